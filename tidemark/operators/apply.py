@@ -138,21 +138,20 @@ def _same_keys(keys: Sequence[str], left: str, right: str) -> Column:
     return on
 
 
-def _with_blocks(events: DataFrame, how: ApplyRules) -> DataFrame:
-    """Adds ``_block``: the slice of the sequence for keys with very many events, NULL for all others.
+def _hot_keys(events: DataFrame, how: ApplyRules) -> DataFrame:
+    """Keys with more than ``max_group_rows`` events, at most ``HOT_KEYS`` of them.
 
-    A block spans ``max_group_rows`` sequence numbers. The list of such keys is limited before it is
-    broadcast; a key beyond the limit keeps one group, with the same result.
+    The limit makes the list safe to broadcast; a key beyond it keeps one group, with the same result.
     """
-    hot = (
-        events.groupBy(*how.keys).agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > how.max_group_rows)
-        .orderBy(F.desc("_n")).limit(HOT_KEYS)
-        .select(*how.keys, F.lit(True).alias("_hot"))
-    )
-    block = F.when(F.col("_hot"), F.expr(f"`{how.sequence}` div {how.max_group_rows}"))
-    joined = events.alias("e").join(F.broadcast(hot).alias("h"), _same_keys(how.keys, "e", "h"), "left")
-    return joined.select("e.*", F.col("h._hot").alias("_hot")).withColumn("_block", block).drop("_hot")
+    counts = events.groupBy(*how.keys).agg(F.count("*").alias("_n")).where(F.col("_n") > how.max_group_rows)
+    return F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*how.keys, F.lit(True).alias("_hot")))
+
+
+def _with_blocks(events: DataFrame, hot: DataFrame, how: ApplyRules, join: str) -> DataFrame:
+    """Adds ``_block``, the slice of ``max_group_rows`` sequence numbers an event of a hot key falls into."""
+    joined = events.alias("e").join(hot.alias("h"), _same_keys(how.keys, "e", "h"), join)
+    block = F.when(F.col("h._hot"), F.expr(f"e._pos.seq div {how.max_group_rows}"))
+    return joined.select("e.*", block.alias("_block"))
 
 
 def scd2(events: DataFrame, how: ApplyRules) -> DataFrame:
@@ -161,9 +160,7 @@ def scd2(events: DataFrame, how: ApplyRules) -> DataFrame:
     Each event opens a version; of events with the same sequence number the last one counts.
     """
     values = how.values(events)
-    marked = events.select(
-        *how.keys, *values, how.sequence, how.position(events).alias("_pos"), how.deletes.alias("_del")
-    )
+    marked = events.select(*how.keys, *values, how.position(events).alias("_pos"), how.deletes.alias("_del"))
     return _versions(marked, values, how)
 
 
@@ -173,7 +170,8 @@ def _filled(value: str) -> Column:
 
 def _versions(marked: DataFrame, values: Sequence[str], how: ApplyRules) -> DataFrame:
     carries = list(values) if how.ignore_nulls else []
-    blocks = _with_blocks(marked, how)
+    hot = _hot_keys(marked, how)
+    blocks = _with_blocks(marked, hot, how, "left")
     group = [*how.keys, "_block"]
     ordered = W.partitionBy(*group).orderBy("_pos")
     so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -189,8 +187,9 @@ def _versions(marked: DataFrame, values: Sequence[str], how: ApplyRules) -> Data
         *([] if how.soft_delete else [F.last(F.when(F.col("_del"), F.col("_pos")), ignorenulls=True).over(so_far).alias("_d")]),
     )
 
-    # Across the blocks of a hot key: the same from one summary row per block.
-    summary = blocks.where(F.col("_block").isNotNull()).groupBy(*group).agg(
+    # Across the blocks of a hot key: the same from one summary row per block. Without hot keys this side is
+    # empty, and Spark drops it while the query runs.
+    summary = _with_blocks(marked, hot, how, "inner").where(F.col("_block").isNotNull()).groupBy(*group).agg(
         F.min("_pos.seq").alias("_first"),
         F.max(F.when(F.col("_del"), F.col("_pos"))).alias("_d"),
         *[F.max(F.when(kept, _filled(c))).alias(f"_f_{c}") for c in carries],

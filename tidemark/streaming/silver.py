@@ -133,9 +133,7 @@ class SilverTable:
 
 
 def _marked(events: DataFrame, how: ApplyRules) -> DataFrame:
-    return events.select(
-        *how.keys, *how.values(events), how.sequence, how.position(events).alias("_pos"), how.deletes.alias("_del")
-    )
+    return events.select(*how.keys, *how.values(events), how.position(events).alias("_pos"), how.deletes.alias("_del"))
 
 
 def _versions_of(events: DataFrame, how: ApplyRules) -> DataFrame:
@@ -152,14 +150,13 @@ def _continued(events: DataFrame, known: DataFrame, how: ApplyRules) -> DataFram
     It carries its values under its own position, which lies before every new event.
     """
     values = how.values(events)
-    open_rows = finish_state(known.drop("_first_pos", "_late"), how, with_start=True)
+    met_before = F.coalesce("_upsert_pos", "_deleted_pos").isNotNull()
+    open_rows = finish_state(known.where(met_before).drop("_first_pos", "_late"), how, with_start=True)
     deleted = F.col(DELETED_FLAG) if how.soft_delete else F.lit(False)
     lowest = F.struct(
         F.col(START).alias("seq"), F.lit(-1).cast("bigint").alias("at"), F.lit(-1).alias("rank")
     )
-    base = open_rows.select(
-        *how.keys, *values, F.col(START).alias(how.sequence), lowest.alias("_pos"), deleted.alias("_del")
-    )
+    base = open_rows.select(*how.keys, *values, lowest.alias("_pos"), deleted.alias("_del"))
     return _versions(_marked(events, how).unionByName(base), values, how)
 
 

@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with ``k`` of their properties as a column, parsed once."""
+    return table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int")).drop("props")
+
+
 # ---- change log of a "users" table, from events ----------------------------------------------------
 
 
@@ -32,21 +37,17 @@ def event_operation() -> Column:
     return F.when(kind == "signup", "I").when(kind == "error", "D").otherwise("U")
 
 
-def prop_k() -> Column:
-    return F.from_json("props", "k int")["k"]
-
-
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a change of its user: signups insert, errors delete, the others update."""
     kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
+    return parsed_events(spark, sf_dir).select(
         (F.col("event_id") + 1).alias(VERSION),
         F.when(kind == "signup", F.col("event_id") + 1).alias(CREATION_VERSION),
         event_operation().alias(OPERATION),
         "user_id",
         "event_type",
         F.when(~kind.isin("view", "error"), F.col("value")).alias("value"),
-        F.when(~kind.isin("click", "error"), prop_k()).alias("k"),
+        F.when(~kind.isin("click", "error"), F.col("k")).alias("k"),
     )
 
 
@@ -126,14 +127,19 @@ def configured_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(name.alias("table_name"), mode.alias("mode")).unionByName(missing).distinct()
 
 
+def event_database() -> Column:
+    """Clicks are kept in a database of their own."""
+    return F.when(F.col("event_type") == "click", "asia").otherwise("app")
+
+
 def sync_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per day over all event types but errors, which are the tables of the run."""
     kind, rows = F.col("event_type"), F.col("n")
-    grouped = table(spark, sf_dir, "events").where(kind != "error").groupBy(day().alias("run_id"), "event_type").agg(
+    grouped = parsed_events(spark, sf_dir).where(kind != "error").groupBy(day().alias("run_id"), "event_type").agg(
         F.count("*").alias("n"),
         F.sum(F.col("value").cast("decimal(18,2)")).alias("total"),
         F.max("event_id").alias("last_id"),
-        F.max(prop_k()).alias("max_k"),
+        F.max("k").alias("max_k"),
     )
     failed, skipped = rows % 7 == 0, rows % 7 == 1
     error = F.when(failed, "connection lost")
@@ -141,7 +147,7 @@ def sync_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.concat_ws("/", F.lit("landing"), "event_type", "run_id")
     return grouped.select(
         "run_id",
-        F.lit("app").alias("database"),
+        event_database().alias("database"),
         F.when(kind == "view", "view").otherwise(F.concat(F.lit("web."), kind)).alias("table"),
         F.when(failed, "error").when(skipped, "skipped").alias("status"),
         F.when(~skipped, F.when(kind == "signup", "full").otherwise("incremental")).alias("mode"),
@@ -178,7 +184,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def configured_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, sf_dir, "events").select(
-        F.lit("app").alias("database"),
+        event_database().alias("database"),
         F.when(kind == "view", "DBO.View").otherwise(F.concat(F.lit("web."), kind)).alias("table"),
         F.when(kind == "click", "incremental").alias("mode"),
     ).distinct()
@@ -200,7 +206,7 @@ def sync_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gateway_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events other than signups as gateway events; errors are background operations, the rest flow progress."""
-    kind, k = F.col("event_type"), prop_k()
+    kind, k = F.col("event_type"), F.col("k")
     flow = F.to_json(
         F.struct(
             F.struct(
@@ -223,7 +229,7 @@ def gateway_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     user = F.col("user_id")
-    return table(spark, sf_dir, "events").where(kind != "signup").select(
+    return parsed_events(spark, sf_dir).where(kind != "signup").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.date_format("ts", "yyyy-MM-dd").alias("update_id"),

@@ -459,10 +459,11 @@ runs AS (
 log_rows AS (
   SELECT r.run_id, 'web_changes' AS pipeline_id, s, e, strftime(s, '%Y-%m-%d %H:%M:%S') AS run_started_at,
          strftime(e, '%Y-%m-%d %H:%M:%S') AS run_completed_at, round(epoch(e) - epoch(s), 2)::DOUBLE AS run_duration_seconds,
-         run_status, 'web.yaml' AS pipeline_config, 'db.example' AS server, 'app' AS database,
+         run_status, 'web.yaml' AS pipeline_config, 'db.example' AS server,
+         CASE WHEN event_type = 'click' THEN 'asia' ELSE 'app' END AS database,
          CASE WHEN event_type = 'view' THEN 'dbo' ELSE 'web' END AS schema_name, event_type AS table_name,
-         'app.' || CASE WHEN event_type = 'view' THEN 'dbo.' ELSE 'web.' END || event_type AS table_fqn,
-         'lake_africa' AS uc_catalog, '/ingest/web' AS ingest_pipeline,
+         CASE WHEN event_type = 'click' THEN 'asia.' ELSE 'app.' END || CASE WHEN event_type = 'view' THEN 'dbo.' ELSE 'web.' END || event_type AS table_fqn,
+         CASE WHEN event_type = 'click' THEN 'lake_asia' ELSE 'lake_africa' END AS uc_catalog, '/ingest/web' AS ingest_pipeline,
          CASE WHEN event_type = 'click' THEN 'incremental' ELSE 'full_incremental' END AS configured_mode,
          actual_mode, scd_type, soft_delete, ct_since_version, ct_current_version, rows_written, files_written, table_duration_seconds,
          schema_version, schema_changed, column_count, table_status, skip_reason, error_message, error_type,
@@ -538,7 +539,7 @@ unified AS (
          abs(CASE WHEN NOT work THEN k * 100 END::DOUBLE / 1000.0::DOUBLE - p.table_duration_seconds) AS timing_variance_seconds
   FROM gateway g FULL OUTER JOIN log_rows p ON g.run_id = p.run_id AND g.table_identifier = p.table_name)"""
 SHOWN = """
-SELECT * EXCLUDE (ts, s, e) REPLACE (round(rows_per_second, 4) AS rows_per_second, round(timing_variance_seconds, 4) AS timing_variance_seconds),
+SELECT * EXCLUDE (ts, s, e) REPLACE (round(rows_per_second + 1e-9, 4) AS rows_per_second, round(timing_variance_seconds + 1e-9, 4) AS timing_variance_seconds),
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS gateway_timestamp, strftime(s, '%Y-%m-%d %H:%M:%S') AS run_started_at,
        strftime(e, '%Y-%m-%d %H:%M:%S') AS run_completed_at
 FROM unified"""
@@ -549,13 +550,13 @@ WHERE ts > t - INTERVAL 7 DAYS OR s > t - INTERVAL 7 DAYS""".replace("SELECT * E
 Q["q1_timing_variance"] = f"""
 WITH {UNIFIED}
 SELECT table_fqn, run_id, sync_duration_seconds AS pipeline_reported_seconds, executor_time_seconds AS gateway_reported_seconds,
-       round(timing_variance_seconds, 4) AS timing_variance_seconds, rows_written
+       round(timing_variance_seconds + 1e-9, 4) AS timing_variance_seconds, rows_written
 FROM unified WHERE table_status = 'success' AND timing_variance_seconds IS NOT NULL
 ORDER BY unified.timing_variance_seconds DESC, table_fqn, run_id, executor_time_seconds, sync_duration_seconds, rows_written LIMIT 20"""
 Q["q2_cpu_outliers"] = f"""
 WITH {UNIFIED}
-SELECT table_fqn, round(avg(executor_cpu_time_ms), 4) AS avg_cpu_ms, round(avg(rows_written), 4) AS avg_rows,
-       round(avg(executor_cpu_time_ms) / nullif(avg(rows_written), 0), 4) AS cpu_ms_per_row, count(*) AS sync_count
+SELECT table_fqn, round(avg(executor_cpu_time_ms) + 1e-9, 4) AS avg_cpu_ms, round(avg(rows_written) + 1e-9, 4) AS avg_rows,
+       round(avg(executor_cpu_time_ms) / nullif(avg(rows_written), 0) + 1e-9, 4) AS cpu_ms_per_row, count(*) AS sync_count
 FROM unified WHERE gateway_event_type = 'flow_progress' GROUP BY table_fqn HAVING count(*) > 1 ORDER BY cpu_ms_per_row DESC"""
 Q["q3_incomplete_runs"] = f"""
 WITH {UNIFIED}
@@ -564,12 +565,12 @@ SELECT run_id, count(*) AS pipeline_table_count, count(*) FILTER (NOT missing_ga
 FROM unified GROUP BY run_id HAVING count(*) FILTER (missing_gateway_data) > 0"""
 Q["q4_throughput"] = f"""
 WITH {UNIFIED}
-SELECT table_fqn, configured_mode, actual_mode, round(avg(rows_written), 4) AS avg_rows, round(avg(sync_duration_seconds), 4) AS avg_duration,
-       round(avg(rows_per_second), 4) AS avg_throughput_rps, round(max(rows_per_second), 4) AS peak_throughput_rps
+SELECT table_fqn, configured_mode, actual_mode, round(avg(rows_written) + 1e-9, 4) AS avg_rows, round(avg(sync_duration_seconds) + 1e-9, 4) AS avg_duration,
+       round(avg(rows_per_second) + 1e-9, 4) AS avg_throughput_rps, round(max(rows_per_second) + 1e-9, 4) AS peak_throughput_rps
 FROM unified WHERE table_status = 'success' AND rows_written > 0 GROUP BY 1, 2, 3"""
 Q["q5_background_ops"] = f"""
 WITH {UNIFIED}
-SELECT table_fqn, bg_op_type, count(*) AS op_count, round(avg(bg_op_duration_ms), 4) AS avg_duration_ms, max(bg_op_duration_ms) AS max_duration_ms
+SELECT table_fqn, bg_op_type, count(*) AS op_count, round(avg(bg_op_duration_ms) + 1e-9, 4) AS avg_duration_ms, max(bg_op_duration_ms) AS max_duration_ms
 FROM unified WHERE bg_op_type IS NOT NULL GROUP BY 1, 2"""
 Q["metrics_summary"] = f"""
 WITH {UNIFIED}
@@ -577,12 +578,12 @@ SELECT strftime(coalesce(s, ts), '%Y-%m-%d') AS sync_date, table_fqn, uc_catalog
        count(*) AS total_sync_attempts, count(*) FILTER (table_status = 'success') AS successful_syncs,
        count(*) FILTER (table_status <> 'success' OR table_status IS NULL) AS failed_syncs,
        sum(rows_written)::BIGINT AS total_rows_written, sum(files_written)::BIGINT AS total_files_written,
-       round(avg(rows_written), 4) AS avg_rows_per_sync, round(avg(sync_duration_seconds), 4) AS avg_sync_duration,
-       round(max(sync_duration_seconds), 4) AS max_sync_duration,
-       round(quantile_cont(sync_duration_seconds, 0.5), 4) AS median_sync_duration,
-       round(avg(executor_time_seconds), 4) AS avg_executor_time, round(avg(executor_cpu_time_ms / 1000.0), 4) AS avg_cpu_time_seconds,
-       round(avg(rows_per_second), 4) AS avg_throughput_rps, round(max(rows_per_second), 4) AS peak_throughput_rps,
-       count(*) FILTER (bg_op_type IS NOT NULL) AS bg_op_count, round(avg(bg_op_duration_ms), 4) AS avg_bg_op_duration_ms
+       round(avg(rows_written) + 1e-9, 4) AS avg_rows_per_sync, round(avg(sync_duration_seconds) + 1e-9, 4) AS avg_sync_duration,
+       round(max(sync_duration_seconds) + 1e-9, 4) AS max_sync_duration,
+       round(quantile_cont(sync_duration_seconds, 0.5) + 1e-9, 4) AS median_sync_duration,
+       round(avg(executor_time_seconds) + 1e-9, 4) AS avg_executor_time, round(avg(executor_cpu_time_ms / 1000.0) + 1e-9, 4) AS avg_cpu_time_seconds,
+       round(avg(rows_per_second) + 1e-9, 4) AS avg_throughput_rps, round(max(rows_per_second) + 1e-9, 4) AS peak_throughput_rps,
+       count(*) FILTER (bg_op_type IS NOT NULL) AS bg_op_count, round(avg(bg_op_duration_ms) + 1e-9, 4) AS avg_bg_op_duration_ms
 FROM unified GROUP BY ALL"""
 
 ORACLE_SQL = Q

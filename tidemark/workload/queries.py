@@ -46,8 +46,11 @@ def query(run: Query) -> Query:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Doubles at four places, so that the order of additions does not show."""
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+    """Doubles at four places, so that the order of additions does not show.
+
+    The small shift takes values off the middle between two results.
+    """
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, 4) for c in columns})
 
 
 # ---- sources ---------------------------------------------------------------------------------------
