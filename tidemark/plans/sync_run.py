@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ledger import resolve_modes, unchanged_tables
 from tidemark.session import broadcast_if_small
-from tidemark.sources.feed import VERSION, current_version
+from tidemark.sources.feed import OPERATION, VERSION, current_version
 
 
 @dataclass(frozen=True)
@@ -60,12 +60,12 @@ def sync_tables(
     whole = snapshots.join(reading.where(F.col("actual_mode") == "full"), "table_name").select(
         "table_name",
         F.lit(version).cast("bigint").alias(VERSION),
-        F.lit("L").alias("SYS_CHANGE_OPERATION"),
-        "key", "data",
+        F.lit("L").alias(OPERATION),
+        "key", "data", "actual_mode",
     )
     after = (F.col("actual_mode") == "incremental") & (F.col(VERSION) > F.col("since_version"))
     partial = feed.join(reading, "table_name").where(after).select(
-        "table_name", VERSION, "SYS_CHANGE_OPERATION", "key", "data"
+        "table_name", VERSION, OPERATION, "key", "data", "actual_mode"
     )
     changes = whole.unionByName(partial)
     counts = changes.groupBy("table_name").agg(F.count("*").alias("_rows"))

@@ -27,7 +27,7 @@ def start_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str
     )
 
 
-BRONZE_SCHEMA = T.StructType(ENVELOPE_SCHEMA.fields).add("_seq_num", "long").add("_uoid", "string")
+BRONZE_SCHEMA = T.StructType([*ENVELOPE_SCHEMA.fields]).add("_seq_num", "long").add("_uoid", "string")
 
 
 def bronze_table(spark: SparkSession, bronze: str) -> DataFrame:
