@@ -6,7 +6,7 @@ import brute_force
 import pytest
 from conftest import rows
 
-from tidemark.operators.apply import apply_changes, collapse_unchanged, current_versions, fold_state, merge_states, rules, versions_as_of
+from tidemark.operators.apply import apply_changes, current_versions, fold_state, merge_states, rules, versions_as_of
 
 FIELDS = "key int, _seq_num bigint, operation string, a string, b int"
 # Key, sequence, operation, two columns; from the hand-made table of the fixtures.
@@ -89,12 +89,6 @@ def test_current_and_as_of(spark):
     assert rows(versions_as_of(versions, 3)) == [(2, "q", 30, 1, None)]
 
 
-def test_collapse_keeps_gaps(spark):
-    fields = "key int, a string, __start_at bigint, __end_at bigint"
-    versions = spark.createDataFrame([(1, "x", 1, 2), (1, "x", 2, 4), (1, "x", 6, 7), (1, "y", 7, None)], fields)
-    assert rows(collapse_unchanged(versions, ["key"])) == [(1, "x", 1, 4), (1, "x", 6, 7), (1, "y", 7, None)]
-
-
 def test_a_key_is_required(spark):
     with pytest.raises(ValueError):
         apply_changes(frame(spark, HAND), [])

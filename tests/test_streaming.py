@@ -53,7 +53,7 @@ def test_batches_end_like_one_fold(spark, folder, scd_type, soft, ignore_nulls,
     seen = []
     for number, part in enumerate(parts):
         seen += part
-        silver.apply_batch(envelopes(spark, part), number, envelopes(spark, seen))
+        silver.apply_batch(envelopes(spark, part), number)
     assert columns_sorted(silver.read(), soft, scd_type) == expected(list(dict.fromkeys(seen)), scd_type, soft, ignore_nulls)
 
 
@@ -67,10 +67,9 @@ def test_a_repeated_batch_changes_nothing(spark, folder, scd_type):
     events = brute_force.random_events(random.Random(5), n=40)
     silver = SilverTable(spark, folder, PAYLOAD, rules("key"), scd_type, buckets=2, parts_per_bucket=1)
     for number, part in enumerate(batches(random.Random(5), events, 2)):
-        history = envelopes(spark, events)
-        silver.apply_batch(envelopes(spark, part), number, history)
+        silver.apply_batch(envelopes(spark, part), number)
         once = rows(silver.read())
-        silver.apply_batch(envelopes(spark, part), number, history)
+        silver.apply_batch(envelopes(spark, part), number)
         assert rows(silver.read()) == once
     assert columns_sorted(silver.read(), False, scd_type) == expected(events, scd_type, False, True)
 

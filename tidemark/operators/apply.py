@@ -229,23 +229,6 @@ def _versions(marked: DataFrame, values: Sequence[str], how: ApplyRules) -> Data
     )
 
 
-def collapse_unchanged(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Joins neighbouring versions of a key whose payload is the same into one."""
-    payload = [c for c in versions.columns if c not in (*keys, START, END)]
-    by_start = W.partitionBy(*keys).orderBy(START)
-    same = F.lit(True)
-    for column in payload:
-        same = same & F.col(column).eqNullSafe(F.lag(column).over(by_start))
-    joins = same & (F.lag(END).over(by_start) == F.col(START))
-    runs = versions.withColumn("_opens", F.when(joins, 0).otherwise(1))
-    runs = runs.withColumn("_run", F.sum("_opens").over(by_start.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    return runs.groupBy(*keys, "_run").agg(
-        *[F.first(c).alias(c) for c in payload],
-        F.min(START).alias(START),
-        F.max_by(END, START).alias(END),
-    ).drop("_run")
-
-
 def current_versions(versions: DataFrame) -> DataFrame:
     """Open versions only."""
     return versions.where(F.col(END).isNull())

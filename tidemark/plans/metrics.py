@@ -126,8 +126,13 @@ def unified_metrics(gateway: DataFrame, pipeline: DataFrame) -> DataFrame:
 
 
 def newest_first(unified: DataFrame) -> DataFrame:
-    """The unified view in display order."""
-    return unified.orderBy(F.coalesce("run_started_at", "gateway_timestamp").desc(), "table_fqn")
+    """The unified view in display order.
+
+    The event time comes last, so that the many events of one run and table can be sorted in several tasks.
+    """
+    return unified.orderBy(
+        F.coalesce("run_started_at", "gateway_timestamp").desc(), "table_fqn", F.desc("gateway_timestamp")
+    )
 
 
 def recent(unified: DataFrame, now: Column, days: int = 7) -> DataFrame:

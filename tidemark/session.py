@@ -42,10 +42,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a control table for broadcast once its row count is known to be small.
+def if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """The frame if it has at most ``max_rows`` rows; counting stops soon after that."""
+    return df if df.limit(max_rows + 1).count() <= max_rows else None
 
-    A larger one comes back unmarked and is joined by a shuffle.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marks a control table for broadcast if it is small; a larger one is joined by a shuffle."""
+    small = if_small(df, max_rows)
+    return df if small is None else F.broadcast(small)

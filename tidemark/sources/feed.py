@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import if_small
+
 VERSION = "SYS_CHANGE_VERSION"
 CREATION_VERSION = "SYS_CHANGE_CREATION_VERSION"
 OPERATION = "SYS_CHANGE_OPERATION"
@@ -28,13 +30,17 @@ def incremental_changes(feed: DataFrame, table: DataFrame, keys: Sequence[str],
     """Changes after ``since`` with the current row of each key.
 
     ``feed`` has the change columns and the keys, at most one row per key (see ``net_changes``).
-    Keys of deleted rows come from the feed; their other columns are NULL.
+    Keys of deleted rows come from the feed; their other columns are NULL. With few changes only the table
+    rows they touch are shuffled.
     """
     if not keys:
         raise ValueError("an incremental read needs a primary key")
     lowered = {k.lower() for k in keys}
     on = [F.col(f"ct.{k}") == F.col(f"t.{k}") for k in keys]
     recent = feed.where(F.col(VERSION) > since).select(*CHANGE_COLUMNS, *keys)
+    touched = if_small(recent.select(*keys))
+    if touched is not None:
+        table = table.join(F.broadcast(touched), list(keys), "left_semi").select(*table.columns)
     columns = [
         F.coalesce(F.col(f"t.{c}"), F.col(f"ct.{c}")).alias(c) if c.lower() in lowered else F.col(f"t.{c}")
         for c in table.columns

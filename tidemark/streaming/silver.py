@@ -5,7 +5,7 @@ parts are folded into one.
 
 Type 2: the type 1 state gives the open versions and tells what later events start from. Keys whose
 events all lie after what is known only add closed versions. Keys with an event from the past are folded
-again from their bronze events, and their closed versions replaced.
+again from the typed events kept by bucket, and their closed versions replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from tidemark.operators.apply import (
     merge_states,
 )
 from tidemark.operators.envelope import from_envelope
-from tidemark.streaming.bronze import bronze_stream, bronze_table
+from tidemark.streaming.bronze import bronze_stream
 from tidemark.streaming.buckets import BucketedTable, appended, crowded
 
 BUCKETS = 256
@@ -54,6 +54,8 @@ class SilverTable:
         self.state = BucketedTable(self.spark, f"{self.path}/state", state, self.how.keys, self.buckets)
         closed = _closed(_versions_of(events, self.how)).schema
         self.closed = BucketedTable(self.spark, f"{self.path}/closed", closed, self.how.keys, self.buckets)
+        self.log_path = f"{self.path}/events"
+        self.log_schema = T.StructType([*events.schema.fields]).add("batch", "long").add("bucket", "integer")
 
     def _empty_events(self) -> DataFrame:
         bronze = self.spark.createDataFrame([], "data string, cursor struct<seqNum:string>, extractionTimestamp bigint, operation string")
@@ -76,23 +78,36 @@ class SilverTable:
 
     # ---- one batch ----
 
-    def apply_batch(self, bronze: DataFrame, batch: int, history: DataFrame | None = None) -> None:
-        """Applies a micro-batch; ``history`` is all bronze of this table, needed for type 2."""
+    def apply_batch(self, bronze: DataFrame, batch: int) -> None:
+        """Applies a micro-batch. A repeated one finds and leaves the table as the first did."""
         events = self.events(bronze).persist()
         try:
-            state_before = self.state.parts(before=batch)
             touched = [r[0] for r in events.select(self.state.bucket()).distinct().collect()]
             if not touched:
                 return
+            before = self.state.parts(before=batch)
             fresh = fold_state(events, self.how)
             if self.scd_type == 1:
-                self._commit_state(fresh, state_before, batch)
+                self._commit_state(fresh, before, batch)
                 return
-            known = merge_states(self.state.read(state_before, touched), self.how)
-            self._apply_versions(events, fresh, known, state_before, batch, history)
+            self._log(events, batch)
+            known = merge_states(self.state.read(before, touched), self.how)
+            self._commit_closed(events, known, batch)
+            # The state goes last: until it is committed, a repeated batch starts from the same point.
+            self._commit_state(fresh, before, batch)
         finally:
             events.unpersist()
 
+    def _log(self, events: DataFrame, batch: int) -> None:
+        """Keeps the typed events of a batch, by bucket."""
+        even = events.withColumn("bucket", self.state.bucket()).hint("rebalance", F.col("bucket"))
+        even.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.log_path}/batch={batch}")
+
+    def _logged(self, batch: int, buckets: Sequence[int]) -> DataFrame:
+        """Events of some buckets up to and including a batch."""
+        logged = self.spark.read.schema(self.log_schema).parquet(self.log_path)
+        return logged.where((F.col("batch") <= batch) & F.col("bucket").isin(*buckets)).drop("batch", "bucket")
+
     def _commit_state(self, fresh: DataFrame, before: dict[int, list[int]], batch: int) -> None:
         full = crowded(before, self.parts_per_bucket)
         if full:
@@ -101,33 +116,27 @@ class SilverTable:
         kept = {b: ps for b, ps in before.items() if b not in full}
         self.state.commit(appended(kept, written, batch), batch)
 
-    def _apply_versions(self, events, fresh, known, state_before, batch, history) -> None:
+    def _commit_closed(self, events: DataFrame, known: DataFrame, batch: int) -> None:
         keys = list(self.how.keys)
         first = events.groupBy(*keys).agg(F.min(self.how.position(events)).alias("_first_pos"))
         last = F.greatest("_deleted_pos", "_upsert_pos")
-        met = first.join(known, keys, "left").withColumn("_late", F.coalesce(F.col("_first_pos") <= last, F.lit(False)))
-        met = met.persist()
+        late = F.coalesce(F.col("_first_pos") <= last, F.lit(False))
+        met = first.join(known, keys, "left").withColumn("_late", late).persist()
         try:
-            late = met.where("_late").select(*keys)
-            in_order = events.join(late, keys, "left_anti")
-            closed = _closed(_continued(in_order, met.where(~F.col("_late")), self.how))
+            late_keys = met.where("_late").select(*keys)
+            closed = _closed(_continued(events.join(late_keys, keys, "left_anti"), met.where(~F.col("_late")), self.how))
             before = self.closed.parts(before=batch)
-            late_buckets = [r[0] for r in late.select(self.closed.bucket()).distinct().collect()]
+            late_buckets = [r[0] for r in late_keys.select(self.closed.bucket()).distinct().collect()]
             rewrite = set(late_buckets) | set(crowded(before, self.parts_per_bucket))
             if late_buckets:
-                # Bronze may already hold events of later batches; those batches then find them known.
-                redone = self.events(history).join(late, keys, "left_semi")
-                closed = closed.unionByName(_closed(_versions_of(redone, self.how)))
-                fresh = fresh.unionByName(fold_state(redone, self.how))
-                fresh = merge_states(fresh, self.how)
+                past = self._logged(batch, late_buckets).join(late_keys, keys, "left_semi")
+                closed = closed.unionByName(_closed(_versions_of(past, self.how)))
             if rewrite:
-                others = self.closed.read(before, rewrite).join(late, keys, "left_anti")
+                others = self.closed.read(before, rewrite).join(late_keys, keys, "left_anti")
                 closed = closed.unionByName(others)
             written = self.closed.write(closed, batch)
             kept = {b: ps for b, ps in before.items() if b not in rewrite}
             self.closed.commit(appended(kept, written, batch), batch)
-            # The state goes last: until it is committed, a repeated batch starts from the same point.
-            self._commit_state(fresh, state_before, batch)
         finally:
             met.unpersist()
 
@@ -164,23 +173,22 @@ def apply_stream(
     spark: SparkSession, bronze: str, uoid: str, silver: SilverTable, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
     """Applies new bronze events of one table to its silver table and stops when it has caught up."""
-    history = bronze_table(spark, bronze).where(F.col("_uoid") == uoid)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        silver.apply_batch(batch, batch_id, history)
-
     return (
         bronze_stream(spark, bronze, max_files)
         .where(F.col("_uoid") == uoid)
-        .writeStream.foreachBatch(apply)
+        .writeStream.foreachBatch(silver.apply_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def apply_all(spark: SparkSession, bronze: str, tables: Sequence[tuple[str, SilverTable]], checkpoints: str) -> None:
-    """One stream per table, all running at the same time; each reads only its own part of bronze."""
-    running = [apply_stream(spark, bronze, uoid, silver, f"{checkpoints}/{uoid}") for uoid, silver in tables]
-    for query in running:
-        query.awaitTermination()
+def apply_all(
+    spark: SparkSession, bronze: str, tables: Sequence[tuple[str, SilverTable]], checkpoints: str, at_once: int = 16
+) -> None:
+    """One stream per table, ``at_once`` of them at a time; each reads only its own part of bronze."""
+    for start in range(0, len(tables), at_once):
+        group = tables[start : start + at_once]
+        running = [apply_stream(spark, bronze, uoid, silver, f"{checkpoints}/{uoid}") for uoid, silver in group]
+        for query in running:
+            query.awaitTermination()

@@ -219,16 +219,6 @@ Q["scd2_soft_delete"] = f"WITH {LOG}, {scd2(True)} SELECT user_id, value, k, del
 Q["scd2_keep_nulls"] = f"""
 WITH {LOG}, v AS (SELECT *, lead(seq) OVER (PARTITION BY user_id ORDER BY seq) AS n FROM log)
 SELECT user_id, value, k, seq AS __start_at, n AS __end_at FROM v WHERE op <> 'D'"""
-Q["scd2_collapsed"] = f"""
-WITH {LOG}, {scd2()},
-flags AS (SELECT user_id, k > 50 AS high, __start_at, __end_at FROM versions WHERE NOT del),
-opens AS (
-  SELECT *, CASE WHEN lag(high) OVER w IS NOT DISTINCT FROM high AND lag(__end_at) OVER w = __start_at THEN 0 ELSE 1 END AS o
-  FROM flags WINDOW w AS (PARTITION BY user_id ORDER BY __start_at)),
-runs AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY __start_at) AS run FROM opens)
-SELECT user_id, any_value(high) AS high, min(__start_at) AS __start_at,
-       CASE WHEN bool_or(__end_at IS NULL) THEN NULL ELSE max(__end_at) END AS __end_at
-FROM runs GROUP BY user_id, run"""
 Q["scd2_current"] = f"{SCD2} AND __end_at IS NULL"
 Q["scd2_as_of"] = f"""
 WITH {LOG}, {scd2()}, moment AS (SELECT min(event_id) AS m FROM events WHERE event_type = 'purchase' AND value > 90)

@@ -17,7 +17,6 @@ from tidemark.operators.apply import (
     START,
     after_reload,
     apply_changes,
-    collapse_unchanged,
     current_versions,
     rules,
     versions_as_of,
@@ -288,12 +287,6 @@ def scd2_split_keys(spark: SparkSession, d: str) -> DataFrame:
     return apply_changes(_users(spark, d), "user_id", scd_type=2, max_group_rows=10)
 
 
-@query
-def scd2_collapsed(spark: SparkSession, d: str) -> DataFrame:
-    events = frames.user_events(spark, d).select("_seq_num", "operation", "user_id", (F.col("k") > 50).alias("high"))
-    return collapse_unchanged(apply_changes(events, "user_id", scd_type=2), ["user_id"])
-
-
 @query
 def scd2_current(spark: SparkSession, d: str) -> DataFrame:
     return current_versions(scd2_apply(spark, d))
