@@ -99,3 +99,13 @@ def test_a_key_is_required(spark):
 def test_type_1_needs_one_shuffle(spark):
     plan = apply_changes(frame(spark, HAND), "key")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_max" in plan and "Window" not in plan
+
+
+def test_odd_column_names(spark):
+    events = spark.createDataFrame([(1, 1, "INSERT", "a", 1), (1, 2, "UPDATE", None, 2), (2, 1, "INSERT", "b", 3), (2, 2, "DELETE", None, None)], FIELDS)
+    odd = events.toDF("or.der id", "_seq_num", "operation", "x]y z", "select")
+    assert rows(apply_changes(odd, "or.der id")) == [(1, "a", 2)]
+    assert apply_changes(odd, "or.der id").columns == ["or.der id", "x]y z", "select"]
+    for block in (1, 100):
+        assert rows(apply_changes(odd, "or.der id", 2, max_group_rows=block)) == [(1, "a", 1, 1, 2), (1, "a", 2, 2, None), (2, "b", 3, 1, 2)]
+    assert rows(apply_changes(odd, "or.der id", ignore_nulls=False)) == [(1, None, 2)]

@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.operations import operation_rank
+from tidemark.session import column
 
 DELETE_EVENTS = "operation = 'DELETE'"
 START, END = "__start_at", "__end_at"
@@ -49,11 +50,15 @@ class ApplyRules:
 
     def position(self, events: DataFrame) -> Column:
         """Order of an event: sequence, then extraction time, then load < insert < update < delete."""
-        parts = [F.col(self.sequence).alias("seq")]
+        parts = [column(self.sequence).alias("seq")]
         parts.append((F.col("_extracted_at") if "_extracted_at" in events.columns else F.lit(0)).cast("bigint").alias("at"))
         parts.append((operation_rank(F.col("operation")) if "operation" in events.columns else F.lit(0)).alias("rank"))
         return F.struct(*parts)
 
+    @property
+    def by(self) -> list[Column]:
+        return [column(k) for k in self.keys]
+
     @property
     def deletes(self) -> Column:
         return F.coalesce(F.expr(self.delete_when), F.lit(False))
@@ -67,15 +72,19 @@ def rules(keys: Sequence[str] | str, **options) -> ApplyRules:
     return ApplyRules(keys=keys, **options)
 
 
+def mark(events: DataFrame, how: ApplyRules) -> DataFrame:
+    """Keys and payload with the position of each event and whether it deletes."""
+    payload = [column(c) for c in how.values(events)]
+    return events.select(*how.by, *payload, how.position(events).alias("_pos"), how.deletes.alias("_del"))
+
+
 # ---- type 1 ---------------------------------------------------------------------------------------
 
 
 def fold_state(events: DataFrame, how: ApplyRules) -> DataFrame:
     """Per key, the latest positions and values; states of disjoint or overlapping events can be merged."""
     values = how.values(events)
-    marked = events.select(
-        *how.keys, *values, how.position(events).alias("_pos"), how.deletes.alias("_del")
-    )
+    marked = mark(events, how)
     position, deleted = F.col("_pos"), F.col("_del")
     kept = F.lit(True) if how.soft_delete else ~deleted
     latest = [
@@ -84,18 +93,18 @@ def fold_state(events: DataFrame, how: ApplyRules) -> DataFrame:
     ]
     if how.ignore_nulls:
         latest += [
-            F.max(F.when(kept & F.col(c).isNotNull(), F.struct(position.alias("pos"), F.col(c).alias("value")))).alias(c)
+            F.max(F.when(kept & column(c).isNotNull(), F.struct(position.alias("pos"), column(c).alias("value")))).alias(c)
             for c in values
         ]
     else:
-        row = F.struct(position.alias("pos"), F.struct(*values).alias("value"))
+        row = F.struct(position.alias("pos"), F.struct(*[column(c) for c in values]).alias("value"))
         latest.append(F.max(F.when(kept, row)).alias("_row"))
-    return marked.groupBy(*how.keys).agg(*latest)
+    return marked.groupBy(*how.by).agg(*latest)
 
 
 def merge_states(states: DataFrame, how: ApplyRules) -> DataFrame:
     """One state per key from any number of partial ones."""
-    return states.groupBy(*how.keys).agg(*[F.max(c).alias(c) for c in states.columns if c not in how.keys])
+    return states.groupBy(*how.by).agg(*[F.max(column(c)).alias(c) for c in states.columns if c not in how.keys])
 
 
 def finish_state(state: DataFrame, how: ApplyRules, with_start: bool = False) -> DataFrame:
@@ -103,24 +112,24 @@ def finish_state(state: DataFrame, how: ApplyRules, with_start: bool = False) ->
     deleted, upserted = F.col("_deleted_pos"), F.col("_upsert_pos")
     payload = [c for c in state.columns if c not in (*how.keys, "_deleted_pos", "_upsert_pos")]
 
-    def current(column: str, value: Column) -> Column:
+    def current(latest: Column, value: Column) -> Column:
         if how.soft_delete:
             return value
-        return F.when(deleted.isNull() | (F.col(f"{column}.pos") > deleted), value)
+        return F.when(deleted.isNull() | (latest["pos"] > deleted), value)
 
     if how.ignore_nulls:
-        columns = [current(c, F.col(f"{c}.value")).alias(c) for c in payload]
+        columns = [current(column(c), column(c)["value"]).alias(c) for c in payload]
     else:
         names = state.schema["_row"].dataType["value"].dataType.names
-        columns = [current("_row", F.col("_row.value").getField(c)).alias(c) for c in names]
+        columns = [current(F.col("_row"), F.col("_row.value").getField(c)).alias(c) for c in names]
     start = [upserted["seq"].alias(START)] if with_start else []
     if how.soft_delete:
         flag = deleted.isNotNull() & (upserted.isNull() | (deleted > upserted))
         if with_start:
             start = [F.greatest(upserted["seq"], deleted["seq"]).alias(START)]
-        return state.select(*how.keys, *columns, flag.alias(DELETED_FLAG), *start)
+        return state.select(*how.by, *columns, flag.alias(DELETED_FLAG), *start)
     live = upserted.isNotNull() & (deleted.isNull() | (upserted > deleted))
-    return state.where(live).select(*how.keys, *columns, *start)
+    return state.where(live).select(*how.by, *columns, *start)
 
 
 def scd1(events: DataFrame, how: ApplyRules) -> DataFrame:
@@ -134,7 +143,7 @@ def scd1(events: DataFrame, how: ApplyRules) -> DataFrame:
 def _same_keys(keys: Sequence[str], left: str, right: str) -> Column:
     on = F.lit(True)
     for key in keys:
-        on = on & (F.col(f"{left}.{key}") == F.col(f"{right}.{key}"))
+        on = on & (column(key, left) == column(key, right))
     return on
 
 
@@ -143,8 +152,8 @@ def _hot_keys(events: DataFrame, how: ApplyRules) -> DataFrame:
 
     The limit makes the list safe to broadcast; a key beyond it keeps one group, with the same result.
     """
-    counts = events.groupBy(*how.keys).agg(F.count("*").alias("_n")).where(F.col("_n") > how.max_group_rows)
-    return F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*how.keys, F.lit(True).alias("_hot")))
+    counts = events.groupBy(*how.by).agg(F.count("*").alias("_n")).where(F.col("_n") > how.max_group_rows)
+    return F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*how.by, F.lit(True).alias("_hot")))
 
 
 def _with_blocks(events: DataFrame, hot: DataFrame, how: ApplyRules, join: str) -> DataFrame:
@@ -159,20 +168,19 @@ def scd2(events: DataFrame, how: ApplyRules) -> DataFrame:
 
     Each event opens a version; of events with the same sequence number the last one counts.
     """
-    values = how.values(events)
-    marked = events.select(*how.keys, *values, how.position(events).alias("_pos"), how.deletes.alias("_del"))
-    return _versions(marked, values, how)
+    return versions_of_marked(mark(events, how), how.values(events), how)
 
 
-def _filled(value: str) -> Column:
-    return F.when(F.col(value).isNotNull(), F.struct(F.col("_pos").alias("pos"), F.col(value).alias("value")))
+def _filled(name: str) -> Column:
+    return F.when(column(name).isNotNull(), F.struct(F.col("_pos").alias("pos"), column(name).alias("value")))
 
 
-def _versions(marked: DataFrame, values: Sequence[str], how: ApplyRules) -> DataFrame:
-    carries = list(values) if how.ignore_nulls else []
+def versions_of_marked(marked: DataFrame, values: Sequence[str], how: ApplyRules) -> DataFrame:
+    """Versions of marked events; ``values`` are their payload columns."""
+    carries = {c: f"_f{i}" for i, c in enumerate(values)} if how.ignore_nulls else {}
     hot = _hot_keys(marked, how)
     blocks = _with_blocks(marked, hot, how, "left")
-    group = [*how.keys, "_block"]
+    group = [*how.by, F.col("_block")]
     ordered = W.partitionBy(*group).orderBy("_pos")
     so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
     kept = F.lit(True) if how.soft_delete else ~F.col("_del")
@@ -180,10 +188,10 @@ def _versions(marked: DataFrame, values: Sequence[str], how: ApplyRules) -> Data
     # Within a block: last non-NULL values and last delete so far, and where the next event starts.
     # Shuffling first keeps the window inputs, which repeat the position, out of the shuffle.
     local = blocks.repartition(*group).select(
-        *[F.col(c) for c in group], "_pos", "_del",
-        *([] if carries else values),
+        *group, "_pos", "_del",
+        *([] if carries else [column(c) for c in values]),
         F.lead(F.col("_pos.seq")).over(ordered).alias("_next"),
-        *[F.last(F.when(kept, _filled(c)), ignorenulls=True).over(so_far).alias(f"_f_{c}") for c in carries],
+        *[F.last(F.when(kept, _filled(c)), ignorenulls=True).over(so_far).alias(f) for c, f in carries.items()],
         *([] if how.soft_delete else [F.last(F.when(F.col("_del"), F.col("_pos")), ignorenulls=True).over(so_far).alias("_d")]),
     )
 
@@ -192,36 +200,36 @@ def _versions(marked: DataFrame, values: Sequence[str], how: ApplyRules) -> Data
     summary = _with_blocks(marked, hot, how, "inner").where(F.col("_block").isNotNull()).groupBy(*group).agg(
         F.min("_pos.seq").alias("_first"),
         F.max(F.when(F.col("_del"), F.col("_pos"))).alias("_d"),
-        *[F.max(F.when(kept, _filled(c))).alias(f"_f_{c}") for c in carries],
+        *[F.max(F.when(kept, _filled(c))).alias(f) for c, f in carries.items()],
     )
-    by_block = W.partitionBy(*how.keys).orderBy("_block")
+    by_block = W.partitionBy(*how.by).orderBy("_block")
     before = by_block.rowsBetween(W.unboundedPreceding, -1)
     carried = summary.select(
         *group,
         F.lead("_first").over(by_block).alias("_next"),
         F.last("_d", ignorenulls=True).over(before).alias("_d"),
-        *[F.last(f"_f_{c}", ignorenulls=True).over(before).alias(f"_f_{c}") for c in carries],
+        *[F.last(f, ignorenulls=True).over(before).alias(f) for f in carries.values()],
     )
 
-    joined = local.alias("l").join(carried.alias("c"), _same_keys(group, "l", "c"), "left")
+    joined = local.alias("l").join(carried.alias("c"), _same_keys([*how.keys, "_block"], "l", "c"), "left")
     following = F.coalesce(F.col("l._next"), F.col("c._next"))
     start = F.col("l._pos.seq")
     last_delete = F.lit(None) if how.soft_delete else F.coalesce(F.col("l._d"), F.col("c._d"))
 
-    def value(column: str) -> Column:
+    def value(name: str) -> Column:
         if not carries:
-            return F.col(f"l.{column}").alias(column)
-        held = F.coalesce(F.col(f"l._f_{column}"), F.col(f"c._f_{column}"))
+            return column(name, "l")
+        held = F.coalesce(F.col(f"l.{carries[name]}"), F.col(f"c.{carries[name]}"))
         if how.soft_delete:
-            return held["value"].alias(column)
-        return F.when(last_delete.isNull() | (held["pos"] > last_delete), held["value"]).alias(column)
+            return held["value"].alias(name)
+        return F.when(last_delete.isNull() | (held["pos"] > last_delete), held["value"]).alias(name)
 
     # Of events at one sequence number only the last is followed by a greater one.
     last_of_tie = following.isNull() | (following > start) | start.isNull()
     shown = last_of_tie if how.soft_delete else last_of_tie & ~F.col("l._del")
     flag = [F.col("l._del").alias(DELETED_FLAG)] if how.soft_delete else []
     return joined.where(shown).select(
-        *[F.col(f"l.{k}").alias(k) for k in how.keys],
+        *[column(k, "l") for k in how.keys],
         *[value(c) for c in values],
         *flag,
         start.alias(START),
@@ -256,6 +264,6 @@ def after_reload(events: DataFrame, how: ApplyRules) -> DataFrame:
 
     Off by default: a reload otherwise only upserts.
     """
-    latest = events.where(F.col("operation") == "LOAD").agg(F.max(how.sequence).alias("v"))
-    return events.where(F.col(how.sequence) >= F.coalesce(latest.scalar(), F.lit(0)))
+    latest = events.where(F.col("operation") == "LOAD").agg(F.max(column(how.sequence)).alias("v"))
+    return events.where(column(how.sequence) >= F.coalesce(latest.scalar(), F.lit(0)))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import column
+
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inserts, deletes and updates (before and after image) that lead from ``old`` to ``new``.
@@ -14,20 +16,20 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     Keys are unique on both sides, so the full outer join has no heavy groups.
     """
     columns = new.columns
-    before, after = old.select(*columns).alias("o"), new.alias("n")
-    on = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]
+    before, after = old.select(*[column(c) for c in columns]), new
+    on = [column(k, "o") == column(k, "n") for k in keys]
     joined = before.withColumn("_in_old", F.lit(True)).alias("o").join(
         after.withColumn("_in_new", F.lit(True)).alias("n"), on, "full"
     )
-    image = {side: F.struct(*[F.col(f"{side}.{c}").alias(c) for c in columns]) for side in "on"}
+    image = {side: F.struct(*[column(c, side).alias(c) for c in columns]) for side in "on"}
 
     def change(kind: str, side: str):
         return F.struct(F.lit(kind).alias("_change_type"), image[side].alias("row"))
 
     payload = [c for c in columns if c not in keys]
     differs = F.lit(False)
-    for column in payload:
-        differs = differs | ~F.col(f"o.{column}").eqNullSafe(F.col(f"n.{column}"))
+    for name in payload:
+        differs = differs | ~column(name, "o").eqNullSafe(column(name, "n"))
     changes = (
         F.when(F.col("_in_old").isNull(), F.array(change("insert", "n")))
         .when(F.col("_in_new").isNull(), F.array(change("delete", "o")))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.identity import fingerprint, table_uoid
 from tidemark.functions.operations import decode_operation
+from tidemark.session import column
 from tidemark.sources.feed import CHANGE_COLUMNS, OPERATION, VERSION
 
 TABLE_ID = T.StructType().add("catalog", "string").add("schema", "string").add("name", "string").add("uoid", "string")
@@ -28,7 +29,8 @@ ENVELOPE_SCHEMA = (
 def type_null_columns(df: DataFrame) -> DataFrame:
     """Columns without a type, NULL in every row, become bigint."""
     untyped = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
-    return df.withColumns({c: F.col(c).cast("bigint") for c in untyped}) if untyped else df
+    columns = [column(c).cast("bigint").alias(c) if c in untyped else column(c) for c in df.columns]
+    return df.select(*columns) if untyped else df
 
 
 def data_columns(df: DataFrame) -> list[str]:
@@ -59,7 +61,7 @@ def to_envelope(
     null_text = F.lit(None).cast("string")
     version = F.col(VERSION).cast("string") if VERSION in changes.columns else null_text
     operation = decode_operation(F.col(OPERATION)) if OPERATION in changes.columns else F.lit("UNKNOWN")
-    payload = F.to_json(F.struct(*data_columns(changes)), {"ignoreNullFields": "false"})
+    payload = F.to_json(F.struct(*[column(c) for c in data_columns(changes)]), {"ignoreNullFields": "false"})
     return changes.select(
         payload.alias("data"),
         F.struct(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Broadcasts are only asked for up to this many rows; larger sides are joined by a shuffle.
@@ -42,6 +42,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def column(name: str, of: str | None = None) -> Column:
+    """A column by its exact name, dots and spaces included; ``of`` is the alias of its frame."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(quoted if of is None else f"{of}.{quoted}")
+
+
 def if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
     """The frame if it has at most ``max_rows`` rows; counting stops soon after that."""
     return df if df.limit(max_rows + 1).count() <= max_rows else None

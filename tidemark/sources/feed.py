@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import if_small
+from tidemark.session import column, if_small
 
 VERSION = "SYS_CHANGE_VERSION"
 CREATION_VERSION = "SYS_CHANGE_CREATION_VERSION"
@@ -36,13 +36,13 @@ def incremental_changes(feed: DataFrame, table: DataFrame, keys: Sequence[str],
     if not keys:
         raise ValueError("an incremental read needs a primary key")
     lowered = {k.lower() for k in keys}
-    on = [F.col(f"ct.{k}") == F.col(f"t.{k}") for k in keys]
-    recent = feed.where(F.col(VERSION) > since).select(*CHANGE_COLUMNS, *keys)
-    touched = if_small(recent.select(*keys))
+    on = [column(k, "ct") == column(k, "t") for k in keys]
+    recent = feed.where(F.col(VERSION) > since).select(*CHANGE_COLUMNS, *[column(k) for k in keys])
+    touched = if_small(recent.select(*[column(k) for k in keys]))
     if touched is not None:
-        table = table.join(F.broadcast(touched), list(keys), "left_semi").select(*table.columns)
+        table = table.alias("t").join(F.broadcast(touched).alias("ct"), on, "left_semi")
     columns = [
-        F.coalesce(F.col(f"t.{c}"), F.col(f"ct.{c}")).alias(c) if c.lower() in lowered else F.col(f"t.{c}")
+        F.coalesce(column(c, "t"), column(c, "ct")).alias(c) if c.lower() in lowered else column(c, "t").alias(c)
         for c in table.columns
     ]
     joined = recent.alias("ct").join(table.alias("t"), on, "left")
@@ -60,7 +60,7 @@ def net_changes(log: DataFrame, keys: Sequence[str], since: int | None = None, c
         log = log.where(F.col(VERSION) > since)
     operation, version = F.col(OPERATION), F.col(VERSION)
     pick = {"last": F.max, "first": F.min}[creation]
-    folded = log.groupBy(*keys).agg(
+    folded = log.groupBy(*[column(k) for k in keys]).agg(
         F.max(version).alias("_last"),
         F.max(F.when(operation == "D", version)).alias("_deleted"),
         F.max(F.when(operation == "I", version)).alias("_inserted"),
@@ -71,7 +71,7 @@ def net_changes(log: DataFrame, keys: Sequence[str], since: int | None = None, c
     fresh = F.col("_inserted").isNotNull() & (F.col("_deleted").isNull() | (F.col("_inserted") > F.col("_deleted")))
     net = F.when(gone, "D").when(fresh, "I").when(F.col("_loaded") == F.col("_last"), "L").otherwise("U")
     return folded.select(
-        F.col("_last").alias(VERSION), F.col("_created").alias(CREATION_VERSION), net.alias(OPERATION), *keys
+        F.col("_last").alias(VERSION), F.col("_created").alias(CREATION_VERSION), net.alias(OPERATION), *[column(k) for k in keys]
     )
 
 

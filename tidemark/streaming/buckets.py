@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.session import column
+
 Parts = dict[int, list[int]]
 
 
@@ -25,7 +27,7 @@ class BucketedTable:
 
     def bucket(self) -> Column:
         """Bucket of a row, from its key."""
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("bucket")
+        return F.pmod(F.xxhash64(*[column(k) for k in self.keys]), F.lit(self.buckets)).cast("int").alias("bucket")
 
     def parts(self, before: int | None = None) -> Parts:
         """Parts in force; with ``before``, as of the last commit of an earlier batch."""

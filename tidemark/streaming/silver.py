@@ -23,12 +23,14 @@ from tidemark.operators.apply import (
     END,
     START,
     ApplyRules,
-    _versions,
     finish_state,
     fold_state,
+    mark,
     merge_states,
+    versions_of_marked,
 )
 from tidemark.operators.envelope import from_envelope
+from tidemark.session import broadcast_if_small, column
 from tidemark.streaming.bronze import bronze_stream
 from tidemark.streaming.buckets import BucketedTable, appended, crowded
 
@@ -74,7 +76,7 @@ class SilverTable:
             return finish_state(state, self.how)
         open_versions = finish_state(state, self.how, with_start=True).withColumn(END, F.lit(None).cast("bigint"))
         closed = self.closed.read(self.closed.parts())
-        return closed.select(*open_versions.columns).unionByName(open_versions)
+        return closed.unionByName(open_versions)
 
     # ---- one batch ----
 
@@ -118,22 +120,23 @@ class SilverTable:
 
     def _commit_closed(self, events: DataFrame, known: DataFrame, batch: int) -> None:
         keys = list(self.how.keys)
-        first = events.groupBy(*keys).agg(F.min(self.how.position(events)).alias("_first_pos"))
+        first = events.groupBy(*self.how.by).agg(F.min(self.how.position(events)).alias("_first_pos"))
         last = F.greatest("_deleted_pos", "_upsert_pos")
         late = F.coalesce(F.col("_first_pos") <= last, F.lit(False))
         met = first.join(known, keys, "left").withColumn("_late", late).persist()
         try:
-            late_keys = met.where("_late").select(*keys)
-            closed = _closed(_continued(events.join(late_keys, keys, "left_anti"), met.where(~F.col("_late")), self.how))
+            late_keys = met.where("_late").select(*self.how.by)
             before = self.closed.parts(before=batch)
             late_buckets = [r[0] for r in late_keys.select(self.closed.bucket()).distinct().collect()]
             rewrite = set(late_buckets) | set(crowded(before, self.parts_per_bucket))
+            others = self.closed.read(before, rewrite)
             if late_buckets:
+                late_keys = broadcast_if_small(late_keys)
+                events = events.join(late_keys, keys, "left_anti")
+                others = others.join(late_keys, keys, "left_anti")
                 past = self._logged(batch, late_buckets).join(late_keys, keys, "left_semi")
-                closed = closed.unionByName(_closed(_versions_of(past, self.how)))
-            if rewrite:
-                others = self.closed.read(before, rewrite).join(late_keys, keys, "left_anti")
-                closed = closed.unionByName(others)
+                others = others.unionByName(_closed(_versions_of(past, self.how)))
+            closed = _closed(_continued(events, met.where(~F.col("_late")), self.how)).unionByName(others)
             written = self.closed.write(closed, batch)
             kept = {b: ps for b, ps in before.items() if b not in rewrite}
             self.closed.commit(appended(kept, written, batch), batch)
@@ -141,12 +144,8 @@ class SilverTable:
             met.unpersist()
 
 
-def _marked(events: DataFrame, how: ApplyRules) -> DataFrame:
-    return events.select(*how.keys, *how.values(events), how.position(events).alias("_pos"), how.deletes.alias("_del"))
-
-
 def _versions_of(events: DataFrame, how: ApplyRules) -> DataFrame:
-    return _versions(_marked(events, how), how.values(events), how)
+    return versions_of_marked(mark(events, how), how.values(events), how)
 
 
 def _closed(versions: DataFrame) -> DataFrame:
@@ -165,8 +164,8 @@ def _continued(events: DataFrame, known: DataFrame, how: ApplyRules) -> DataFram
     lowest = F.struct(
         F.col(START).alias("seq"), F.lit(-1).cast("bigint").alias("at"), F.lit(-1).alias("rank")
     )
-    base = open_rows.select(*how.keys, *values, lowest.alias("_pos"), deleted.alias("_del"))
-    return _versions(_marked(events, how).unionByName(base), values, how)
+    base = open_rows.select(*how.by, *[column(c) for c in values], lowest.alias("_pos"), deleted.alias("_del"))
+    return versions_of_marked(mark(events, how).unionByName(base), values, how)
 
 
 def apply_stream(

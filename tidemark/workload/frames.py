@@ -207,27 +207,16 @@ def sync_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gateway_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events other than signups as gateway events; errors are background operations, the rest flow progress."""
     kind, k = F.col("event_type"), F.col("k")
-    flow = F.to_json(
-        F.struct(
-            F.struct(
-                F.when(k % 10 == 0, "FAILED").otherwise("COMPLETED").alias("status"),
-                F.struct((k * 100).alias("executor_time_ms"), (k * 10).alias("executor_cpu_time_ms")).alias("metrics"),
-            ).alias("flow_progress"),
-            F.struct(F.to_json(F.struct(k.alias("rows"))).alias("progress_json")).alias("stream_progress"),
-        )
-    )
-    work = F.to_json(
-        F.struct(
-            F.struct(
-                F.when(k < 50, "VACUUM").otherwise("OPTIMIZE").alias("op_type"),
-                F.lit("DONE").alias("status"),
-                (k * 7).alias("duration_ms"),
-                (k * 3).alias("num_rows_deleted"),
-                (k * 1024).alias("num_bytes_deleted"),
-                k.alias("num_files_deleted"),
-            ).alias("background_operation")
-        )
-    )
+    flow = F.concat(
+        F.lit('{"flow_progress":{"status":"'), F.when(k % 10 == 0, "FAILED").otherwise("COMPLETED"),
+        F.lit('","metrics":{"executor_time_ms":'), k * 100, F.lit(',"executor_cpu_time_ms":'), k * 10,
+        F.lit('}},"stream_progress":{"progress_json":"{\\"rows\\":'), k, F.lit('}"}}'),
+    )
+    work = F.concat(
+        F.lit('{"background_operation":{"op_type":"'), F.when(k < 50, "VACUUM").otherwise("OPTIMIZE"),
+        F.lit('","status":"DONE","duration_ms":'), k * 7, F.lit(',"num_rows_deleted":'), k * 3,
+        F.lit(',"num_bytes_deleted":'), k * 1024, F.lit(',"num_files_deleted":'), k, F.lit("}}"),
+    )
     user = F.col("user_id")
     return parsed_events(spark, sf_dir).where(kind != "signup").select(
         F.col("event_id").cast("string").alias("id"),
@@ -235,10 +224,9 @@ def gateway_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("update_id"),
         F.lit("web_changes").alias("pipeline_id"),
         F.lit("web").alias("pipeline_name"),
-        F.to_json(F.struct(
-            F.lit("cloud-a").alias("cloud"), F.concat(F.lit("r"), k % 5).alias("region"),
-            F.lit("org").alias("org_id"), F.concat(F.lit("c"), user).alias("cluster_id"),
-        )).alias("origin"),
+        F.concat(
+            F.lit('{"cloud":"cloud-a","region":"r'), k % 5, F.lit('","org_id":"org","cluster_id":"c'), user, F.lit('"}')
+        ).alias("origin"),
         F.when(k != 99, F.concat(F.lit("lake.app_web."), F.when(kind == "error", "click").otherwise(kind))).alias("flow_name"),
         F.when(kind == "error", "background_operation").otherwise("flow_progress").alias("event_type"),
         F.when(kind == "error", "WARN").otherwise("INFO").alias("level"),

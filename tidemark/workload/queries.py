@@ -117,12 +117,15 @@ def feed_bounds_(spark: SparkSession, d: str) -> DataFrame:
     return feed_bounds(frames.keyed_feed(spark, d))
 
 
-@query
-def sync_log_scan(spark: SparkSession, d: str) -> DataFrame:
+def _written_log(spark: SparkSession, d: str) -> DataFrame:
     folder = shared_folder(spark, "sync_log")
     write_sync_log(frames.sync_log_rows(spark, d), folder)
-    scanned = sync_log(spark, folder)
-    return scanned.groupBy("sync_date", "table_status").agg(
+    return sync_log(spark, folder)
+
+
+@query
+def sync_log_scan(spark: SparkSession, d: str) -> DataFrame:
+    return _written_log(spark, d).groupBy("sync_date", "table_status").agg(
         F.count("*").alias("tables"), F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows_written")
     ).withColumn("sync_date", F.col("sync_date").cast("string"))
 
@@ -595,7 +598,8 @@ def pipeline_parsed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _unified(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.unified_metrics(frames.gateway_log(spark, d), metrics.pipeline_parsed(frames.sync_log_rows(spark, d)))
+    """The unified view over the gateway log and a sync log that was written as runs write it."""
+    return metrics.unified_metrics(frames.gateway_log(spark, d), metrics.pipeline_parsed(_written_log(spark, d)))
 
 
 def _shown(unified: DataFrame) -> DataFrame:
