@@ -9,7 +9,7 @@ from tidemark.plans.sync_run import sync_tables
 from tidemark.sources import jdbc
 from tidemark.sources.catalog import primary_key_map, resolve_tables
 from tidemark.sources.feed import current_version, feed_bounds, full_load, incremental_changes, net_changes
-from tidemark.spec import TableSpec
+from tidemark.spec import TableSpec, tables_frame
 
 LOG = "SYS_CHANGE_VERSION bigint, SYS_CHANGE_CREATION_VERSION bigint, SYS_CHANGE_OPERATION string, id int"
 
@@ -129,8 +129,11 @@ def test_specs_are_checked(field, value):
         TableSpec("d", "s", "t", ("id",), **{field: value})
 
 
-def test_a_single_key_may_be_given_as_text():
-    assert TableSpec("d", "s", "t", "id").keys == ("id",)
+def test_specs_become_a_control_table(spark):
+    specs = [TableSpec("d", "s", "t", "id"), TableSpec("d", "s", "u", ["a", "b"], "incremental", 2, True)]
+    assert rows(tables_frame(spark, specs)) == [
+        ("d", "s.t", "full_incremental", 1, False, ["id"]), ("d", "s.u", "incremental", 2, True, ["a", "b"]),
+    ]
 
 
 class _Reader:

@@ -63,10 +63,16 @@ def columns_sorted(df, soft, scd_type):
 
 
 @pytest.mark.parametrize("scd_type", [1, 2])
-def test_a_repeated_batch_changes_nothing(spark, folder, scd_type):
+def test_a_batch_cut_short_or_repeated_changes_nothing(spark, folder, monkeypatch, scd_type):
     events = brute_force.random_events(random.Random(5), n=40)
     silver = SilverTable(spark, folder, PAYLOAD, rules("key"), scd_type, buckets=2, parts_per_bucket=1)
     for number, part in enumerate(batches(random.Random(5), events, 2)):
+        before = rows(silver.read())
+        with monkeypatch.context() as patch:
+            patch.setattr(silver.state, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                silver.apply_batch(envelopes(spark, part), number)
+        assert rows(silver.read()) == before
         silver.apply_batch(envelopes(spark, part), number)
         once = rows(silver.read())
         silver.apply_batch(envelopes(spark, part), number)

@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.identity import schema_part, table_part, table_uoid
 from tidemark.functions.operations import decode_operation
@@ -18,6 +17,7 @@ from tidemark.operators.apply import rules
 from tidemark.operators.sinks import write_landing, write_sync_log
 from tidemark.plans.runlog import log_rows
 from tidemark.plans.sync_run import SyncRun, sync_tables
+from tidemark.session import read_parquet
 from tidemark.sources.catalog import schema_fingerprint
 from tidemark.sources.feed import OPERATION, VERSION
 from tidemark.streaming.bronze import start_bronze
@@ -38,9 +38,8 @@ class ControlTable:
         self.spark, self.path, self.schema = spark, path, schema
 
     def read(self) -> DataFrame:
-        try:
-            stored = self.spark.read.schema(f"{self.schema}, run bigint").parquet(self.path)
-        except AnalysisException:
+        stored = read_parquet(self.spark, f"{self.schema}, run bigint", self.path)
+        if stored is None:
             return self.spark.createDataFrame([], self.schema)
         return stored.where(F.col("run") == F.lit(stored.agg(F.max("run")).first()[0])).drop("run")
 
@@ -85,11 +84,8 @@ class SyncJob:
         self.log_path = f"{self.root}/sync_log"
 
     def watermarks(self) -> DataFrame:
-        try:
-            entries = self.spark.read.schema(LEDGER).parquet(self.ledger.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], LEDGER)
-        return ledger.latest_watermarks(entries)
+        entries = read_parquet(self.spark, LEDGER, self.ledger.path)
+        return self.spark.createDataFrame([], LEDGER) if entries is None else ledger.latest_watermarks(entries)
 
     def run(self, source: SourceDatabase, override: str | None = None) -> DataFrame:
         """One run: data first, then the watermarks, then what describes them.

@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Broadcasts are only asked for up to this many rows; larger sides are joined by a shuffle.
 BROADCAST_ROWS = 100_000
@@ -48,6 +50,16 @@ def column(name: str, of: str | None = None) -> Column:
     return F.col(quoted if of is None else f"{of}.{quoted}")
 
 
+def read_parquet(spark: SparkSession, schema: T.StructType | str, path: str) -> DataFrame | None:
+    """A Parquet folder, or None while it does not exist."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
     """The frame if it has at most ``max_rows`` rows; counting stops soon after that."""
     return df if df.limit(max_rows + 1).count() <= max_rows else None

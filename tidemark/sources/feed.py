@@ -26,19 +26,21 @@ def full_load(table: DataFrame, version: int | Column) -> DataFrame:
     )
 
 
-def incremental_changes(feed: DataFrame, table: DataFrame, keys: Sequence[str], since: int) -> DataFrame:
+def incremental_changes(
+    feed: DataFrame, table: DataFrame, keys: Sequence[str], since: int, count_first: bool = True
+) -> DataFrame:
     """Changes after ``since`` with the current row of each key.
 
     ``feed`` has the change columns and the keys, at most one row per key (see ``net_changes``).
-    Keys of deleted rows come from the feed; their other columns are NULL. With few changes only the table
-    rows they touch are shuffled.
+    Keys of deleted rows come from the feed; their other columns are NULL. The changes are counted first,
+    unless told otherwise: with few of them, only the table rows they touch are shuffled.
     """
     if not keys:
         raise ValueError("an incremental read needs a primary key")
     lowered = {k.lower() for k in keys}
     on = [column(k, "ct") == column(k, "t") for k in keys]
     recent = feed.where(F.col(VERSION) > since).select(*CHANGE_COLUMNS, *[column(k) for k in keys])
-    touched = if_small(recent.select(*[column(k) for k in keys]))
+    touched = if_small(recent.select(*[column(k) for k in keys])) if count_first else None
     if touched is not None:
         table = table.alias("t").join(F.broadcast(touched).alias("ct"), on, "left_semi")
     columns = [

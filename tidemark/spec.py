@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame, SparkSession
+
 MODES = ("incremental", "full_incremental")
 DEFAULT_MODE = "full_incremental"
 SCD_TYPES = (1, 2)
@@ -33,3 +36,10 @@ class TableSpec:
         if not isinstance(self.keys, tuple):
             single = isinstance(self.keys, str)
             object.__setattr__(self, "keys", (self.keys,) if single else tuple(self.keys))
+
+
+def tables_frame(spark: SparkSession, specs: Iterable[TableSpec]) -> DataFrame:
+    """Settings of all tables as the control table a sync run reads."""
+    listed = [(s.database, f"{s.schema}.{s.table}", s.mode, s.scd_type, s.soft_delete, list(s.keys)) for s in specs]
+    fields = "database string, table_name string, mode string, scd_type int, soft_delete boolean, primary_key array<string>"
+    return spark.createDataFrame(listed, fields)

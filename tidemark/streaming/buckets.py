@@ -11,9 +11,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from tidemark.session import column
+from tidemark.session import column, read_parquet
 
 Parts = dict[int, list[int]]
 
@@ -29,20 +28,24 @@ class BucketedTable:
         """Bucket of a row, from its key."""
         return F.pmod(F.xxhash64(*[column(k) for k in self.keys]), F.lit(self.buckets)).cast("int").alias("bucket")
 
+    def last_batch(self, before: int | None = None) -> int | None:
+        """Number of the latest committed batch, or of the latest one earlier than ``before``."""
+        commits = self._commits(before)
+        return None if commits is None else commits.agg(F.max("batch")).first()[0]
+
     def parts(self, before: int | None = None) -> Parts:
-        """Parts in force; with ``before``, as of the last commit of an earlier batch."""
-        try:
-            commits = self.spark.read.schema("bucket int, part bigint, batch bigint").parquet(f"{self.path}/commits")
-        except AnalysisException:
-            return {}
-        if before is not None:
-            commits = commits.where(F.col("batch") < before)
-        latest = commits.agg(F.max("batch")).first()[0]
+        """Parts in force after the latest commit, or after the latest one earlier than ``before``."""
+        latest = self.last_batch(before)
         found: Parts = {}
-        for row in commits.where(F.col("batch") == F.lit(latest)).where("bucket >= 0").collect():
-            found.setdefault(row["bucket"], []).append(row["part"])
+        if latest is not None:
+            for row in self._commits(None).where((F.col("batch") == latest) & (F.col("bucket") >= 0)).collect():
+                found.setdefault(row["bucket"], []).append(row["part"])
         return found
 
+    def _commits(self, before: int | None) -> DataFrame | None:
+        commits = read_parquet(self.spark, "bucket int, part bigint, batch bigint", f"{self.path}/commits")
+        return commits if commits is None or before is None else commits.where(F.col("batch") < before)
+
     def read(self, parts: Parts, buckets: Iterable[int] | None = None) -> DataFrame:
         """Rows of the given parts, optionally of some buckets only."""
         wanted = parts if buckets is None else {b: parts[b] for b in buckets if b in parts}
@@ -56,10 +59,7 @@ class BucketedTable:
         target = f"{self.path}/rows/batch={batch}"
         even = rows.withColumn("bucket", self.bucket()).hint("rebalance", F.col("bucket"))
         even.write.mode("overwrite").partitionBy("bucket").parquet(target)
-        try:
-            written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(target)
-        except AnalysisException:
-            return []
+        written = self.spark.read.schema(T.StructType([*self.schema.fields]).add("bucket", "integer")).parquet(target)
         return [r["bucket"] for r in written.select("bucket").distinct().collect()]
 
     def commit(self, parts: Parts, batch: int) -> None:

@@ -70,18 +70,26 @@ class SilverTable:
     # ---- reading ----
 
     def read(self) -> DataFrame:
-        """The table as of the last whole batch."""
+        """The table as of the last whole batch, which is the last one whose state was committed."""
         state = merge_states(self.state.read(self.state.parts()), self.how)
         if self.scd_type == 1:
             return finish_state(state, self.how)
         open_versions = finish_state(state, self.how, with_start=True).withColumn(END, F.lit(None).cast("bigint"))
-        closed = self.closed.read(self.closed.parts())
+        last = self.state.last_batch()
+        closed = self.closed.read({} if last is None else self.closed.parts(before=last + 1))
         return closed.unionByName(open_versions)
 
     # ---- one batch ----
 
     def apply_batch(self, bronze: DataFrame, batch: int) -> None:
-        """Applies a micro-batch. A repeated one finds and leaves the table as the first did."""
+        """Applies a micro-batch.
+
+        One that was committed before is passed over; one that was cut short starts from the same point.
+        Batch numbers come from the checkpoint of the stream, so the two belong together.
+        """
+        last = self.state.last_batch()
+        if last is not None and batch <= last:
+            return
         events = self.events(bronze).persist()
         try:
             touched = [r[0] for r in events.select(self.state.bucket()).distinct().collect()]
@@ -93,9 +101,11 @@ class SilverTable:
                 self._commit_state(fresh, before, batch)
                 return
             self._log(events, batch)
-            known = merge_states(self.state.read(before, touched), self.how)
+            met = broadcast_if_small(events.select(*self.how.by).distinct())
+            stored = self.state.read(before, touched).join(met, list(self.how.keys), "left_semi")
+            known = merge_states(stored, self.how)
             self._commit_closed(events, known, batch)
-            # The state goes last: until it is committed, a repeated batch starts from the same point.
+            # The state goes last: until it is committed, readers stay with the batch before.
             self._commit_state(fresh, before, batch)
         finally:
             events.unpersist()
