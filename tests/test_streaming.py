@@ -5,12 +5,14 @@ import random
 import brute_force
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.identity import uoid_of
 from tidemark.operators.apply import rules
 from tidemark.operators.envelope import to_envelope
 from tidemark.operators.sinks import write_landing
+from tidemark.operators.widening import UnsupportedTypeChange
 from tidemark.streaming.bronze import bronze_table, start_bronze
 from tidemark.streaming.silver import SilverTable, apply_all, apply_stream
 
@@ -112,3 +114,19 @@ def test_many_small_files_in_many_batches(spark, folder):
     silver = SilverTable(spark, f"{folder}/silver", PAYLOAD, rules("key"), 2, buckets=2)
     apply_stream(spark, f"{folder}/bronze", uoid_of("db", "dbo", "t"), silver, f"{folder}/cp", max_files=1).awaitTermination()
     assert columns_sorted(silver.read(), False, 2) == brute_force.scd2(events)
+
+
+@pytest.mark.parametrize("scd_type,ignore_nulls", [(1, True), (2, True), (2, False)])
+def test_a_wider_payload_reads_what_is_stored(spark, folder, scd_type, ignore_nulls):
+    def table(payload):
+        return SilverTable(spark, folder, payload, rules("key", ignore_nulls=ignore_nulls), scd_type, buckets=2)
+
+    table(PAYLOAD).apply_batch(envelopes(spark, [(1, 1, "INSERT", "x", 1), (1, 2, "UPDATE", "y", 2), (2, 1, "INSERT", "z", 3)]), 0)
+    wide = T.StructType().add("key", "integer").add("a", "string").add("b", "long").add("c", "string")
+    later = envelopes(spark, [(2, 5, "UPDATE", None, 4)]).withColumn("data", F.lit('{"key":2,"a":"z","b":5000000000,"c":"new"}'))
+    table(wide).apply_batch(later, 1)
+    got = rows(table(wide).read().select("key", "a", "b", "c"))
+    want = [(1, "y", 2, None), (2, "z", 5_000_000_000, "new")]
+    assert got == sorted(want + ([(1, "x", 1, None), (2, "z", 3, None)] if scd_type == 2 else []), key=repr)
+    with pytest.raises(UnsupportedTypeChange):
+        table(T.StructType().add("key", "integer").add("a", "integer").add("b", "long"))

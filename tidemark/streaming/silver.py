@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.types import widens
 from tidemark.operators.apply import (
     DELETED_FLAG,
     END,
@@ -30,6 +31,7 @@ from tidemark.operators.apply import (
     versions_of_marked,
 )
 from tidemark.operators.envelope import from_envelope
+from tidemark.operators.widening import UnsupportedTypeChange
 from tidemark.session import broadcast_if_small, column
 from tidemark.streaming.bronze import bronze_stream
 from tidemark.streaming.buckets import BucketedTable, appended, crowded
@@ -56,9 +58,26 @@ class SilverTable:
         self.state = BucketedTable(self.spark, f"{self.path}/state", state, self.how.keys, self.buckets)
         closed = _closed(_versions_of(events, self.how)).schema
         self.closed = BucketedTable(self.spark, f"{self.path}/closed", closed, self.how.keys, self.buckets)
+        self._check_types(events)
         self.log_path = f"{self.path}/events"
         self.log_schema = T.StructType([*events.schema.fields]).add("batch", "long").add("bucket", "integer")
 
+    def _check_types(self, events: DataFrame) -> None:
+        """Refuses a payload that stored columns cannot be read as.
+
+        Wider types are fine, the Parquet reader widens stored values; added columns read as NULL.
+        """
+        last = self.state.last_batch()
+        if last is None:
+            return
+        stored = self.spark.read.parquet(f"{self.state.path}/rows/batch={last}").schema
+        held = stored["_row"].dataType["value"].dataType if "_row" in stored.names else stored
+        for name in self.how.values(events):
+            if name in held.names:
+                old = held[name].dataType if held is not stored else held[name].dataType["value"].dataType
+                if not widens(old, events.schema[name].dataType):
+                    raise UnsupportedTypeChange(f"{name}: {old.simpleString()} -> {events.schema[name].dataType.simpleString()}")
+
     def _empty_events(self) -> DataFrame:
         bronze = self.spark.createDataFrame([], "data string, cursor struct<seqNum:string>, extractionTimestamp bigint, operation string")
         return self.events(bronze)

@@ -13,8 +13,6 @@ from tidemark.functions.identity import schema_part, table_part, table_uoid, uoi
 from tidemark.functions.operations import decode_operation
 from tidemark.operators import ledger, manifest, schema_history
 from tidemark.operators.apply import (
-    END,
-    START,
     after_reload,
     apply_changes,
     current_versions,
@@ -29,7 +27,7 @@ from tidemark.plans import metrics, runlog
 from tidemark.plans.sync_run import sync_tables
 from tidemark.session import shared_folder
 from tidemark.sources import catalog
-from tidemark.sources.feed import CREATION_VERSION, OPERATION, VERSION, feed_bounds, full_load, incremental_changes, net_changes
+from tidemark.sources.feed import OPERATION, VERSION, feed_bounds, full_load, incremental_changes, net_changes
 from tidemark.sources.landing import sync_log
 from tidemark.streaming.bronze import bronze_table, start_bronze
 from tidemark.streaming.silver import SilverTable, apply_stream
@@ -165,11 +163,9 @@ def envelope_binary(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("lang") != "fr", F.encode("text", "UTF-8")).alias("body"),
     )
     envelope = to_envelope(documents, "docs", "dbo", "documents", extracted_at_ms=0)
-    text = F.get_json_object("data", "$.body")
-    back = from_envelope(envelope.withColumn("b64", text), T.StructType().add("doc_id", "long").add("body", "binary"))
-    encoded = envelope.select(F.get_json_object("data", "$.doc_id").cast("bigint").alias("doc_id"), text.alias("base64"))
-    sizes = back.select("doc_id", F.octet_length("body").alias("n_bytes"))
-    return encoded.select("doc_id", F.md5("base64").alias("base64_md5")).join(sizes, "doc_id")
+    payload = T.StructType().add("doc_id", "long").add("body", "binary")
+    decoded = envelope.select(F.get_json_object("data", "$.body").alias("base64"), F.from_json("data", payload).alias("p"))
+    return decoded.select("p.doc_id", F.md5("base64").alias("base64_md5"), F.octet_length("p.body").alias("n_bytes"))
 
 
 @query
@@ -299,8 +295,7 @@ def scd2_current(spark: SparkSession, d: str) -> DataFrame:
 def scd2_as_of(spark: SparkSession, d: str) -> DataFrame:
     """Versions in force when the first purchase above 90 happened."""
     purchases = frames.table(spark, d, "events").where((F.col("event_type") == "purchase") & (F.col("value") > 90))
-    at = purchases.agg(F.min("event_id")).first()[0]
-    return versions_as_of(scd2_apply(spark, d), at)
+    return versions_as_of(scd2_apply(spark, d), purchases.agg(F.min("event_id")).scalar())
 
 
 def _landed(spark: SparkSession, d: str) -> tuple[str, str]:
@@ -598,8 +593,11 @@ def pipeline_parsed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _unified(spark: SparkSession, d: str) -> DataFrame:
-    """The unified view over the gateway log and a sync log that was written as runs write it."""
-    return metrics.unified_metrics(frames.gateway_log(spark, d), metrics.pipeline_parsed(_written_log(spark, d)))
+    """The unified view over the gateway log and a sync log derived once, since the view reads it twice."""
+    folder = shared_folder(spark, "sync_log")
+    log = frames.sync_log_rows(spark, d)
+    log.coalesce(1).write.parquet(folder)
+    return metrics.unified_metrics(frames.gateway_log(spark, d), metrics.pipeline_parsed(spark.read.schema(log.schema).parquet(folder)))
 
 
 def _shown(unified: DataFrame) -> DataFrame:
