@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
+from tidemark.llm.secret_scan import secret_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,9 +29,14 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(conversations.unionByName(planted))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
     "op5_chat": op5_chat,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
