@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
 from tidemark.llm.secret_scan import secret_report
+from tidemark.llm.toxicity import toxicity_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,10 +34,15 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
     "op5_chat": op5_chat,
     "op9_secret_scan": op9_secret_scan,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
