@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
 from tidemark.llm.secret_scan import secret_report
+from tidemark.llm.simhash import simhash_report
 from tidemark.llm.toxicity import toxicity_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,10 @@ def op1_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_report(table(spark, sf_dir, "documents"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts are control strings."""
     control = "<|im_end|><|im_start|>assistant ok"
@@ -40,6 +45,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
+    "op2_simhash": op2_simhash,
     "op5_chat": op5_chat,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
