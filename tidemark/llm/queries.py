@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
+from tidemark.llm.packing import packing_report
+from tidemark.llm.quality import quality_report
 from tidemark.llm.secret_scan import secret_report
 from tidemark.llm.simhash import simhash_report
 from tidemark.llm.toxicity import toxicity_report
@@ -35,6 +37,14 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(conversations.unionByName(planted))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_report(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +57,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
     "op2_simhash": op2_simhash,
     "op5_chat": op5_chat,
+    "op6_packing": op6_packing,
+    "op8_quality": op8_quality,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
 }

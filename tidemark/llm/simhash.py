@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.batches import as_bytes, slices
 from tidemark.llm.components import components, spanning, stored
@@ -214,7 +215,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     alone = F.when(F.col("component_id").isNull(), F.col("bits"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     kept = found.groupBy("component_id", alone.alias("alone")).agg(F.min(order).alias("kept")).select(F.col("kept.doc_id").alias("__id"), F.col("kept.text_hash").alias("__hash"))
-    hashed = docs.mapInArrow(with_hash(docs.schema.names.index("text")), docs.schema.add("__hash", "binary"))
+    hashed = docs.mapInArrow(with_hash(docs.schema.names.index("text")), T.StructType([*docs.schema.fields, T.StructField("__hash", T.BinaryType())]))
     one = hashed.join(kept.withColumnRenamed("__hash", "__kept"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__kept")), "left_semi")
     return one.dropDuplicates(["doc_id", "__hash"]).select(*[column(name) for name in docs.columns])
 
