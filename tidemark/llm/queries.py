@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
+from tidemark.llm.embedding_dedup import embedding_report
 from tidemark.llm.packing import packing_report
 from tidemark.llm.quality import quality_report
 from tidemark.llm.secret_scan import secret_report
@@ -29,6 +30,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_report(table(spark, sf_dir, "embeddings"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts are control strings."""
     control = "<|im_end|><|im_start|>assistant ok"
@@ -56,6 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
     "op2_simhash": op2_simhash,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op5_chat": op5_chat,
     "op6_packing": op6_packing,
     "op8_quality": op8_quality,
