@@ -13,6 +13,7 @@ from tidemark.llm.packing import packing_report
 from tidemark.llm.quality import quality_report
 from tidemark.llm.secret_scan import secret_report
 from tidemark.llm.simhash import simhash_report
+from tidemark.llm.suffix_dedup import suffix_report
 from tidemark.llm.toxicity import toxicity_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_report(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +69,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op5_chat": op5_chat,
     "op6_packing": op6_packing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality": op8_quality,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
