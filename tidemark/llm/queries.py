@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
 from tidemark.llm.embedding_dedup import embedding_report
+from tidemark.llm.hidden_markov import scoring_report
 from tidemark.llm.packing import packing_report
 from tidemark.llm.quality import quality_report
 from tidemark.llm.secret_scan import secret_report
@@ -35,6 +36,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_report(table(spark, sf_dir, "embeddings"))
 
 
+def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring_report(table(spark, sf_dir, "documents"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts are control strings."""
     control = "<|im_end|><|im_start|>assistant ok"
@@ -67,6 +72,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
     "op2_simhash": op2_simhash,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_hidden_markov": op4_hidden_markov,
     "op5_chat": op5_chat,
     "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
