@@ -108,7 +108,7 @@ def test_plan_has_defaults_and_leaves_out_unnamed_targets(spark):
 
 
 def test_flatten_keeps_entries_without_targets(spark):
-    document = '{"databases":{"db":{"catalog_name":null,"dbo":{"schema_name":"s","t1":{"file_path":"/p","primary_key":["id"]},"note":"text"}},"odd":"text"}}'
+    document = '{"databases":{"db":{"uc_catalog_name":null,"dbo":{"uc_schema_name":"s","t1":{"file_path":"/p","primary_key":["id"]},"note":"text"}},"odd":"text"}}'
     got = manifest.flatten(spark.createDataFrame([(document,)], "manifest string")).select("database", "schema_name", "table_name", "catalog_target", "schema_target", "file_path", "primary_key")
     assert rows(got) == [("db", "dbo", "t1", None, "s", "/p", ["id"])]
 

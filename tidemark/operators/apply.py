@@ -27,8 +27,8 @@ DELETE_EVENTS = "operation = 'DELETE'"
 START, END = "__start_at", "__end_at"
 DELETED_FLAG = "_is_deleted"
 
-# Most keys that are cut into blocks; any beyond that keep a single ordered group.
-HOT_KEYS = 100_000
+# Into how many blocks of about equal rows a key with many events is cut.
+HOT_BLOCKS = 200
 
 
 @dataclass(frozen=True)
@@ -143,23 +143,26 @@ def scd1(events: DataFrame, how: ApplyRules) -> DataFrame:
 def _same_keys(keys: Sequence[str], left: str, right: str) -> Column:
     on = F.lit(True)
     for key in keys:
-        on = on & (column(key, left) == column(key, right))
+        on = on & column(key, left).eqNullSafe(column(key, right))
     return on
 
 
 def _hot_keys(events: DataFrame, how: ApplyRules) -> DataFrame:
-    """Keys with more than ``max_group_rows`` events, at most ``HOT_KEYS`` of them.
+    """Keys with more than ``max_group_rows`` events, with sequence numbers that cut them into even blocks.
 
-    The limit makes the list safe to broadcast; a key beyond it keeps one group, with the same result.
+    Where the cuts lie has no bearing on the result, so approximate quantiles do.
     """
     counts = events.groupBy(*how.by).agg(F.count("*").alias("_n")).where(F.col("_n") > how.max_group_rows)
-    return F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*how.by, F.lit(True).alias("_hot")))
+    own = events.select(*how.by, F.col("_pos.seq").alias("_seq")).alias("e").join(counts.alias("h"), _same_keys(how.keys, "e", "h"), "left_semi")
+    shares = F.array(*[F.lit(i / HOT_BLOCKS) for i in range(1, HOT_BLOCKS)])
+    return own.groupBy(*how.by).agg(F.percentile_approx("_seq", shares, 4 * HOT_BLOCKS).alias("_cuts"), F.lit(True).alias("_hot"))
 
 
 def _with_blocks(events: DataFrame, hot: DataFrame, how: ApplyRules, join: str) -> DataFrame:
-    """Adds ``_block``, the slice of ``max_group_rows`` sequence numbers an event of a hot key falls into."""
+    """Adds ``_block``, the number of cuts below an event of a hot key; events without a number come first."""
     joined = events.alias("e").join(hot.alias("h"), _same_keys(how.keys, "e", "h"), join)
-    block = F.when(F.col("h._hot"), F.expr(f"e._pos.seq div {how.max_group_rows}"))
+    below = F.coalesce(F.size(F.filter(F.array_distinct("h._cuts"), lambda cut: cut < F.col("e._pos.seq"))), F.lit(0))
+    block = F.when(F.col("h._hot"), F.when(F.col("e._pos.seq").isNull(), -1).otherwise(below))
     return joined.select("e.*", block.alias("_block"))
 
 

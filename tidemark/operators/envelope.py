@@ -26,6 +26,13 @@ ENVELOPE_SCHEMA = (
 )
 
 
+# How timestamps stand in payloads, to the microsecond.
+TIMESTAMP_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def type_null_columns(df: DataFrame) -> DataFrame:
     """Columns without a type, NULL in every row, become bigint."""
     untyped = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
@@ -61,7 +68,7 @@ def to_envelope(
     null_text = F.lit(None).cast("string")
     version = F.col(VERSION).cast("string") if VERSION in changes.columns else null_text
     operation = decode_operation(F.col(OPERATION)) if OPERATION in changes.columns else F.lit("UNKNOWN")
-    payload = F.to_json(F.struct(*[column(c) for c in data_columns(changes)]), {"ignoreNullFields": "false"})
+    payload = F.to_json(F.struct(*[column(c) for c in data_columns(changes)]), {"ignoreNullFields": "false", **TIMESTAMP_FORMATS})
     return changes.select(
         payload.alias("data"),
         F.struct(

@@ -21,7 +21,9 @@ ENTRY_SCHEMA = (
 def ledger_entry(results: DataFrame, synced_at: Column) -> DataFrame:
     """Ledger rows from the results of a sync run; failed and skipped tables leave none."""
     done = results.where(F.coalesce(F.col("status"), F.lit("success")) == "success")
+    named = [F.col("database")] if "database" in results.columns else []
     return done.select(
+        *named,
         F.col("table_name"),
         F.col("current_version").alias("version"),
         F.col("since_version"),
@@ -43,10 +45,11 @@ def parse_entries(raw: DataFrame, entry: str = "entry") -> DataFrame:
 
 
 def latest_watermarks(ledger: DataFrame) -> DataFrame:
-    """Newest ledger row of every table; of rows at one time the higher version counts."""
-    rest = [c for c in ledger.columns if c not in ("table_name", "synced_at", "version")]
+    """Newest ledger row of every table (of a database, where there is such a column); at one time the higher version."""
+    by = [c for c in ("database", "table_name") if c in ledger.columns]
+    rest = [c for c in ledger.columns if c not in (*by, "synced_at", "version")]
     newest = F.max(F.struct("synced_at", "version", *rest)).alias("w")
-    return ledger.groupBy("table_name").agg(newest).select("table_name", "w.*")
+    return ledger.groupBy(*by).agg(newest).select(*by, "w.*")
 
 
 def sync_history(ledger: DataFrame) -> DataFrame:

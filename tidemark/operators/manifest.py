@@ -104,8 +104,9 @@ def apply_plan(manifest: DataFrame, schema_history: DataFrame) -> DataFrame:
     )
 
 
-_TABLE = "table_target string, file_path string, file_type string, scd_type int, soft_delete boolean, primary_key array<string>"
-CATALOG_KEY, SCHEMA_KEY = "catalog_name", "schema_name"
+# Key names of stored manifests.
+_TABLE = "uc_table_name string, file_path string, file_type string, scd_type int, soft_delete boolean, primary_key array<string>"
+CATALOG_KEY, SCHEMA_KEY = "uc_catalog_name", "uc_schema_name"
 
 
 def flatten(nested: DataFrame, document: str = "manifest") -> DataFrame:
@@ -130,4 +131,4 @@ def flatten(nested: DataFrame, document: str = "manifest") -> DataFrame:
         "catalog_target",
         "schema_target",
         F.from_json("value", _TABLE).alias("t"),
-    ).select(*KEYS, "catalog_target", "schema_target", "t.*")
+    ).select(*KEYS, "catalog_target", "schema_target", "t.*").withColumnRenamed("uc_table_name", "table_target")

@@ -26,7 +26,7 @@ from tidemark.streaming.silver import BUCKETS, SilverTable, apply_all
 logger = logging.getLogger(__name__)
 
 LEDGER = (
-    "table_name string, version bigint, since_version bigint, rows_synced bigint, mode string, files array<string>,"
+    "database string, table_name string, version bigint, since_version bigint, rows_synced bigint, mode string, files array<string>,"
     " duration_seconds double, synced_at string"
 )
 
@@ -44,10 +44,10 @@ class ControlTable:
         return stored.where(F.col("run") == F.lit(stored.agg(F.max("run")).first()[0])).drop("run")
 
     def write(self, rows: DataFrame, run: int) -> None:
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/run={run}")
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/run={run}")
 
     def append(self, rows: DataFrame) -> None:
-        rows.coalesce(1).write.mode("append").parquet(self.path)
+        rows.hint("rebalance").write.mode("append").parquet(self.path)
 
 
 @dataclass(frozen=True)
@@ -78,14 +78,21 @@ class SyncJob:
         self.spark, self.root, self.pipeline_id = spark, root.rstrip("/"), pipeline_id
         self.landing = f"{self.root}/data"
         self.ledger = ControlTable(spark, f"{self.root}/ledger", LEDGER)
-        self.history = ControlTable(spark, f"{self.root}/schema_history", schema_history.HISTORY_FIELDS)
+        self.history = ControlTable(spark, f"{self.root}/schema_history", f"database string, {schema_history.HISTORY_FIELDS}")
         self.manifest = ControlTable(spark, f"{self.root}/manifest", manifest.FIELDS)
         self.incremental = ControlTable(spark, f"{self.root}/incremental_manifest", manifest.FIELDS)
         self.log_path = f"{self.root}/sync_log"
 
-    def watermarks(self) -> DataFrame:
+    def watermarks(self, database: str | None = None) -> DataFrame:
+        """Newest entry of every table, of all databases or of one."""
         entries = read_parquet(self.spark, LEDGER, self.ledger.path)
-        return self.spark.createDataFrame([], LEDGER) if entries is None else ledger.latest_watermarks(entries)
+        if entries is None:
+            return self.spark.createDataFrame([], LEDGER)
+        return ledger.latest_watermarks(entries if database is None else entries.where(F.col("database") == database))
+
+    def known_columns(self, database: str) -> DataFrame:
+        """Schema history of one database."""
+        return self.history.read().where(F.col("database") == database).drop("database")
 
     def run(self, source: SourceDatabase, override: str | None = None) -> DataFrame:
         """One run: data first, then the watermarks, then what describes them.
@@ -96,7 +103,7 @@ class SyncJob:
         started = datetime.now(timezone.utc)
         extracted = int(started.timestamp() * 1000)
         plan = sync_tables(
-            source.tables.select("table_name", "mode"), self.watermarks().select("table_name", "version"), source.bounds,
+            source.tables.select("table_name", "mode"), self.watermarks(source.name).select("table_name", "version"), source.bounds,
             source.feed, source.snapshots, source.keys, override,
         )
         versions = schema_fingerprint(source.columns)
@@ -113,15 +120,20 @@ class SyncJob:
     def _land(self, plan: SyncRun, source: SourceDatabase, versions: DataFrame, extracted: int, started: datetime) -> None:
         envelopes = keyed_envelopes(plan.changes, source.name, source.catalog, extracted, versions)
         day = started.date().isoformat()
+        name = F.col("table_name")
+        uoid = table_uoid(F.lit(source.name), schema_part(name), table_part(name))
+        # One row for each table that is read in full; also those that are empty now replace what was landed.
+        reloaded = [r[0] for r in plan.decisions.where("status = 'ok' AND actual_mode = 'full'").select(uoid).collect()]
         for mode in ("full", "incremental"):
-            write_landing(envelopes.where(F.col("actual_mode") == mode).drop("actual_mode"), self.landing, day, reload=mode == "full")
+            own = envelopes.where(F.col("actual_mode") == mode).drop("actual_mode")
+            write_landing(own, self.landing, day, reload=mode == "full", reloaded=reloaded if mode == "full" else ())
 
     def _results(self, plan: SyncRun, source: SourceDatabase, versions: DataFrame, started: datetime) -> DataFrame:
         """Result rows as the log and the manifest take them."""
         database = F.lit(source.name)
         elapsed = (datetime.now(timezone.utc) - started).total_seconds()
         landed = F.concat_ws("/", F.lit(self.landing), F.concat(F.lit("_uoid="), table_uoid(database, schema_part(F.col("table_name")), table_part(F.col("table_name")))))
-        changed = schema_history.schema_status(self.history.read(), source.columns, versions).select("table_name", "schema_changed")
+        changed = schema_history.schema_status(self.known_columns(source.name), source.columns, versions).select("table_name", "schema_changed")
         settings = source.tables.select("table_name", "scd_type", "soft_delete")
         columns = source.columns.groupBy("table_name").agg(F.collect_list("name").alias("columns"))
         ok = F.col("status") == "success"
@@ -141,16 +153,17 @@ class SyncJob:
     def _kept(self, results: DataFrame, run: int) -> DataFrame:
         """The results as a table of their own, so that later steps do not read the feed again."""
         path = f"{self.root}/results/run={run}"
-        results.coalesce(1).write.mode("overwrite").parquet(path)
+        results.hint("rebalance").write.mode("overwrite").parquet(path)
         return self.spark.read.schema(results.schema).parquet(path)
 
     def _update_history(self, results, source, versions, started, extracted) -> None:
         synced = results.where(F.col("status").isNull()).select("table_name")
         columns = source.columns.join(synced, "table_name", "left_semi")
         merged = schema_history.merge_schema(
-            self.history.read(), columns, versions.join(synced, "table_name", "left_semi"), F.lit(started).cast("timestamp")
+            self.known_columns(source.name), columns, versions.join(synced, "table_name", "left_semi"), F.lit(started).cast("timestamp")
         )
-        self.history.write(merged, extracted)
+        others = self.history.read().where(F.col("database") != source.name)
+        self.history.write(merged.withColumn("database", F.lit(source.name)).unionByName(others), extracted)
 
     def _update_manifests(self, results, source, versions, started, extracted) -> None:
         targets = None
@@ -179,11 +192,10 @@ class SyncJob:
         """Tables to apply after the latest run."""
         chosen = manifest.choose(self.incremental.read(), self.manifest.read())
         named = self.history.read().select(
-            schema_part(F.col("table_name")).alias("schema_name"), table_part(F.col("table_name")).alias("_table"),
+            "database", schema_part(F.col("table_name")).alias("schema_name"), table_part(F.col("table_name")).alias("_table"),
             "ordinal", "name", "type", "precision", "scale",
         ).withColumnRenamed("_table", "table_name")
-        listed = chosen.select(*manifest.KEYS).join(named, ["schema_name", "table_name"])
-        return manifest.apply_plan(chosen, listed)
+        return manifest.apply_plan(chosen, named)
 
 
 def keyed_envelopes(

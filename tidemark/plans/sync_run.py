@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.identity import qualified_name
 from tidemark.operators.ledger import resolve_modes, unchanged_tables
-from tidemark.session import broadcast_if_small
 from tidemark.sources.feed import OPERATION, VERSION, current_version
 
 
@@ -21,13 +21,31 @@ class SyncRun:
     results: DataFrame
 
 
+def by_name(rows: DataFrame) -> DataFrame:
+    """Rows with their table's name in the form in which names are compared."""
+    return rows.withColumn("table_name", qualified_name(F.col("table_name")))
+
+
 def plan_tables(
     tables: DataFrame, watermarks: DataFrame, bounds: DataFrame, feed: DataFrame, keys: DataFrame | None = None, override: str | None = None
 ) -> DataFrame:
-    """Mode decision of every table, with unchanged ones skipped and failures kept as rows."""
+    """Mode decision of every table, with unchanged ones skipped and failures kept as rows.
+
+    Names are compared without regard to case in all inputs. A table without a row in ``bounds`` is not tracked by the
+    source: an error, so that its watermark never moves past rows nobody has read.
+    """
     modes = resolve_modes(tables, watermarks, bounds, keys, override)
-    skipped = unchanged_tables(watermarks, bounds, feed).select("table_name", F.lit(True).alias("_skip"), "reason")
-    joined = modes.join(skipped, "table_name", "left")
+    tracked = bounds.select(qualified_name(F.col("table_name")).alias("_name")).distinct().withColumn("_tracked", F.lit(True))
+    modes = modes.withColumn("_name", qualified_name(F.col("table_name"))).join(tracked, "_name", "left")
+    lost = F.col("_tracked").isNull() & (F.col("status") == "ok")
+    modes = modes.withColumns({
+        "error": F.when(lost, "not tracked by the source").otherwise(F.col("error")),
+        "actual_mode": F.when(~lost, F.col("actual_mode")),
+        "since_version": F.when(~lost, F.col("since_version")),
+        "status": F.when(lost, "error").otherwise(F.col("status")),
+    })
+    skipped = unchanged_tables(by_name(watermarks), by_name(bounds), by_name(feed)).select(F.col("table_name").alias("_name"), F.lit(True).alias("_skip"), "reason")
+    joined = modes.join(skipped, "_name", "left")
     skip = F.coalesce("_skip", F.lit(False)) & (F.col("status") == "ok")
     return joined.select(
         "table_name", "configured_mode",
@@ -52,19 +70,25 @@ def sync_tables(
 
     ``feed`` (table_name, change columns, key, data) holds the changes of all tables and ``snapshots``
     (table_name, key, data) their current rows, payload as JSON text. Tables read in full come from the
-    snapshots, the others from the feed after their own watermark; one failing table is one error row.
+    snapshots, the others from the feed after their own watermark; one failing table is one error row. Result rows
+    have the names as configured, change rows too, however the source spells them.
     """
     decisions = plan_tables(tables, watermarks, bounds, feed, keys, override)
     version = current_version(feed)
-    reading = broadcast_if_small(decisions.where(F.col("status") == "ok").select("table_name", "actual_mode", "since_version"))
-    whole = snapshots.join(reading.where(F.col("actual_mode") == "full"), "table_name").select(
+    name = qualified_name(F.col("table_name"))
+    reading = decisions.where(F.col("status") == "ok").select(name.alias("_name"), "table_name", "actual_mode", "since_version")
+
+    def read(rows: DataFrame, tables_: DataFrame) -> DataFrame:
+        return rows.withColumn("_name", name).drop("table_name").join(tables_, "_name")
+
+    whole = read(snapshots, reading.where(F.col("actual_mode") == "full")).select(
         "table_name",
         F.lit(version).cast("bigint").alias(VERSION),
         F.lit("L").alias(OPERATION),
         "key", "data", "actual_mode",
     )
     after = (F.col("actual_mode") == "incremental") & (F.col(VERSION) > F.col("since_version"))
-    partial = feed.join(reading, "table_name").where(after).select(
+    partial = read(feed, reading).where(after).select(
         "table_name", VERSION, OPERATION, "key", "data", "actual_mode"
     )
     changes = whole.unionByName(partial)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import column, read_parquet
 
+SETTINGS = "buckets int, keys array<string>"
 Parts = dict[int, list[int]]
 
 
@@ -24,6 +25,16 @@ class BucketedTable:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.buckets = tuple(keys), buckets
 
+    def check_settings(self) -> None:
+        """Remembers bucket count and keys with the first commit, and refuses to go on with others."""
+        own = (self.buckets, list(self.keys))
+        held = read_parquet(self.spark, SETTINGS, f"{self.path}/settings")
+        first = None if held is None else held.first()
+        if first is None:
+            self.spark.createDataFrame([own], SETTINGS).write.mode("overwrite").parquet(f"{self.path}/settings")
+        elif (first["buckets"], list(first["keys"])) != own:
+            raise ValueError(f"{self.path} is kept in {first['buckets']} buckets by {list(first['keys'])}, not in {own[0]} by {own[1]}")
+
     def bucket(self) -> Column:
         """Bucket of a row, from its key."""
         return F.pmod(F.xxhash64(*[column(k) for k in self.keys]), F.lit(self.buckets)).cast("int").alias("bucket")
@@ -65,7 +76,7 @@ class BucketedTable:
     def commit(self, parts: Parts, batch: int) -> None:
         """Makes ``parts`` the table; an empty table is one row of bucket -1."""
         listed = [(b, p) for b, ps in parts.items() for p in ps] or [(-1, -1)]
-        pointers = self.spark.createDataFrame(listed, "bucket int, part bigint").coalesce(1)
+        pointers = self.spark.createDataFrame(listed, "bucket int, part bigint")
         pointers.write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch}")
 
 

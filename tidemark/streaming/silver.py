@@ -32,7 +32,7 @@ from tidemark.operators.apply import (
 )
 from tidemark.operators.envelope import from_envelope
 from tidemark.operators.widening import UnsupportedTypeChange
-from tidemark.session import broadcast_if_small, column
+from tidemark.session import broadcast_if_small, column, read_parquet
 from tidemark.streaming.bronze import bronze_stream
 from tidemark.streaming.buckets import BucketedTable, appended, crowded
 
@@ -58,6 +58,8 @@ class SilverTable:
         self.state = BucketedTable(self.spark, f"{self.path}/state", state, self.how.keys, self.buckets)
         closed = _closed(_versions_of(events, self.how)).schema
         self.closed = BucketedTable(self.spark, f"{self.path}/closed", closed, self.how.keys, self.buckets)
+        if self.state.last_batch() is not None:
+            self.state.check_settings()
         self._check_types(events)
         self.log_path = f"{self.path}/events"
         self.log_schema = T.StructType([*events.schema.fields]).add("batch", "long").add("bucket", "integer")
@@ -104,8 +106,10 @@ class SilverTable:
         """Applies a micro-batch.
 
         One that was committed before is passed over; one that was cut short starts from the same point.
-        Batch numbers come from the checkpoint of the stream, so the two belong together.
+        Batch numbers come from the checkpoint of the stream, so the two belong together: batches of another stream are
+        refused, as their numbers would tell nothing about what was applied.
         """
+        self._check_stream()
         last = self.state.last_batch()
         if last is not None and batch <= last:
             return
@@ -129,6 +133,18 @@ class SilverTable:
         finally:
             events.unpersist()
 
+    def _check_stream(self) -> None:
+        """Remembers the id of the stream that writes the table; any other one is refused."""
+        stream = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if stream is None:
+            return
+        held = read_parquet(self.spark, "stream string", f"{self.path}/stream")
+        first = None if held is None else held.first()
+        if first is None:
+            self.spark.createDataFrame([(stream,)], "stream string").write.mode("overwrite").parquet(f"{self.path}/stream")
+        elif first["stream"] != stream:
+            raise RuntimeError(f"{self.path} is written by stream {first['stream']}; a stream with another checkpoint needs a new folder")
+
     def _log(self, events: DataFrame, batch: int) -> None:
         """Keeps the typed events of a batch, by bucket."""
         even = events.withColumn("bucket", self.state.bucket()).hint("rebalance", F.col("bucket"))
@@ -143,6 +159,7 @@ class SilverTable:
         full = crowded(before, self.parts_per_bucket)
         if full:
             fresh = merge_states(fresh.unionByName(self.state.read(before, full)), self.how)
+        self.state.check_settings()
         written = self.state.write(fresh, batch)
         kept = {b: ps for b, ps in before.items() if b not in full}
         self.state.commit(appended(kept, written, batch), batch)

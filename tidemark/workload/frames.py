@@ -357,7 +357,7 @@ def nested_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as nested manifest documents: one small document per supplier."""
     nation = F.col("s_nationkey")
     entry = F.struct(
-        F.concat(F.lit("t_"), F.col("s_suppkey")).alias("table_target"),
+        F.concat(F.lit("t_"), F.col("s_suppkey")).alias("uc_table_name"),
         F.concat(F.lit("/data/"), F.col("s_name")).alias("file_path"),
         F.lit("parquet").alias("file_type"),
         (1 + nation % 2).cast("int").alias("scd_type"),
@@ -365,7 +365,7 @@ def nested_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("id"), F.lit("line")).alias("primary_key"),
     )
     document = F.concat(
-        F.lit('{"databases":{"db'), nation % 5, F.lit('":{"catalog_name":"lake'), nation,
-        F.lit('","sales":{"schema_name":"sales_lake","'), F.col("s_name"), F.lit('":'), F.to_json(entry), F.lit("}}}}"),
+        F.lit('{"databases":{"db'), nation % 5, F.lit('":{"uc_catalog_name":"lake'), nation,
+        F.lit('","sales":{"uc_schema_name":"sales_lake","'), F.col("s_name"), F.lit('":'), F.to_json(entry), F.lit("}}}}"),
     )
     return table(spark, sf_dir, "supplier").select(document.alias("manifest"))

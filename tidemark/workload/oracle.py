@@ -147,6 +147,9 @@ Q["envelope_decode"] = f"WITH {LOG} SELECT seq AS _seq_num, operation, user_id,
 Q["soft_delete_flag"] = (
     f"WITH {LOG} SELECT seq AS _seq_num, operation, operation = 'DELETE' AS _is_deleted, user_id, event_type, value, k FROM log"
 )
+Q["envelope_timestamps"] = """
+WITH s AS (SELECT event_id, strftime(ts::TIMESTAMP + to_microseconds((event_id * 7919) % 1000000), '%Y-%m-%d %H:%M:%S.%f') AS t FROM events)
+SELECT event_id, t AS at_text, t AS local_text FROM s"""
 Q["envelope_binary"] = """
 SELECT doc_id, CASE WHEN lang <> 'fr' THEN md5(to_base64(encode(text))) END AS base64_md5,
        CASE WHEN lang <> 'fr' THEN octet_length(encode(text))::INTEGER END AS n_bytes

@@ -156,6 +156,20 @@ def envelope_decode(spark: SparkSession, d: str) -> DataFrame:
     return from_envelope(with_table_partition(_users_envelope(spark, d)), frames.USERS_PAYLOAD, uoid_of("app", "web", "users"))
 
 
+@query
+def envelope_timestamps(spark: SparkSession, d: str) -> DataFrame:
+    """Timestamps of both types with added microseconds, through the envelope and back."""
+    micros = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ((F.col("event_id") * 7919) % 1_000_000 / 1_000_000).cast("decimal(18,6)"))
+    stamp = F.col("ts").cast("timestamp") + micros
+    changes = frames.table(spark, d, "events").select(
+        F.lit(1).cast("bigint").alias(VERSION), F.lit("L").alias(OPERATION), "event_id", stamp.alias("at"), stamp.cast("timestamp_ntz").alias("local"),
+    )
+    payload = T.StructType().add("event_id", "long").add("at", "timestamp").add("local", "timestamp_ntz")
+    back = from_envelope(to_envelope(changes, "app", "web", "events", extracted_at_ms=0), payload)
+    text = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("at", "local")}
+    return back.select("event_id", *[column.alias(f"{c}_text") for c, column in text.items()])
+
+
 @query
 def envelope_binary(spark: SparkSession, d: str) -> DataFrame:
     documents = frames.table(spark, d, "documents").select(
@@ -596,7 +610,7 @@ def _unified(spark: SparkSession, d: str) -> DataFrame:
     """The unified view over the gateway log and a sync log derived once, since the view reads it twice."""
     folder = shared_folder(spark, "sync_log")
     log = frames.sync_log_rows(spark, d)
-    log.coalesce(1).write.parquet(folder)
+    log.hint("rebalance").write.parquet(folder)
     return metrics.unified_metrics(frames.gateway_log(spark, d), metrics.pipeline_parsed(spark.read.schema(log.schema).parquet(folder)))
 
 
