@@ -109,3 +109,18 @@ def test_odd_column_names(spark):
     for block in (1, 100):
         assert rows(apply_changes(odd, "or.der id", 2, max_group_rows=block)) == [(1, "a", 1, 1, 2), (1, "a", 2, 2, None), (2, "b", 3, 1, 2)]
     assert rows(apply_changes(odd, "or.der id", ignore_nulls=False)) == [(1, None, 2)]
+
+
+def test_cut_keys_end_like_whole_ones(spark):
+    """Sparse, tied and missing sequence numbers, and a missing key."""
+    rng = random.Random(8)
+    for _ in range(3):
+        events = []
+        for key in (1, None):
+            for _ in range(60):
+                seq = rng.choice([None, 7, rng.randrange(10) * 1_000_003, rng.randrange(10**12)])
+                if seq not in [e[1] for e in events if e[0] == key]:
+                    events.append((key, seq, rng.choice(["INSERT", "UPDATE", "DELETE"]), rng.choice([None, "p", "q"]), rng.choice([None, 1, 2])))
+        for options in ({}, {"soft_delete": True}, {"ignore_nulls": False}):
+            whole = rows(apply_changes(frame(spark, events), "key", 2, **options))
+            assert rows(apply_changes(frame(spark, events), "key", 2, max_group_rows=5, **options)) == whole

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -81,3 +83,46 @@ def test_schema_changes_show_in_the_results(spark, folder):
     assert rows(results.where("table = 'dbo.a'").select("schema_changed")) == [(True,)]
     history = job.history.read().where(F.col("table_name") == "dbo.a").select("ordinal", "name", "type", "previous_type")
     assert rows(history) == [(1, "id", "bigint", "int"), (2, "v", "nvarchar", None), (3, "w", "int", None)]
+
+
+def database(spark, name, configured, feed, snapshots, tracked=(("dbo.a", 1),)):
+    return SourceDatabase(
+        name=name,
+        tables=spark.createDataFrame([(t, None, 1, False) for t in configured], "table_name string, mode string, scd_type int, soft_delete boolean"),
+        feed=spark.createDataFrame(feed, FEED),
+        snapshots=spark.createDataFrame(snapshots, "table_name string, key string, data string"),
+        bounds=spark.createDataFrame(list(tracked), "table_name string, min_version bigint"),
+        keys=spark.createDataFrame([("dbo.a", ["id"])], "table_name string, primary_key array<string>"),
+        columns=spark.createDataFrame([("dbo.a", 1, "id", "int", None, None)], "table_name string, ordinal int, name string, type string, precision int, scale int"),
+        catalog="lake",
+        target_schema=name,
+    )
+
+
+def test_names_are_resolved_and_untracked_tables_refused(spark, folder):
+    job = SyncJob(spark, f"{folder}/job")
+    results = job.run(database(spark, "db", ["DBO.A", "lost"], [("dbo.a", 5, 5, "I", "1", data(1, "x"))], [("dbo.a", "1", data(1, "x"))]))
+    assert rows(results.select("table", "status", "rows_written", "error")) == [("DBO.A", None, 1, None), ("lost", "error", None, "not tracked by the source")]
+    assert rows(job.watermarks().select("table_name", "version")) == [("DBO.A", 5)]
+    later = [("dbo.a", 5, 5, "I", "1", data(1, "x")), ("dbo.a", 6, 6, "I", "2", data(2, "y"))]
+    results = job.run(database(spark, "db", ["DBO.A", "lost"], later, []))
+    assert rows(results.select("table", "mode", "rows_written")) == [("DBO.A", "incremental", 1), ("lost", None, None)]
+
+
+def test_databases_with_the_same_table_keep_apart(spark, folder):
+    job = SyncJob(spark, f"{folder}/job")
+    for name in ("one", "two"):
+        results = job.run(database(spark, name, ["dbo.a"], [("dbo.a", 5, 5, "I", "1", data(1, name))], [("dbo.a", "1", data(1, name))]))
+        assert rows(results.select("mode", "rows_written")) == [("full", 1)]
+    assert rows(job.watermarks().select("database", "table_name", "version")) == [("one", "dbo.a", 5), ("two", "dbo.a", 5)]
+    assert rows(job.history.read().select("database", "name")) == [("one", "id"), ("two", "id")]
+    assert spark.read.parquet(job.landing).count() == 2
+
+
+def test_a_reload_of_an_empty_table_clears_it(spark, folder):
+    job = SyncJob(spark, f"{folder}/job")
+    job.run(database(spark, "db", ["dbo.a"], [("dbo.a", 5, 5, "I", "1", data(1, "x"))], [("dbo.a", "1", data(1, "x"))]))
+    # The watermark is older than what the source still has: the table is read anew, and is empty.
+    results = job.run(database(spark, "db", ["dbo.a"], [("dbo.a", 9, None, "D", "1", data(1, None))], [], tracked=[("dbo.a", 8)]))
+    assert rows(results.select("mode", "rows_written")) == [("full", 0)]
+    assert list(Path(job.landing).rglob("*.parquet")) == []

@@ -130,3 +130,17 @@ def test_a_wider_payload_reads_what_is_stored(spark, folder, scd_type, ignore_nu
     assert got == sorted(want + ([(1, "x", 1, None), (2, "z", 3, None)] if scd_type == 2 else []), key=repr)
     with pytest.raises(UnsupportedTypeChange):
         table(T.StructType().add("key", "integer").add("a", "integer").add("b", "long"))
+
+
+def test_another_checkpoint_or_bucket_count_is_refused(spark, folder):
+    write_landing(envelopes(spark, [(1, 5, "INSERT", "x", 1)]), f"{folder}/landing", "2024-01-01")
+    start_bronze(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/cp_bronze").awaitTermination()
+    silver, uoid = SilverTable(spark, f"{folder}/silver", PAYLOAD, rules("key"), 1, buckets=2), uoid_of("db", "dbo", "t")
+    apply_stream(spark, f"{folder}/bronze", uoid, silver, f"{folder}/cp").awaitTermination()
+    before = rows(silver.read())
+    assert before == [(1, "x", 1)]
+    with pytest.raises(Exception, match="is written by stream"):
+        apply_stream(spark, f"{folder}/bronze", uoid, silver, f"{folder}/other").awaitTermination()
+    assert rows(silver.read()) == before
+    with pytest.raises(ValueError, match="kept in 2 buckets"):
+        SilverTable(spark, f"{folder}/silver", PAYLOAD, rules("key"), 1, buckets=64)
