@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.plans.job import SourceDatabase, SyncJob, run_apply
+from tidemark.operators.widening import UnsupportedTypeChange
+from tidemark.plans.job import ApplyFailed, SourceDatabase, SyncJob, run_apply
 
 FEED = "table_name string, SYS_CHANGE_VERSION bigint, SYS_CHANGE_CREATION_VERSION bigint, SYS_CHANGE_OPERATION string, key string, data string"
 
@@ -126,3 +128,18 @@ def test_a_reload_of_an_empty_table_clears_it(spark, folder):
     results = job.run(database(spark, "db", ["dbo.a"], [("dbo.a", 9, None, "D", "1", data(1, None))], [], tracked=[("dbo.a", 8)]))
     assert rows(results.select("mode", "rows_written")) == [("full", 0)]
     assert list(Path(job.landing).rglob("*.parquet")) == []
+
+
+def test_a_refused_table_does_not_stop_the_others(spark, folder):
+    job, first = SyncJob(spark, f"{folder}/job"), [("dbo.a", 5, 5, "I", "1", data(1, "x")), ("dbo.b", 5, 5, "I", "7", data(7, "p"))]
+    rows_now = [(t, k, d) for t, _, _, _, k, d in first]
+    job.run(source(spark, first, rows_now))
+    plan = job.apply_plan()
+    run_apply(spark, job.landing, f"{folder}/lake", plan, buckets=2)
+    job.run(source(spark, [*first, ("dbo.b", 6, 6, "I", "8", data(8, "q"))], rows_now))
+    # Column v of the first table turns into a number, which stored texts cannot be read as.
+    narrowed = F.transform("columns", lambda c: c.withField("type", F.when((F.col("table_name") == "a") & (c["name"] == "v"), "int").otherwise(c["type"])))
+    with pytest.raises(ApplyFailed) as failed:
+        run_apply(spark, job.landing, f"{folder}/lake", plan.withColumn("columns", narrowed), buckets=2)
+    assert isinstance(failed.value.errors["lake.silver.a"], UnsupportedTypeChange)
+    assert rows(failed.value.tables["lake.silver.b"].read().select("id", "v")) == [(7, "p"), (8, "q")]

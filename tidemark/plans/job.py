@@ -228,14 +228,33 @@ def silver_table(spark: SparkSession, root: str, entry, buckets: int = BUCKETS)
     return SilverTable(spark, f"{root.rstrip('/')}/{entry['target']}", parse_schema(columns), how, entry["scd_type"], buckets)
 
 
+class ApplyFailed(RuntimeError):
+    """Some tables could not be applied; ``tables`` has the others, ``errors`` what stopped each, by target."""
+
+    def __init__(self, tables: dict[str, SilverTable], errors: dict[str, Exception]) -> None:
+        super().__init__("; ".join(f"{target}: {error}" for target, error in errors.items()))
+        self.tables, self.errors = tables, errors
+
+
 def run_apply(spark: SparkSession, landing: str, root: str, plan: DataFrame, buckets: int = BUCKETS) -> dict[str, SilverTable]:
     """Landing to bronze to every silver table of a plan.
 
-    The plan has one row per table. A table without a key gets no stream and stays empty.
+    The plan has one row per table. A table without a key gets no stream and stays empty. A table that fails, such as
+    one with a refused type change, does not stop the others; the run then ends with ``ApplyFailed``.
     """
     root = root.rstrip("/")
     start_bronze(spark, landing, f"{root}/bronze", f"{root}/checkpoints/bronze").awaitTermination()
     entries = [e for e in plan.collect() if e["primary_key"]]
-    tables = [(e["uoid"], silver_table(spark, f"{root}/silver", e, buckets)) for e in entries]
-    apply_all(spark, f"{root}/bronze", tables, f"{root}/checkpoints")
-    return {e["target"]: silver for e, (_, silver) in zip(entries, tables, strict=True)}
+    tables: dict[str, SilverTable] = {}
+    errors: dict[str, Exception] = {}
+    for entry in entries:
+        try:
+            tables[entry["uoid"]] = silver_table(spark, f"{root}/silver", entry, buckets)
+        except Exception as error:  # noqa: BLE001  the others are still applied
+            errors[entry["uoid"]] = error
+    errors |= apply_all(spark, f"{root}/bronze", list(tables.items()), f"{root}/checkpoints")
+    target = {entry["uoid"]: entry["target"] for entry in entries}
+    applied = {target[uoid]: silver for uoid, silver in tables.items() if uoid not in errors}
+    if errors:
+        raise ApplyFailed(applied, {target[uoid]: error for uoid, error in errors.items()})
+    return applied

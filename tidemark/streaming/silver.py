@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -230,10 +231,18 @@ def apply_stream(
 
 def apply_all(
     spark: SparkSession, bronze: str, tables: Sequence[tuple[str, SilverTable]], checkpoints: str, at_once: int = 16
-) -> None:
-    """One stream per table, ``at_once`` of them at a time; each reads only its own part of bronze."""
+) -> dict[str, Exception]:
+    """One stream per table, ``at_once`` of them at a time; each reads only its own part of bronze.
+
+    A table whose stream fails does not stop the others; the errors come back by table id.
+    """
+    failed: dict[str, Exception] = {}
     for start in range(0, len(tables), at_once):
         group = tables[start : start + at_once]
-        running = [apply_stream(spark, bronze, uoid, silver, f"{checkpoints}/{uoid}") for uoid, silver in group]
-        for query in running:
-            query.awaitTermination()
+        running = [(uoid, apply_stream(spark, bronze, uoid, silver, f"{checkpoints}/{uoid}")) for uoid, silver in group]
+        for uoid, query in running:
+            try:
+                query.awaitTermination()
+            except StreamingQueryException as error:
+                failed[uoid] = error
+    return failed
