@@ -32,6 +32,8 @@ SAMPLE_TEXTS, SAMPLE_ROUNDS, ROUNDS = 600, 12, 2
 STRETCH, STRETCHES = 64, 2_048
 COUNTER_WORDS, MEMORY_WORDS, SLICE_BYTES = 200_000, 400_000, 4 << 20
 BLOCK, SALTS = 8_192, 16
+# Steps in which counts grow e-fold; a corpus has a few thousand of them at most.
+STEPS_OF_E = 64
 
 
 def ending(word: bytes) -> int:
@@ -94,8 +96,17 @@ def learn_words(training: DataFrame, head_words: int) -> tuple[Vocabulary, DataF
     counts = stored(training.select("text").mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     words, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     texts = training.count()
-    head = counts.orderBy(F.desc("n"), "word").limit(head_words)
-    top = head.collect()  # bounded by head_words
+    # The most frequent words by steps of their count's logarithm, as many steps as stay within head_words. Sorting for
+    # them would send that many words from every partition to the driver.
+    step = F.floor(F.log("n") * STEPS_OF_E)
+    fitting, total = None, 0
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # at most one for each step
+        total += row["count"]
+        if total > head_words:
+            break
+        fitting = row["step"]
+    head = counts.where(step >= fitting if fitting is not None else F.lit(False))
+    top = sorted(head.collect(), key=lambda r: (-r.n, bytes(r.word)))  # bounded by head_words
     rest = counts.join(F.broadcast(head.select("word")), "word", "left_anti").groupBy(ending_of(F.col("word")).alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     sums = np.zeros((2, ENDINGS))
     for row in rest:  # one for each ending
