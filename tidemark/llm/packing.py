@@ -31,6 +31,8 @@ CAPACITY, END_ID = 1024, 2
 # Pieces of a partition, on average, and rounds of exchange at most.
 PARTITION_PIECES, ROUNDS = 4_096, 6
 MEMORY_ENTRIES = 250_000
+# Stretches that are given to the tokenizer as one string.
+JOINED = 256
 
 
 class Lookup:
@@ -46,6 +48,10 @@ class Lookup:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Every character of a token's name stands for one byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -57,7 +63,17 @@ class Lookup:
                 new.append(stretch)
             else:
                 self.known[stretch] = ids
-        for stretch, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        # Many stretches make one string, cut again where the bytes of the tokens reach the end of a stretch.
+        spaced = [stretch for stretch in new if stretch[0] == " "]
+        groups = [spaced[i : i + JOINED] for i in range(0, len(spaced), JOINED)]
+        for group, encoded in zip(groups, self.tokenizer.encode_batch_fast(list(map("".join, groups)), add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.cumsum([len(stretch.encode()) for stretch in group])
+            cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()
+            for stretch, low, high in zip(group, [0, *cuts], cuts):
+                self.known[stretch] = ids[low:high].tobytes()
+        alone = [stretch for stretch in new if stretch[0] != " "]
+        for stretch, encoded in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             self.known[stretch] = array("I", encoded.ids).tobytes()
 
     def packed(self, texts: list[str]) -> list[bytes]:
