@@ -58,7 +58,7 @@ class Suffixes:
         starts_here = np.concatenate([[True], ends_here[:-1]])[:count] | ~np.concatenate([[False], valid[:-1]])[:count]
         self.first, last = np.flatnonzero(valid & starts_here), np.flatnonzero(valid & ends_here)
         self.size = last - self.first + 1
-        self.key = least[self.first]
+        self.key = mixed(least[self.first])  # minima are small numbers; ranges of the key have to be even
         self.stretch = self.rolling.hashes(self.first, self.size + WINDOW - 1) ^ mixed(self.size.astype(np.uint64))
         self.text = text[self.first]
         self.position = self.first - self.starts[self.text]
