@@ -36,6 +36,9 @@ WHOLE, COUNTED = 1, 2
 SUFFIX = np.dtype([("key", "<u8"), ("stretch", "<u4"), ("doc", "<i8"), ("text", "<u4"), ("first", "<u4"), ("flags", "u1"), ("settled", "u1")])
 MARK = np.dtype([("first", "<u4"), ("flags", "u1")])
 COUNT = np.dtype([("hash", "<u8"), ("number", "<i8"), ("start", "<u4")])
+# What is told of texts travels packed by parts of all texts, not as a row for each text and task.
+TOLD = np.dtype([("doc", "<i8"), ("text", "<u4"), ("first", "<u4"), ("flags", "u1")])
+FOUND = np.dtype([("number", "<i8"), ("start", "<u4")])
 
 
 class Suffixes:
@@ -182,27 +185,52 @@ def range_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def merge_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Marks of each text, from the families of this partition's key ranges."""
-    families: dict[int, Family] = {}
-    settled = []
-    for batch in batches:
-        for part, packed in zip(batch.column("part").to_pylist(), batch.column("suffixes").to_pylist()):
-            rows = np.frombuffer(packed, SUFFIX).copy()
-            if rows["settled"][0] == 2:
-                settled.append(rows)
-            else:
-                rows["flags"] = 0
-                families.setdefault(part, Family()).add(rows)
-    for rows in (np.concatenate(settled) if settled else np.empty(0, SUFFIX), *(f.found() for f in families.values())):
-        rows = rows[np.lexsort((rows["text"], rows["doc"]))]
-        change = np.flatnonzero((rows["doc"][1:] != rows["doc"][:-1]) | (rows["text"][1:] != rows["text"][:-1])) + 1
-        marks = np.empty(len(rows), MARK)
-        marks["first"], marks["flags"] = rows["first"], rows["flags"]
-        edges = [0, *change.tolist(), len(rows)] if len(rows) else []
-        out = [(int(rows["doc"][a]), int(rows["text"][a]), marks[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
+def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
+    return range_of(mixed(ids.astype(np.int64).view(np.uint64)), parts)
+
+
+def merge_scan(parts: int):
+    """What the families of this partition's key ranges tell of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        families: dict[int, Family] = {}
+        settled = []
+        for batch in batches:
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("suffixes").to_pylist()):
+                rows = np.frombuffer(packed, SUFFIX).copy()
+                if rows["settled"][0] == 2:
+                    settled.append(rows)
+                else:
+                    rows["flags"] = 0
+                    families.setdefault(part, Family()).add(rows)
+        for rows in (*settled, *(f.found() for f in families.values())):
+            told = np.empty(len(rows), TOLD)
+            for name in TOLD.names:
+                told[name] = rows[name]
+            yield as_rows("told", list(dealt(told, part_of(told["doc"], parts), parts)), ("part", "told"))
+
+    return run
+
+
+def gathered(kind: np.dtype, by: tuple[str, ...], value: np.dtype, name: str):
+    """One row for each text with all that is told of it in this partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = [x for batch in batches for x in batch.column("told").to_pylist()]
+        rows = np.frombuffer(b"".join(packed), kind)
+        rows = rows[np.lexsort([rows[c] for c in by[::-1]])]
+        values = np.empty(len(rows), value)
+        for field in value.names:
+            values[field] = rows[field]
+        new = np.zeros(max(0, len(rows) - 1), bool)
+        for c in by:
+            new |= rows[c][1:] != rows[c][:-1]
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(rows)] if len(rows) else []
+        out = [(*(int(rows[c][a]) for c in by), values[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
         for low in range(0, len(out), 4096):
-            yield as_rows("marks", out[low : low + 4096], ("doc", "text", "marks"))
+            yield as_rows(name, out[low : low + 4096], (*by, name))
+
+    return run
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,23 +295,24 @@ def counted_windows(parts: int):
     return run
 
 
-def count_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text the starts of windows that were found twice or more."""
-    by_part: dict[int, list[bytes]] = {}
-    for batch in batches:
-        for part, packed in zip(batch.column("part").to_pylist(), batch.column("windows").to_pylist()):
-            by_part.setdefault(part, []).append(packed)
-    for packed in by_part.values():
-        rows = np.frombuffer(b"".join(packed), COUNT)
-        hashes = rows["hash"].copy()
-        order = np.argsort(hashes)
-        same = hashes[order][1:] == hashes[order][:-1]
-        rows = rows[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]
-        rows = rows[np.argsort(rows["number"], kind="stable")]
-        edges = [0, *(np.flatnonzero(np.diff(rows["number"])) + 1).tolist(), len(rows)] if len(rows) else []
-        out = [(int(rows["number"][a]), rows["start"][a:b].tobytes()) for a, b in zip(edges, edges[1:])]
-        for low in range(0, len(out), 4096):
-            yield as_rows("starts", out[low : low + 4096], ("number", "starts"))
+def count_windows(parts: int):
+    """The starts of windows that were found twice or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_part: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("windows").to_pylist()):
+                by_part.setdefault(part, []).append(packed)
+        for packed in by_part.values():
+            rows = np.frombuffer(b"".join(packed), COUNT)
+            order = np.argsort(rows["hash"])
+            same = rows["hash"][order][1:] == rows["hash"][order][:-1]
+            rows = rows[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]
+            found = np.empty(len(rows), FOUND)
+            found["number"], found["start"] = rows["number"], rows["start"]
+            yield as_rows("told", list(dealt(found, part_of(found["number"], parts), parts)), ("part", "told"))
+
+    return run
 
 
 def finished(columns: list[str], finish: Finish, kinds: list[pa.DataType], names: list[str]):
@@ -313,8 +342,9 @@ def remove_repeats(docs: DataFrame, finish: Finish, schema: T.StructType, kinds:
     number = F.coalesce(column(id_column).cast("long"), F.lit(-(2**63)))
     rows = docs.select(number.alias("doc"), column(text_column).cast("string").alias("text"))
     arrays = rows.mapInArrow(batch_arrays(parts), "part long, suffixes binary")
-    marks = arrays.repartition(parts, "part").mapInArrow(merge_scan, "doc long, text long, marks binary")
-    marks = marks.groupBy("doc", "text").agg(F.collect_list("marks").alias("__marks"))
+    told = arrays.repartition(parts, "part").mapInArrow(merge_scan(parts), "part long, told binary")
+    marks = told.repartition(parts, "part").mapInArrow(gathered(TOLD, ("doc", "text"), MARK, "marks"), "doc long, text long, marks binary")
+    marks = marks.select("doc", "text", F.array("marks").alias("__marks"))
     held = docs.select(*[column(c) for c in keep], column(text_column).cast("string").alias("__text"), number.alias("__doc"))
     hashed = held.mapInArrow(with_text_hash, T.StructType([*held.schema.fields, T.StructField("__hash", T.LongType())]))
     joined = hashed.join(marks, (F.col("__doc") == F.col("doc")) & (F.col("__hash") == F.col("text")), "left").select(*[column(c) for c in keep], "__text", "__marks")
@@ -324,7 +354,9 @@ def remove_repeats(docs: DataFrame, finish: Finish, schema: T.StructType, kinds:
     first = stored(first.withColumn("__number", F.monotonically_increasing_id()), "first-scan")
     open_ones = first.where("__bytes IS NOT NULL")
     windows = open_ones.select("__bytes", "__counted", "__number").mapInArrow(counted_windows(parts), "part long, windows binary")
-    starts = windows.repartition(parts, "part").mapInArrow(count_windows, "number long, starts binary").groupBy("number").agg(F.collect_list("starts").alias("__starts"))
+    found = windows.repartition(parts, "part").mapInArrow(count_windows(parts), "part long, told binary")
+    starts = found.repartition(parts, "part").mapInArrow(gathered(FOUND, ("number",), np.dtype([("start", "<u4")]), "starts"), "number long, starts binary")
+    starts = starts.select("number", F.array("starts").alias("__starts"))
     last = open_ones.join(starts, F.col("__number") == F.col("number"), "left").select(*[column(c) for c in keep], "__bytes", "__removed", "__starts")
     last = last.mapInArrow(finished(keep, finish, kinds, names), T.StructType([*out, *schema.fields]))
     return first.where("__bytes IS NULL").select(*[column(c) for c in (*keep, *names)]).unionByName(last)
