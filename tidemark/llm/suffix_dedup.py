@@ -29,7 +29,7 @@ from tidemark.session import column
 
 # Fixed value: length of a repeated string. Parameters: bytes that suffixes are sorted by, text of a batch.
 WINDOW, CORE = 200, 88
-BATCH_BYTES, SLICE_BYTES = 48 << 20, 2 << 20
+BATCH_BYTES, SLICE_BYTES = 24 << 20, 1 << 20
 # Flags of a suffix: its whole stretch is repeated; its windows are to be counted.
 WHOLE, COUNTED = 1, 2
 
