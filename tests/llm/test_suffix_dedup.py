@@ -50,6 +50,17 @@ def test_equal_to_brute_force(spark, monkeypatch):
         assert got == dict(enumerate(brute(texts)))
 
 
+def test_whole_in_another_batch(spark):
+    long = "A passage of some length that two texts end with and a third one has again: " + " ".join(map(str, range(90)))
+    texts = ["A. " + long, "B! " + long]
+    for copy in texts:  # one of the two is the array's suffix for the key, whichever has the lesser hash
+        for batches in ([texts, [copy]], [[copy], texts], [texts, [copy, copy]]):
+            every = [(10 * b + i, t, b) for b, batch in enumerate(batches) for i, t in enumerate(batch)]
+            docs = spark.createDataFrame(every, "doc_id long, text string, batch int").repartitionById(2, "batch")
+            got = {r.doc_id: (r.n_bytes, r.spans, r.kept_sha256) for r in repeated_spans(docs).collect()}
+            assert got == dict(zip([i for i, *_ in every], brute([t for _, t, _ in every])))
+
+
 def test_edge_cases(spark):
     long = "The one and only passage, é, with words that nobody else has: " + " ".join(map(str, range(100)))
     rows = [(1, "A. " + long, "x"), (1, "B! " + long + " end", "x"), (None, long, None), (None, long, None), (2, None, "z"), (3, "", "z"), (4, "fine", "q")]

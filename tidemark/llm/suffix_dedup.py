@@ -92,10 +92,10 @@ def sorted_array(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new_key = np.concatenate([[True], suffixes["key"][1:] != suffixes["key"][:-1]])
     new_stretch = new_key | np.concatenate([[True], suffixes["stretch"][1:] != suffixes["stretch"][:-1]])
     of_key, of_stretch = np.cumsum(new_key) - 1, np.cumsum(new_stretch) - 1
-    size, stretches = np.bincount(of_key), np.bincount(of_key, new_stretch)
+    stretches = np.bincount(of_key, new_stretch)
     whole, mixed_up = np.bincount(of_stretch)[of_stretch] > 1, stretches[of_key] > 1
     suffixes["flags"] = WHOLE * whole + COUNTED * (mixed_up & (~whole | new_stretch))
-    suffixes["settled"] = size[of_key] > 1
+    suffixes["settled"] = whole
     return suffixes[new_key], suffixes[suffixes["flags"] > 0]
 
 
@@ -114,7 +114,7 @@ class Family:
             self.levels.append(np.concatenate([self.levels.pop(), self.levels.pop()]))
 
     def found(self) -> np.ndarray:
-        """Suffixes with something to tell; what its batch has settled only needs counting."""
+        """Suffixes with something to tell; what its batch has found whole only needs counting."""
         every = np.concatenate(self.levels) if self.levels else np.empty(0, SUFFIX)
         every["flags"] = np.where(every["settled"] == 1, every["flags"] & COUNTED, every["flags"])
         return every[every["flags"] > 0]
