@@ -8,7 +8,8 @@ from collections import Counter
 
 import numpy as np
 
-from tidemark.llm.hidden_markov import Model, expected, likelihood, parted, scoring_report
+from tidemark.llm import hidden_markov
+from tidemark.llm.hidden_markov import Model, expected, learn_words, likelihood, parted, scoring_report, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -65,6 +66,27 @@ def test_long_texts_are_read_whole():
     assert math.isclose(counts[15:].sum(), 5000)
 
 
+def test_every_round_reads_all_training_texts(spark, monkeypatch):
+    """The model equals that of rounds in one process over all texts, more than any sample had, up to the tolerance."""
+    texts = [f"{'red green blue'.split()[i % 3]} w{i} w{i % 7} and w{i + 1}" for i in range(900)]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean").repartition(3)
+    words, _ = learn_words(docs, 500)
+    rows = docs.mapInArrow(hidden_markov.encoded(words.head), "doc_id long, held_out boolean, symbols binary, others array<struct<word:binary,n:bigint>>")
+    packed = [bytes(r.symbols) for r in rows.select("symbols").collect()]
+    shares = words.shares()
+    monkeypatch.setattr(hidden_markov, "TOLERANCE", 1e-3)
+    model, objectives = Model.first(shares, hidden_markov.STATES), []
+    while True:
+        counts = np.zeros(2 * 8 + 64 + model.emits.size)
+        objectives.append(expected(model, packed, counts) + model.prior(shares))
+        if len(objectives) > 1 and objectives[-1] - objectives[-2] <= 1e-3 * abs(objectives[-1]):
+            break
+        model = Model.of(counts, shares, hidden_markov.STATES)
+    got = train(rows, words)
+    assert len(objectives) > 2 and objectives == sorted(objectives)
+    assert np.allclose(got.emits, model.emits) and np.allclose(got.moves, model.moves) and np.allclose(got.start[0], model.start[0])
+
+
 def brute_base(rows):
     words = lambda t: [*WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0

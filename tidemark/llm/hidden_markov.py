@@ -2,9 +2,8 @@
 
 States emit symbols: the most frequent words are symbols of their own, all others share one by their ending. A word
 that shares a symbol follows from it by its count, so the model gives every word a probability. Counts of all words,
-and the expected counts of every Baum-Welch round, are sums over all training texts, aggregated across partitions. A
-round starts from what a small sample has led to, so few are needed. Scores are exact: the scaled forward recursion
-over the whole text.
+and the expected counts of every Baum-Welch round, are sums over all training texts, aggregated across partitions.
+Rounds go on until one gains next to nothing. Scores are exact: the scaled forward recursion over the whole text.
 """
 
 from __future__ import annotations
@@ -26,10 +25,11 @@ from tidemark.session import column
 # Fixed values of the base score and the endings.
 ADDED, ENDING = 0.1, 3
 # Parameters of the model.
-HEAD_WORDS, ENDINGS, STATES = 32_768, 4_096, 8
-SAMPLE_TEXTS, SAMPLE_ROUNDS, ROUNDS = 600, 12, 2
-# Training reads texts in stretches of so many symbols; scoring does not.
-STRETCH, STRETCHES = 64, 2_048
+HEAD_WORDS, ENDINGS, STATES, ADDED_EMISSIONS = 32_768, 4_096, 8, 20
+# Training ends when a round raises the objective by no more than this share of it.
+TOLERANCE = 1e-4
+# Training reads texts in stretches of so many symbols; scoring does not. Bytes of texts read at a time.
+STRETCH, SIDE_BY_SIDE, TRAIN_BYTES = 64, 2_048, 16 << 20
 COUNTER_WORDS, MEMORY_WORDS, SLICE_BYTES = 200_000, 400_000, 4 << 20
 BLOCK, SALTS = 8_192, 16
 # Steps in which counts grow e-fold; a corpus has a few thousand of them at most.
@@ -158,9 +158,13 @@ class Model:
     def of(cls, counts: np.ndarray, shares: np.ndarray, states: int) -> Model:
         """From expected counts, with some more in proportion to the shares of symbols."""
         start, moves, emits = parted(counts, states)
-        start, moves, emits = start + 1, moves + 1, emits + 20 * shares[:, None]
+        start, moves, emits = start + 1, moves + 1, emits + ADDED_EMISSIONS * shares[:, None]
         return cls(start / start.sum(axis=1, keepdims=True), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
 
+    def prior(self, shares: np.ndarray) -> float:
+        """What the additions of ``of`` weigh: with it, no round lowers the log-likelihood."""
+        return float(np.log(self.start).sum() + np.log(self.moves).sum() + ADDED_EMISSIONS * (shares @ np.log(self.emits)).sum())
+
 
 def parted(counts: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     a, b = 2 * states, 2 * states + states * states
@@ -169,21 +173,22 @@ def parted(counts: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray, np.
 
 def flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.fromiter((len(t) // 2 for t in texts), np.int64, len(texts))
-    return np.frombuffer(b"".join(texts), "<u2").astype(np.int64), np.cumsum(sizes) - sizes, sizes
+    return np.frombuffer(b"".join(texts), "<u2"), np.cumsum(sizes) - sizes, sizes
 
 
-def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> None:
-    """Adds the expected counts of the texts: forward and backward over stretches side by side."""
+def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> float:
+    """Adds the expected counts of the texts, forward and backward over stretches side by side; returns the log-likelihood."""
     states = model.moves.shape[0]
     start, moves, emits = parted(counts, states)
     symbols, begins, sizes = flat(texts)
+    told = 0.0
     pieces = -(-sizes // STRETCH)
     place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     at = np.repeat(begins, pieces) + place * STRETCH
     length = np.minimum(np.repeat(begins + sizes, pieces) - at, STRETCH)
     order = np.argsort(-length, kind="stable")
-    for low in range(0, len(order), STRETCHES):
-        own = order[low : low + STRETCHES]
+    for low in range(0, len(order), SIDE_BY_SIDE):
+        own = order[low : low + SIDE_BY_SIDE]
         size, inner, begin = length[own], (place[own] > 0).astype(int), at[own]
         longest = int(size[0])
         live = [int(np.searchsorted(-size, -t, side="left")) for t in range(longest)]  # longer than t
@@ -194,6 +199,7 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> None:
             total = now.sum(axis=1, keepdims=True)
             ahead.append(now / total)
             scale.append(total)
+            told += float(np.log(total).sum())
         back, states_of = np.ones((live[-1], states)), []
         for t in range(longest - 1, -1, -1):
             states_of.append(ahead[t] * back)
@@ -206,6 +212,7 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> None:
         weights, which = np.concatenate(states_of), np.concatenate(seen[::-1])
         for k in range(states):
             emits[:, k] += np.bincount(which, weights[:, k], len(emits))
+    return told
 
 
 def likelihood(model: Model, texts: list[bytes]) -> np.ndarray:
@@ -226,14 +233,19 @@ def likelihood(model: Model, texts: list[bytes]) -> np.ndarray:
 
 
 def expectation(model: Model):
-    """The expected counts of a partition's texts, in packed blocks."""
+    """The expected counts of a partition's texts and their log-likelihood, in packed blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, any_text = np.zeros(2 * STATES + STATES**2 + model.emits.size), False
+        counts, held, size, any_text = np.zeros(2 * STATES + STATES**2 + model.emits.size + 1), [], 0, False
         for part in slices(batches, "symbols", SLICE_BYTES):
-            expected(model, part.column("symbols").to_pylist(), counts)
+            held += part.column("symbols").to_pylist()
+            size += part.column("symbols").nbytes
             any_text = True
+            if size >= TRAIN_BYTES:
+                counts[-1] += expected(model, held, counts[:-1])
+                held, size = [], 0
         if any_text:
+            counts[-1] += expected(model, held, counts[:-1])
             yield blocks({i: counts[low : low + BLOCK] for i, low in enumerate(range(0, len(counts), BLOCK))}, int(counts.sum() * 1000) % SALTS)
 
     return run
@@ -253,21 +265,21 @@ def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(rows: DataFrame, words: Vocabulary) -> Model:
-    """Baum-Welch: rounds on a sample to start with, then over all training texts."""
+    """Baum-Welch over all training texts, until a round gains next to nothing."""
     shares = words.shares()
-    model = Model.first(shares, STATES)
+    model, last = Model.first(shares, STATES), None
     training = rows.where("not held_out").select("symbols")
-    sample = sorted(bytes(r.symbols) for r in training.orderBy(F.xxhash64("symbols"), "symbols").limit(SAMPLE_TEXTS).collect())
-    for _ in range(SAMPLE_ROUNDS if sample else 0):
-        counts = np.zeros(2 * STATES + STATES**2 + model.emits.size)
-        expected(model, sample, counts)
-        model = Model.of(counts, shares, STATES)
     kind = "block int, salt int, counts binary"
-    for _ in range(ROUNDS if sample else 0):
+    while True:
         sums = training.mapInArrow(expectation(model), kind).repartition("block", "salt").mapInArrow(added, kind).repartition("block").mapInArrow(added, kind)
         found = {r.block: np.frombuffer(r.counts) for r in sums.collect()}  # as large as the model
-        model = Model.of(np.concatenate([found[i] for i in sorted(found)]), shares, STATES)
-    return model
+        if not found:
+            return model
+        counts = np.concatenate([found[i] for i in sorted(found)])
+        objective = counts[-1] + model.prior(shares)
+        if last is not None and objective - last <= TOLERANCE * abs(objective):
+            return model
+        model, last = Model.of(counts[:-1], shares, STATES), objective
 
 
 def scored(model: Model, words: Vocabulary):
