@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 
 from tidemark.llm import hidden_markov
-from tidemark.llm.hidden_markov import Model, expected, learn_words, likelihood, parted, scoring_report, train
+from tidemark.llm.hidden_markov import STRETCH, Model, expected, learn_words, likelihood, parted, scoring_report, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -66,6 +66,31 @@ def test_long_texts_are_read_whole():
     assert math.isclose(counts[15:].sum(), 5000)
 
 
+def test_expected_counts_of_texts_longer_than_a_stretch():
+    rng = np.random.default_rng(6)
+    model = small_model(rng)
+    texts = [rng.integers(0, 5, n) for n in (1, 3 * STRETCH + 7, STRETCH, STRETCH + 1, 2 * STRETCH, 2 * STRETCH, 40)]
+    wanted = np.zeros(6 + 9 + 15)
+    start, moves, emits = parted(wanted, 3)
+    for text in texts:
+        ahead, back = [model.start[0] * model.emits[text[0]]], [np.ones(3)]  # unscaled: a few hundred symbols fit
+        for s in text[1:]:
+            ahead.append((ahead[-1] @ model.moves) * model.emits[s])
+        for s in text[:0:-1]:
+            back.insert(0, model.moves @ (model.emits[s] * back[0]))
+        total = ahead[-1].sum()
+        start[0] += ahead[0] * back[0] / total
+        for t, s in enumerate(text):
+            emits[s] += ahead[t] * back[t] / total
+            if t:
+                moves += np.outer(ahead[t - 1], model.emits[s] * back[t]) * model.moves / total
+    counts = np.zeros_like(wanted)
+    packed = [t.astype("<u2").tobytes() for t in texts]
+    told = expected(model, packed, counts)
+    assert np.allclose(counts, wanted, rtol=1e-9)
+    assert math.isclose(told, likelihood(model, packed).sum() * math.log(10), rel_tol=1e-12)
+
+
 def test_every_round_reads_all_training_texts(spark, monkeypatch):
     """The model equals that of rounds in one process over all texts, more than any sample had, up to the tolerance."""
     texts = [f"{'red green blue'.split()[i % 3]} w{i} w{i % 7} and w{i + 1}" for i in range(900)]

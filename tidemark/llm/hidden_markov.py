@@ -2,7 +2,7 @@
 
 States emit symbols: the most frequent words are symbols of their own, all others share one by their ending. A word
 that shares a symbol follows from it by its count, so the model gives every word a probability. Counts of all words,
-and the expected counts of every Baum-Welch round, are sums over all training texts, aggregated across partitions.
+and the expected counts of every Baum-Welch round, are sums over all whole training texts, aggregated across partitions.
 Rounds go on until one gains next to nothing. Scores are exact: the scaled forward recursion over the whole text.
 """
 
@@ -28,8 +28,9 @@ ADDED, ENDING = 0.1, 3
 HEAD_WORDS, ENDINGS, STATES, ADDED_EMISSIONS = 32_768, 4_096, 8, 20
 # Training ends when a round raises the objective by no more than this share of it.
 TOLERANCE = 1e-4
-# Training reads texts in stretches of so many symbols; scoring does not. Bytes of texts read at a time.
-STRETCH, SIDE_BY_SIDE, TRAIN_BYTES = 64, 2_048, 16 << 20
+# Symbols between kept forward probabilities, texts read side by side, bytes of texts read at a time and symbols whose
+# counts are added at a time.
+STRETCH, SIDE_BY_SIDE, TRAIN_BYTES, TOLD_TOKENS = 64, 2_048, 16 << 20, 1 << 17
 COUNTER_WORDS, MEMORY_WORDS, SLICE_BYTES = 200_000, 400_000, 4 << 20
 BLOCK, SALTS = 8_192, 16
 # Steps in which counts grow e-fold; a corpus has a few thousand of them at most.
@@ -140,7 +141,7 @@ def encoded(head: dict[bytes, int]):
 
 @dataclass
 class Model:
-    """Start (of texts, of stretches within), transition and emission probabilities."""
+    """Start (the first row), transition and emission probabilities."""
 
     start: np.ndarray
     moves: np.ndarray
@@ -177,42 +178,69 @@ def flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> float:
-    """Adds the expected counts of the texts, forward and backward over stretches side by side; returns the log-likelihood."""
+    """Adds the expected counts of the texts, forward and backward side by side, and returns their log-likelihood.
+
+    Whole texts are read. Forward probabilities are kept before each stretch only, and those within a stretch are found
+    again on the way back.
+    """
     states = model.moves.shape[0]
     start, moves, emits = parted(counts, states)
     symbols, begins, sizes = flat(texts)
-    told = 0.0
-    pieces = -(-sizes // STRETCH)
-    place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    at = np.repeat(begins, pieces) + place * STRETCH
-    length = np.minimum(np.repeat(begins + sizes, pieces) - at, STRETCH)
-    order = np.argsort(-length, kind="stable")
+    order = np.argsort(-sizes, kind="stable")
+    emits_of, moves_to = np.ascontiguousarray(model.emits.T), np.ascontiguousarray(model.moves.T)  # states come first
+    pairs, sums, total, told = np.zeros_like(moves), np.zeros_like(emits_of), 0.0, []
+
+    def tell() -> None:
+        which, weights = (np.concatenate(x, axis=-1) for x in zip(*told))
+        for k in range(states):
+            sums[k] += np.bincount(which, weights[k], len(emits))
+        told.clear()
+
     for low in range(0, len(order), SIDE_BY_SIDE):
         own = order[low : low + SIDE_BY_SIDE]
-        size, inner, begin = length[own], (place[own] > 0).astype(int), at[own]
-        longest = int(size[0])
-        live = [int(np.searchsorted(-size, -t, side="left")) for t in range(longest)]  # longer than t
-        seen = [symbols[begin[:n] + t] for t, n in enumerate(live)]
-        ahead, scale = [], []
-        for t, n in enumerate(live):
-            now = (model.start[inner] if t == 0 else ahead[-1][:n] @ model.moves) * model.emits[seen[t]]
-            total = now.sum(axis=1, keepdims=True)
-            ahead.append(now / total)
-            scale.append(total)
-            told += float(np.log(total).sum())
-        back, states_of = np.ones((live[-1], states)), []
-        for t in range(longest - 1, -1, -1):
-            states_of.append(ahead[t] * back)
-            if t:
-                weighted = model.emits[seen[t]] * back / scale[t]
-                moves += (ahead[t - 1][: live[t]].T @ weighted) * model.moves
-                back = np.concatenate([weighted @ model.moves.T, np.ones((live[t - 1] - live[t], states))])
-        for side in (0, 1):
-            start[side] += states_of[-1][inner == side].sum(axis=0)
-        weights, which = np.concatenate(states_of), np.concatenate(seen[::-1])
-        for k in range(states):
-            emits[:, k] += np.bincount(which, weights[:, k], len(emits))
-    return told
+        begin, longest = begins[own], int(sizes[own[0]])
+        live = (len(own) - np.searchsorted(sizes[own][::-1], np.arange(longest), side="right")).tolist()  # longer than t
+
+        def forward(first: int, now: np.ndarray | None) -> Iterator[tuple[np.ndarray, ...]]:
+            """Symbols, emissions, forward probabilities and their scales at each place of a stretch."""
+            for t in range(first, min(first + STRETCH, longest)):
+                seen = symbols[begin[: live[t]] + t].astype(np.intp)
+                given = np.take(emits_of, seen, axis=1)
+                now = (model.start[0][:, None] if t == 0 else moves_to @ now[:, : live[t]]) * given
+                scale = now.sum(axis=0)
+                now /= scale
+                yield seen, given, now, scale
+
+        firsts, before = range(0, longest, STRETCH), [None]
+        for first in firsts[:-1]:
+            for _, _, now, _ in forward(first, before[-1]):
+                pass
+            before.append(now)
+        back = np.ones((states, 0))
+        for first in reversed(firsts):
+            seen, given, ahead, scale = zip(*forward(first, before[-1]))
+            weights = [None] * len(seen)
+            for i in range(len(seen) - 1, -1, -1):
+                n = len(seen[i])
+                if back.shape[1] < n:
+                    back = np.concatenate([back, np.ones((states, n - back.shape[1]))], axis=1)
+                weights[i] = ahead[i] * back
+                if first + i:
+                    weighted = given[i] * back
+                    weighted /= scale[i]
+                    pairs += (ahead[i - 1] if i else before[-1])[:, :n] @ weighted.T
+                    back = model.moves @ weighted
+            before.pop()
+            total += float(np.log(np.concatenate(scale)).sum())
+            told.append((np.concatenate(seen), np.concatenate(weights, axis=1)))
+            if sum(len(w) for w, _ in told) >= TOLD_TOKENS:
+                tell()
+        start[0] += weights[0].sum(axis=1)
+    if told:
+        tell()
+    emits += sums.T
+    moves += pairs * model.moves
+    return total
 
 
 def likelihood(model: Model, texts: list[bytes]) -> np.ndarray:
