@@ -1,10 +1,11 @@
-"""Repeated byte strings by a logarithmic family of suffix arrays.
+"""Repeated byte strings by a logarithmic family of hash indexes of suffixes.
 
 Of every window of ``WINDOW`` bytes one suffix is kept: the one whose first ``CORE`` bytes have the least hash (the
 leftmost of equals). Equal windows keep equal suffixes, so a window is repeated only where its suffix's first bytes
-are. A batch of texts gets the sorted array of its suffixes, with a hash of the stretch of all windows that keep each
-of them, and is first scanned by itself. Arrays are then dealt by ranges of the sort key. Each range keeps a family of
-levels: an array that comes is merge-scanned against every level, then becomes a level, and levels of like size merge.
+are. A batch of texts gets an array of its suffixes by hash (not by bytes), with a hash of the stretch of all windows
+that keep each of them, and is first scanned by itself. Arrays are then dealt by ranges of the key. Each range keeps a
+family of levels: an array that comes is looked up in every level and they in it, then becomes a level, and levels of
+like size are joined end to end.
 
 A scan tells of each suffix whether its whole stretch is found elsewhere (all its windows are repeated), or only its
 first bytes. Of the latter, single windows are hashed and counted. Hashes have 64 bits or more.
