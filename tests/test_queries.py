@@ -20,7 +20,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, db, name):
     got = queries()[name](spark, str(TESTDATA))
     want = db.sql(oracle_sql()[name])
@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, db, name):
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) == set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry_has_rows(spark):
