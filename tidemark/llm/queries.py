@@ -10,6 +10,7 @@ from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
 from tidemark.llm.embedding_dedup import embedding_report
 from tidemark.llm.hidden_markov import scoring_report
+from tidemark.llm.line_dedup import LINE_SQL, line_report
 from tidemark.llm.packing import packing_report
 from tidemark.llm.quality import quality_report
 from tidemark.llm.secret_scan import secret_report
@@ -68,6 +69,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
     "op2_simhash": op2_simhash,
@@ -79,8 +84,10 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
     "op5_chat": DIGEST_SQL,
+    "op12_line_dedup": LINE_SQL,
 }
