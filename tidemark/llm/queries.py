@@ -17,6 +17,7 @@ from tidemark.llm.secret_scan import secret_report
 from tidemark.llm.simhash import simhash_report
 from tidemark.llm.suffix_dedup import suffix_report
 from tidemark.llm.toxicity import toxicity_report
+from tidemark.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
     "op12_line_dedup": op12_line_dedup,
 }
 
