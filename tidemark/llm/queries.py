@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.alignment import alignment_report
 from tidemark.llm.byte_pair import token_digests
 from tidemark.llm.chat import DIGEST_SQL, chat_digests
 from tidemark.llm.embedding_dedup import embedding_report
@@ -78,6 +79,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_byte_pair": op1_byte_pair,
     "op2_simhash": op2_simhash,
@@ -91,6 +96,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
     "op12_line_dedup": op12_line_dedup,
+    "op13_alignment": op13_alignment,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
