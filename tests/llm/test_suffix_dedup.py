@@ -73,6 +73,34 @@ def test_edge_cases(spark):
     assert suffix_report(docs.limit(0)).count() == 0
 
 
+def test_passage_in_very_many_contexts(spark, monkeypatch):
+    """Texts with a common passage of 120 bytes share no 200 bytes, however many there are."""
+    passage = "".join(random.Random(0).choices("abcdefgh", k=120))
+    rnd = random.Random(3)
+    own = lambda: "".join(rnd.choices("ijklmnopqr ", k=150))
+    docs = spark.range(1).selectExpr("explode(sequence(0, 39999)) AS doc_id").selectExpr(
+        "CAST(doc_id AS long) AS doc_id",
+        f"concat(substr(sha2(concat('a', doc_id), 512), 1, 128), substr(sha2(concat('b', doc_id), 512), 1, 22), '{passage}', substr(sha2(concat('c', doc_id), 512), 1, 128), 'yyyyyyyyyyyyyyyyyyyyyy') AS text",
+    )
+    assert suffix_report(docs).where("n_removed > 0").count() == 0
+    text = own() + passage + own()
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 900)
+    texts = [own() + passage + own() for _ in range(40)] + [text, text, "x" + text[10:], text[:-7] + "z"]
+    got = {r.doc_id: (r.n_bytes, r.spans, r.kept_sha256) for r in repeated_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    assert got == dict(enumerate(brute(texts)))
+
+
+def test_clashing_columns_and_one_id(spark):
+    long = "Words that two rows of one id have in common, and a third one too: " + " ".join(map(str, range(100)))
+    rows = [(None, f"{i} {long}" if i % 3 == 0 else f"row {i} only", i, i, "t", "w", True) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, doc int, number int, __text string, whole string, had boolean")
+    wanted = sorted((n, d) for n, _, d in brute([r[1] for r in rows]))
+    assert sorted((r.n_bytes, r.kept_sha256) for r in suffix_report(docs).collect()) == wanted
+    left = cut_repeats(docs)
+    assert left.columns == docs.columns and {r.doc for r in left.collect()} == set(range(30))
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [(r.doc_id, r.text) for r in docs.collect()]

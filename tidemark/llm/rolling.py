@@ -6,25 +6,25 @@ from functools import lru_cache
 
 import numpy as np
 
-# An odd multiplier, its inverse modulo 2**64 and the seed of the byte values.
-BASE = 0x9E3779B97F4A7C15
-SEED = 20_240_611
+# Odd multipliers and seeds of the byte values, for two hashes of one stretch.
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+SEEDS = (20_240_611, 77_003_141)
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-@lru_cache(maxsize=1)
-def byte_values() -> np.ndarray:
-    return np.random.default_rng(SEED).integers(1, 2**64, 256, dtype=np.uint64)
+@lru_cache(maxsize=2)
+def byte_values(which: int = 0) -> np.ndarray:
+    return np.random.default_rng(SEEDS[which]).integers(1, 2**64, 256, dtype=np.uint64)
 
 
-@lru_cache(maxsize=1)
-def powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``2**bits`` powers of the base and of its inverse."""
+@lru_cache(maxsize=2)
+def powers(bits: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``2**bits`` powers of a base and of its inverse."""
     size = 1 << bits
     out = []
-    for base in (BASE, pow(BASE, -1, 2**64)):
+    for base in (BASES[which], pow(BASES[which], -1, 2**64)):
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
         out.append(np.multiply.accumulate(steps, out=steps))
@@ -45,14 +45,14 @@ class Rolling:
     """``hashes(starts, lengths)`` gives a 64-bit hash of each stretch; equal bytes have equal hashes anywhere.
 
     Polynomials modulo 2**64 over random byte values: stretches of under 1,024 bytes have no known systematic
-    collisions.
+    collisions. ``which`` chooses one of two hashes that have nothing to do with each other.
     """
 
-    def __init__(self, buffer: np.ndarray) -> None:
+    def __init__(self, buffer: np.ndarray, which: int = 0) -> None:
         size = len(buffer)
-        power, self.inverse = powers(max(21, int(size).bit_length()))
+        power, self.inverse = powers(max(21, int(size).bit_length()), which)
         self.prefix = np.zeros(size + 1, np.uint64)
-        np.cumsum(byte_values()[buffer] * power[:size], out=self.prefix[1:])
+        np.cumsum(byte_values(which)[buffer] * power[:size], out=self.prefix[1:])
 
     def raw(self, starts: np.ndarray, lengths) -> np.ndarray:
         return (self.prefix[starts + lengths] - self.prefix[starts]) * self.inverse[starts]

@@ -1,20 +1,21 @@
-"""Repeated byte strings by a logarithmic family of hash indexes of suffixes.
+"""Repeated byte strings by a logarithmic family of sorted indexes of suffixes.
 
 Of every window of ``WINDOW`` bytes one suffix is kept: the one whose first ``CORE`` bytes have the least hash (the
 leftmost of equals). Equal windows keep equal suffixes, so a window is repeated only where its suffix's first bytes
-are. A batch of texts gets an array of its suffixes by hash (not by bytes), with a hash of the stretch of all windows
-that keep each of them, and is first scanned by itself. Arrays are then dealt by ranges of the key. Each range keeps a
-family of levels: an array that comes is looked up in every level and they in it, then becomes a level, and levels of
-like size are joined end to end.
+are. A batch of texts gets an array of its suffixes, sorted by that hash (not by bytes) and by 128 bits of hash of the
+stretch of all windows that keep each of them, and is first scanned by itself. Arrays are then dealt by ranges of the
+key. Each range keeps a family of sorted levels: an array that comes is merge-scanned against every level, then
+becomes a level, and levels of like size are merged in order, keeping one suffix of those with equal stretches.
 
 A scan tells of each suffix whether its whole stretch is found elsewhere (all its windows are repeated), or only its
-first bytes. Of the latter, single windows are hashed and counted. Hashes have 64 bits or more.
+first bytes. Of the latter, single windows are counted, by 128 bits of hash too.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,15 @@ WINDOW, CORE = 200, 88
 BATCH_BYTES, SLICE_BYTES = 24 << 20, 1 << 20
 # Flags of a suffix: its whole stretch is repeated; its windows are to be counted.
 WHOLE, COUNTED = 1, 2
+# What a window sent to be counted is: one of which nothing is known yet; one for many that its slice has found
+# repeated; one of these, which only passes by.
+ASKED, FOR_MANY, ANSWERED = 0, 1, 2
 
-SUFFIX = np.dtype([("key", "<u8"), ("stretch", "<u4"), ("doc", "<i8"), ("text", "<u4"), ("first", "<u4"), ("flags", "u1"), ("settled", "u1")])
+SUFFIX = np.dtype([("key", "<u8"), ("stretch", "<u8"), ("second", "<u8"), ("doc", "<i8"), ("text", "<u8"), ("first", "<u4"), ("flags", "u1"), ("settled", "u1")])
 MARK = np.dtype([("first", "<u4"), ("flags", "u1")])
-COUNT = np.dtype([("hash", "<u8"), ("number", "<i8"), ("start", "<u4")])
+COUNT = np.dtype([("hash", "<u8"), ("second", "<u8"), ("number", "<i8"), ("start", "<u4"), ("kind", "u1")])
 # What is told of texts travels packed by parts of all texts, not as a row for each text and task.
-TOLD = np.dtype([("doc", "<i8"), ("text", "<u4"), ("first", "<u4"), ("flags", "u1")])
+TOLD = np.dtype([("doc", "<i8"), ("text", "<u8"), ("first", "<u4"), ("flags", "u1")])
 FOUND = np.dtype([("number", "<i8"), ("start", "<u4")])
 
 
@@ -64,15 +68,24 @@ class Suffixes:
         self.size = last - self.first + 1
         self.key = mixed(least[self.first])  # minima are small numbers; ranges of the key have to be even
         self.stretch = self.rolling.hashes(self.first, self.size + WINDOW - 1) ^ mixed(self.size.astype(np.uint64))
+        self.buffer = buffer
         self.text = text[self.first]
         self.position = self.first - self.starts[self.text]
 
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, start in the text and hash of all windows that keep the chosen suffixes."""
+    @cached_property
+    def other(self) -> Rolling:
+        """The second hash of stretches and windows."""
+        return Rolling(self.buffer, 1)
+
+    def second(self) -> np.ndarray:
+        return self.other.hashes(self.first, self.size + WINDOW - 1)
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, start in the text and both hashes of all windows that keep the chosen suffixes."""
         sizes = self.size[chosen]
         at = np.repeat(self.first[chosen], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         text = np.repeat(self.text[chosen], sizes)
-        return text, at - self.starts[text], self.rolling.hashes(at, WINDOW)
+        return text, at - self.starts[text], self.rolling.hashes(at, WINDOW), self.other.hashes(at, WINDOW)
 
 
 def minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -87,11 +100,23 @@ def minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(ahead[:count], behind[width - 1 : width - 1 + count])
 
 
+def in_order(suffixes: np.ndarray) -> np.ndarray:
+    return suffixes[np.lexsort((suffixes["second"], suffixes["stretch"], suffixes["key"]))]
+
+
+def changes(rows: np.ndarray, *names: str) -> np.ndarray:
+    """Whether a row of a sorted array differs from the one before."""
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for name in names:
+        new[1:] |= rows[name][1:] != rows[name][:-1]
+    return new
+
+
 def sorted_array(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A batch's array, one suffix for each key, and the suffixes that the batch by itself has found repeated."""
-    suffixes = suffixes[np.lexsort((suffixes["stretch"], suffixes["key"]))]
-    new_key = np.concatenate([[True], suffixes["key"][1:] != suffixes["key"][:-1]])
-    new_stretch = new_key | np.concatenate([[True], suffixes["stretch"][1:] != suffixes["stretch"][:-1]])
+    suffixes = in_order(suffixes)
+    new_key, new_stretch = changes(suffixes, "key"), changes(suffixes, "key", "stretch", "second")
     of_key, of_stretch = np.cumsum(new_key) - 1, np.cumsum(new_stretch) - 1
     stretches = np.bincount(of_key, new_stretch)
     whole, mixed_up = np.bincount(of_stretch)[of_stretch] > 1, stretches[of_key] > 1
@@ -101,41 +126,62 @@ def sorted_array(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Family:
-    """Levels of suffixes of one key range, each about twice the next one's size or more."""
+    """Sorted levels of suffixes of one key range, each about twice the next one's size or more.
+
+    A level has every stretch once; suffixes that meet their like when levels are merged leave for ``told``.
+    """
 
     def __init__(self) -> None:
         self.levels: list[np.ndarray] = []
+        self.told: list[np.ndarray] = []
 
     def add(self, array: np.ndarray) -> None:
         for level in self.levels:
             scan(array, level)
-            scan(level, array, only=array["key"])
         self.levels.append(array)
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
-            self.levels.append(np.concatenate([self.levels.pop(), self.levels.pop()]))
+            self.levels.append(self.merged(self.levels.pop(), self.levels.pop()))
+
+    def merged(self, later: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        """Two sorted levels as one; of equal stretches the first stays, with the wish to be counted of both."""
+        rows = in_order(np.concatenate([earlier, later]))
+        new = changes(rows, "key", "stretch", "second")
+        again = np.flatnonzero(~new)
+        rows["flags"][again - 1] |= rows["flags"][again] & COUNTED
+        left = rows[again]
+        left["flags"] &= WHOLE
+        self.told.append(told_of(left))
+        return rows[new]
 
     def found(self) -> np.ndarray:
-        """Suffixes with something to tell; what its batch has found whole only needs counting."""
-        every = np.concatenate(self.levels) if self.levels else np.empty(0, SUFFIX)
-        every["flags"] = np.where(every["settled"] == 1, every["flags"] & COUNTED, every["flags"])
-        return every[every["flags"] > 0]
-
-
-def scan(array: np.ndarray, against: np.ndarray, only: np.ndarray | None = None) -> None:
-    """Flags what ``array`` shares with another one."""
-    at = np.flatnonzero(np.isin(array["key"], against["key"] if only is None else only))
-    both = lambda x: mixed(x["key"] + x["stretch"].astype(np.uint64))
-    same = np.isin(both(array[at]), both(against))
-    array["flags"][at[same]] |= WHOLE
-    # Another stretch is there if the other array has more of the key than equal ones.
-    array["flags"][at[~same]] |= COUNTED
-    keys, place = np.unique(against["key"], return_inverse=True)
-    several = np.zeros(len(keys), bool)
-    order = np.argsort(place, kind="stable")
-    change = (place[order][1:] == place[order][:-1]) & (against["stretch"][order][1:] != against["stretch"][order][:-1])
-    several[place[order][1:][change]] = True
-    place = np.searchsorted(keys, array["key"][at[same]])
-    array["flags"][at[same][several[place]]] |= COUNTED
+        """Suffixes with something to tell."""
+        return np.concatenate([np.empty(0, SUFFIX), *self.told, *map(told_of, self.levels)])
+
+
+def told_of(suffixes: np.ndarray) -> np.ndarray:
+    """Those with something to tell; what its batch has found whole only needs counting."""
+    suffixes["flags"] = np.where(suffixes["settled"] == 1, suffixes["flags"] & COUNTED, suffixes["flags"])
+    return suffixes[suffixes["flags"] > 0]
+
+
+def scan(array: np.ndarray, level: np.ndarray) -> None:
+    """Flags what a batch's array, with every key once, and a level share.
+
+    Of several suffixes with one key in a level all have been flagged to be counted before.
+    """
+    low, high = (np.searchsorted(level["key"], array["key"], side) for side in ("left", "right"))
+    met = np.flatnonzero(low < high)
+    low, high, wanted = low[met], high[met], array["stretch"][met]
+    several = high - low > 1
+    left, right = low.copy(), high - 1
+    while len(halved := np.flatnonzero(left < right)):
+        middle = (left[halved] + right[halved]) >> 1
+        less = level["stretch"][middle] < wanted[halved]
+        left[halved[less]], right[halved[~less]] = middle[less] + 1, middle[~less]
+    same = (level["stretch"][left] == wanted) & (level["second"][left] == array["second"][met])
+    array["flags"][met] |= np.where(same, WHOLE, COUNTED).astype(np.uint8) | np.where(several, COUNTED, 0).astype(np.uint8)
+    level["flags"][left[same]] |= WHOLE
+    level["flags"][low[~same & ~several]] |= COUNTED
 
 
 def dealt(rows: np.ndarray, part: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
@@ -159,7 +205,7 @@ def batch_arrays(parts: int):
         def flush() -> pa.RecordBatch:
             array, settled = sorted_array(np.concatenate(held))
             settled["settled"] = 2
-            out = [*dealt(array, range_of(array["key"], parts), parts), *dealt(settled, range_of(mixed(settled["doc"].view(np.uint64)), parts), parts)]
+            out = [*dealt(array, range_of(array["key"], parts), parts), *dealt(settled, part_of(settled["doc"], settled["text"], parts), parts)]
             held.clear()
             return as_rows("arrays", out, ("part", "suffixes"))
 
@@ -167,9 +213,9 @@ def batch_arrays(parts: int):
             texts = as_bytes(part, "text")
             found = Suffixes(texts)
             rows = np.zeros(len(found.key), SUFFIX)
-            rows["key"], rows["stretch"], rows["first"] = found.key, found.stretch >> np.uint64(32), found.position
+            rows["key"], rows["stretch"], rows["second"], rows["first"] = found.key, found.stretch, found.second(), found.position
             rows["doc"] = part.column("doc").to_numpy()[found.text]
-            rows["text"] = np.array([xxhash.xxh3_64_intdigest(t) & 0xFFFFFFFF for t in texts], np.uint32)[found.text]
+            rows["text"] = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)[found.text]
             if len(rows):
                 held.append(rows)
             size += sum(map(len, texts))
@@ -186,8 +232,9 @@ def range_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
-    return range_of(mixed(ids.astype(np.int64).view(np.uint64)), parts)
+def part_of(ids: np.ndarray, more: np.ndarray, parts: int) -> np.ndarray:
+    """By two numbers, so that texts with one id are dealt too."""
+    return range_of(mixed(ids.astype(np.int64).view(np.uint64) ^ mixed(more.astype(np.uint64))), parts)
 
 
 def merge_scan(parts: int):
@@ -208,7 +255,7 @@ def merge_scan(parts: int):
             told = np.empty(len(rows), TOLD)
             for name in TOLD.names:
                 told[name] = rows[name]
-            yield as_rows("told", list(dealt(told, part_of(told["doc"], parts), parts)), ("part", "told"))
+            yield as_rows("told", list(dealt(told, part_of(told["doc"], told["text"], parts), parts)), ("part", "told"))
 
     return run
 
@@ -227,7 +274,8 @@ def gathered(kind: np.dtype, by: tuple[str, ...], value: np.dtype, name: str):
         for c in by:
             new |= rows[c][1:] != rows[c][:-1]
         edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(rows)] if len(rows) else []
-        out = [(*(int(rows[c][a]) for c in by), values[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
+        signed = [rows[c].astype(np.int64) for c in by]
+        out = [(*(int(c[a]) for c in signed), values[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
         for low in range(0, len(out), 4096):
             yield as_rows(name, out[low : low + 4096], (*by, name))
 
@@ -281,6 +329,8 @@ def resolved(columns: list[str], finish: Finish, kinds: list[pa.DataType], names
 
 
 def counted_windows(parts: int):
+    """Windows to be counted: those a slice has once, and of those it has more often one for all of them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "__bytes", SLICE_BYTES):
             found = Suffixes(as_bytes(part, "__bytes"))
@@ -288,30 +338,50 @@ def counted_windows(parts: int):
             keys = np.concatenate([(np.int64(i) << 32) | w for i, w in enumerate(wanted)])
             chosen = np.flatnonzero(np.isin((found.text.astype(np.int64) << 32) | found.position, keys))
             for low in range(0, len(chosen), 1 << 14):
-                text, start, hashes = found.windows(chosen[low : low + (1 << 14)])
-                rows = np.empty(len(text), COUNT)
-                rows["hash"], rows["start"], rows["number"] = hashes, start, part.column("__number").to_numpy()[text]
-                yield as_rows("windows", list(dealt(rows, range_of(hashes, parts), parts)), ("part", "windows"))
+                text, start, hashes, second = found.windows(chosen[low : low + (1 << 14)])
+                rows = np.zeros(len(text), COUNT)
+                rows["hash"], rows["second"], rows["start"], rows["number"] = hashes, second, start, part.column("__number").to_numpy()[text]
+                again = repeated(rows)
+                answered = again.copy()
+                answered["kind"] = ANSWERED
+                yield as_rows("windows", list(dealt(answered, part_of(answered["number"], answered["start"], parts), parts)), ("part", "windows"))
+                rows["kind"] = np.where(changes(rows, "hash", "second"), rows["kind"], ANSWERED)
+                rows = rows[rows["kind"] != ANSWERED]
+                yield as_rows("windows", list(dealt(rows, range_of(rows["hash"], parts), parts)), ("part", "windows"))
 
     return run
 
 
+def repeated(rows: np.ndarray) -> np.ndarray:
+    """Sorts windows in place, marks those found twice or more as ``FOR_MANY`` and returns these."""
+    rows[:] = rows[np.lexsort((rows["second"], rows["hash"]))]
+    group = np.cumsum(changes(rows, "hash", "second")) - 1
+    rows["kind"] = np.where(np.bincount(group, minlength=1)[group] > 1, FOR_MANY, ASKED) if len(rows) else rows["kind"]
+    return rows[rows["kind"] == FOR_MANY]
+
+
 def count_windows(parts: int):
     """The starts of windows that were found twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_part: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for part, packed in zip(batch.column("part").to_pylist(), batch.column("windows").to_pylist()):
-                by_part.setdefault(part, []).append(packed)
-        for packed in by_part.values():
-            rows = np.frombuffer(b"".join(packed), COUNT)
-            order = np.argsort(rows["hash"])
-            same = rows["hash"][order][1:] == rows["hash"][order][:-1]
-            rows = rows[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]
+        held: list[np.ndarray] = []
+
+        def told(rows: np.ndarray) -> pa.RecordBatch:
             found = np.empty(len(rows), FOUND)
             found["number"], found["start"] = rows["number"], rows["start"]
-            yield as_rows("told", list(dealt(found, part_of(found["number"], parts), parts)), ("part", "told"))
+            return as_rows("told", list(dealt(found, part_of(found["number"], np.zeros(len(found)), parts), parts)), ("part", "told"))
+
+        for batch in batches:
+            rows = np.frombuffer(b"".join(batch.column("windows").to_pylist()), COUNT)
+            held.append(rows[rows["kind"] != ANSWERED])
+            yield told(rows[rows["kind"] == ANSWERED])
+        if held:
+            rows = np.concatenate(held)
+            rows = rows[np.lexsort((rows["second"], rows["hash"]))]
+            known = rows["kind"] == FOR_MANY
+            group = np.cumsum(changes(rows, "hash", "second")) - 1
+            often = (np.bincount(group, minlength=1) > 1) | (np.bincount(group, known, minlength=1) > 0)
+            yield told(rows[~known & often[group]] if len(rows) else rows)
 
     return run
 
@@ -330,12 +400,16 @@ def finished(columns: list[str], finish: Finish, kinds: list[pa.DataType], names
     return run
 
 
+def by_part(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartitionById(parts, F.col("part").cast("int"))
+
+
 def remove_repeats(docs: DataFrame, finish: Finish, schema: T.StructType, kinds: list[pa.DataType], keep: list[str], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The columns ``keep`` of each row and what ``finish`` makes of its bytes and the spans to remove.
 
     A byte goes if some ``WINDOW`` bytes around it start anywhere else too, in the same text or another; windows are
     judged on the texts as they come, and never cross texts. A null text is empty. A repeated row is another text.
-    Texts are held by id and a hash, so ids may repeat or be null.
+    Texts are held by id and a hash, so ids may repeat or be null; columns may have any names.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -343,30 +417,31 @@ def remove_repeats(docs: DataFrame, finish: Finish, schema: T.StructType, kinds:
     number = F.coalesce(column(id_column).cast("long"), F.lit(-(2**63)))
     rows = docs.select(number.alias("doc"), column(text_column).cast("string").alias("text"))
     arrays = rows.mapInArrow(batch_arrays(parts), "part long, suffixes binary")
-    told = arrays.repartition(parts, "part").mapInArrow(merge_scan(parts), "part long, told binary")
-    marks = told.repartition(parts, "part").mapInArrow(gathered(TOLD, ("doc", "text"), MARK, "marks"), "doc long, text long, marks binary")
+    told = by_part(arrays, parts).mapInArrow(merge_scan(parts), "part long, told binary")
+    marks = by_part(told, parts).mapInArrow(gathered(TOLD, ("doc", "text"), MARK, "marks"), "doc long, text long, marks binary")
     marks = marks.select("doc", "text", F.array("marks").alias("__marks"))
-    held = docs.select(*[column(c) for c in keep], column(text_column).cast("string").alias("__text"), number.alias("__doc"))
+    held = docs.select(F.struct(*[column(c) for c in keep]).alias("row"), column(text_column).cast("string").alias("__text"), number.alias("__doc"))
     hashed = held.mapInArrow(with_text_hash, T.StructType([*held.schema.fields, T.StructField("__hash", T.LongType())]))
-    joined = hashed.join(marks, (F.col("__doc") == F.col("doc")) & (F.col("__hash") == F.col("text")), "left").select(*[column(c) for c in keep], "__text", "__marks")
-    out = [joined.schema[c] for c in keep]
+    joined = hashed.join(marks, (F.col("__doc") == F.col("doc")) & (F.col("__hash") == F.col("text")), "left").select("row", "__text", "__marks")
+    out = joined.schema["row"]
     extra = [T.StructField(c, T.BinaryType()) for c in ("__bytes", "__counted", "__removed")]
-    first = joined.mapInArrow(resolved(keep, finish, kinds, names), T.StructType([*out, *schema.fields, *extra]))
+    first = joined.mapInArrow(resolved(["row"], finish, kinds, names), T.StructType([out, *schema.fields, *extra]))
     first = stored(first.withColumn("__number", F.monotonically_increasing_id()), "first-scan")
     open_ones = first.where("__bytes IS NOT NULL")
     windows = open_ones.select("__bytes", "__counted", "__number").mapInArrow(counted_windows(parts), "part long, windows binary")
-    found = windows.repartition(parts, "part").mapInArrow(count_windows(parts), "part long, told binary")
-    starts = found.repartition(parts, "part").mapInArrow(gathered(FOUND, ("number",), np.dtype([("start", "<u4")]), "starts"), "number long, starts binary")
+    found = by_part(windows, parts).mapInArrow(count_windows(parts), "part long, told binary")
+    starts = by_part(found, parts).mapInArrow(gathered(FOUND, ("number",), np.dtype([("start", "<u4")]), "starts"), "number long, starts binary")
     starts = starts.select("number", F.array("starts").alias("__starts"))
-    last = open_ones.join(starts, F.col("__number") == F.col("number"), "left").select(*[column(c) for c in keep], "__bytes", "__removed", "__starts")
-    last = last.mapInArrow(finished(keep, finish, kinds, names), T.StructType([*out, *schema.fields]))
-    return first.where("__bytes IS NULL").select(*[column(c) for c in (*keep, *names)]).unionByName(last)
+    last = open_ones.join(starts, F.col("__number") == F.col("number"), "left").select("row", "__bytes", "__removed", "__starts")
+    last = last.mapInArrow(finished(["row"], finish, kinds, names), T.StructType([out, *schema.fields]))
+    every = first.where("__bytes IS NULL").select("row", *names).unionByName(last)
+    return every.select(*[F.col("row").getField(c).alias(c) for c in keep], *names)
 
 
 def with_text_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "__text"):
-        hashes = [xxhash.xxh3_64_intdigest(t) & 0xFFFFFFFF for t in as_bytes(part, "__text")]
-        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hashes, pa.int64())], [*part.schema.names, "__hash"])
+        hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in as_bytes(part, "__text")], np.uint64).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hashes)], [*part.schema.names, "__hash"])
 
 
 def digest(text: bytes, removed: tuple[np.ndarray, np.ndarray]) -> tuple:
@@ -381,7 +456,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def left_text(text: bytes, removed: tuple[np.ndarray, np.ndarray]) -> tuple:
-    return ("".join(piece.decode("utf-8", "ignore") for piece in kept_bytes(text, removed)),)
+    return "".join(piece.decode("utf-8", "ignore") for piece in kept_bytes(text, removed)), bool(text)
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
@@ -390,10 +465,10 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     Characters that a cut would split go too. Rows of which nothing is left, and that had a text, are dropped; null
     texts become empty.
     """
-    others = [c for c in docs.columns if c != "text"]
-    had = docs.withColumn("__had", F.coalesce(F.length("text") > 0, F.lit(False)))
-    left = remove_repeats(had, left_text, T.StructType().add("text", "string"), [pa.string()], [*others, "__had"])
-    return left.where((F.col("text") != "") | ~F.col("__had")).select(*[column(c) for c in docs.columns])
+    rows = docs.select(F.struct(*[column(c) if c != "text" else F.lit(None).alias(c) for c in docs.columns]).alias("whole"), column("text").cast("string").alias("text"))
+    cut = remove_repeats(rows.withColumn("doc_id", F.col("whole").getField("doc_id")), left_text, T.StructType().add("left", "string").add("had", "boolean"), [pa.string(), pa.bool_()], ["whole"])
+    cut = cut.where((F.col("left") != "") | ~F.col("had"))
+    return cut.select(*[F.col("left").alias(c) if c == "text" else F.col("whole").getField(c).alias(c) for c in docs.columns])
 
 
 def span_length(spans_: Column) -> Column:
