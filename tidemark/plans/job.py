@@ -8,13 +8,16 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.identity import schema_part, table_part, table_uoid
+from tidemark.functions.identity import schema_part, table_part, table_uoid, uoid_of
 from tidemark.functions.operations import decode_operation
 from tidemark.functions.types import parse_schema
 from tidemark.operators import ledger, manifest, schema_history
 from tidemark.operators.apply import rules
-from tidemark.operators.sinks import write_landing, write_sync_log
+from tidemark.operators.envelope import ENVELOPE_SCHEMA
+from tidemark.operators.sinks import clear_tables, write_landing, write_sync_log
+from tidemark.plans.extract import SourceTable, column_rows, control_tables, extract_tables
 from tidemark.plans.runlog import log_rows
 from tidemark.plans.sync_run import SyncRun, sync_tables
 from tidemark.session import read_parquet
@@ -61,8 +64,8 @@ class SourceDatabase:
 
     name: str
     tables: DataFrame
-    feed: DataFrame
-    snapshots: DataFrame
+    feed: DataFrame | None
+    snapshots: DataFrame | None
     bounds: DataFrame
     keys: DataFrame
     columns: DataFrame
@@ -71,6 +74,18 @@ class SourceDatabase:
     target_schema: str | None = None
 
 
+@dataclass(frozen=True)
+class TypedDatabase:
+    """A source whose tables have columns of their own; ``bounds`` has table_name, min_version and max_version."""
+
+    name: str
+    tables: tuple[SourceTable, ...]
+    bounds: DataFrame
+    server: str = ""
+    catalog: str | None = None
+    target_schema: str | None = None
+
+
 class SyncJob:
     """Lands the changes of a source database below one folder and keeps the books of it."""
 
@@ -108,7 +123,40 @@ class SyncJob:
         )
         versions = schema_fingerprint(source.columns)
         self._land(plan, source, versions, extracted, started)
-        results = self._kept(self._results(plan, source, versions, started), extracted)
+        elapsed = F.lit((datetime.now(timezone.utc) - started).total_seconds())
+        return self._book(plan.results.withColumn("duration_seconds", elapsed), source, versions, started, extracted)
+
+    def run_tables(self, source: TypedDatabase, override: str | None = None) -> DataFrame:
+        """One run over typed tables, by one job for those read in full and one for the others.
+
+        A table that cannot be read is an error row and leaves no watermark; the others are landed. Rows and durations
+        are those of each table.
+        """
+        started = datetime.now(timezone.utc)
+        extracted = int(started.timestamp() * 1000)
+        settings, keys = control_tables(self.spark, source.tables)
+        described = SourceDatabase(
+            source.name, settings, None, None, source.bounds, keys, column_rows(self.spark, source.tables), source.server, source.catalog, source.target_schema
+        )
+        day = started.date().isoformat()
+
+        def landed() -> DataFrame:
+            rows = read_parquet(self.spark, T.StructType([*ENVELOPE_SCHEMA.fields]).add("_uoid", "string"), self.landing)
+            rows = self.spark.createDataFrame([], "_uoid string, n bigint") if rows is None else rows.where(F.col("extractionTimestamp") == extracted)
+            return rows.groupBy("_uoid").agg(F.count("*").alias("n"))
+
+        done = extract_tables(
+            self.spark, source.name, source.tables, self.watermarks(source.name).select("table_name", "version"), source.bounds,
+            lambda rows, mode: write_landing(rows, self.landing, day, reload=mode == "full"), extracted, source.catalog, override, landed,
+        )
+        empty = done.results.where("rows_written = 0").select("table_name").collect()
+        cleared = {r[0] for r in empty} & {t.name for t in done.reloaded}
+        clear_tables(self.spark, self.landing, [uoid_of(source.name, *t.parts) for t in done.reloaded if t.name in cleared])
+        return self._book(done.results, described, schema_fingerprint(described.columns), started, extracted)
+
+    def _book(self, outcome: DataFrame, source: SourceDatabase, versions: DataFrame, started: datetime, extracted: int) -> DataFrame:
+        """Watermarks of what was landed, then what describes it."""
+        results = self._kept(self._results(outcome, source, versions), extracted)
         self.ledger.append(ledger.ledger_entry(results, F.lit(started.strftime("%Y-%m-%dT%H:%M:%SZ"))))
         for step in (self._update_history, self._update_manifests, self._write_log):
             try:
@@ -128,16 +176,15 @@ class SyncJob:
             own = envelopes.where(F.col("actual_mode") == mode).drop("actual_mode")
             write_landing(own, self.landing, day, reload=mode == "full", reloaded=reloaded if mode == "full" else ())
 
-    def _results(self, plan: SyncRun, source: SourceDatabase, versions: DataFrame, started: datetime) -> DataFrame:
+    def _results(self, outcome: DataFrame, source: SourceDatabase, versions: DataFrame) -> DataFrame:
         """Result rows as the log and the manifest take them."""
         database = F.lit(source.name)
-        elapsed = (datetime.now(timezone.utc) - started).total_seconds()
         landed = F.concat_ws("/", F.lit(self.landing), F.concat(F.lit("_uoid="), table_uoid(database, schema_part(F.col("table_name")), table_part(F.col("table_name")))))
         changed = schema_history.schema_status(self.known_columns(source.name), source.columns, versions).select("table_name", "schema_changed")
         settings = source.tables.select("table_name", "scd_type", "soft_delete")
         columns = source.columns.groupBy("table_name").agg(F.collect_list("name").alias("columns"))
         ok = F.col("status") == "success"
-        joined = plan.results
+        joined = outcome
         for control in (settings, source.keys, versions, changed, columns):
             joined = joined.join(control, "table_name", "left")
         return joined.select(
@@ -145,9 +192,9 @@ class SyncJob:
             F.when(~ok, F.col("status")).alias("status"),
             F.col("actual_mode").alias("mode"), "scd_type", "soft_delete", "since_version", "current_version", "rows_written",
             F.when(ok, F.when(F.col("rows_written") > 0, F.array(landed)).otherwise(F.array().cast("array<string>"))).alias("files"),
-            F.when(ok, F.lit(elapsed)).alias("duration_seconds"), "primary_key", "columns", "schema_version",
+            F.when(ok, F.col("duration_seconds")).alias("duration_seconds"), "primary_key", "columns", "schema_version",
             F.coalesce("schema_changed", F.lit(False)).alias("schema_changed"),
-            "reason", "error", F.when(F.col("status") == "error", "SyncError").alias("error_type"),
+            "reason", "error", (F.col("error_type") if "error_type" in outcome.columns else F.when(F.col("status") == "error", "SyncError")).alias("error_type"),
         )
 
     def _kept(self, results: DataFrame, run: int) -> DataFrame:

@@ -327,6 +327,28 @@ SELECT table_name, configured_mode, CASE WHEN status = 'success' THEN how END AS
        status, CASE WHEN status = 'skipped' THEN 'no changes' END AS reason, error
 FROM fate"""
 
+Q["sync_from_tables"] = f"""
+WITH newest AS (SELECT max(date_diff('day', DATE '1995-01-01', o_orderdate::DATE) + 1) AS v FROM orders),
+landed AS (
+  SELECT 'sales.orders' AS t, CASE o_orderstatus WHEN 'F' THEN 'DELETE' WHEN 'P' THEN 'INSERT' ELSE 'UPDATE' END AS operation,
+         date_diff('day', DATE '1995-01-01', o_orderdate::DATE) + 1 AS seq_num, o_orderkey AS key,
+         CASE WHEN o_orderstatus <> 'F' THEN round(o_totalprice, 2) END AS amount,
+         CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS label, 6 AS fields
+  FROM orders WHERE date_diff('day', DATE '1995-01-01', o_orderdate::DATE) + 1 > {FEED_SINCE}
+  UNION ALL
+  SELECT 'customer', 'LOAD', (SELECT v FROM newest), c_custkey, round(c_acctbal, 2), c_mktsegment,
+         (SELECT count(*) FROM (DESCRIBE customer)) FROM customer),
+decided AS (
+  SELECT 'sales.orders' AS table_name, 'full_incremental' AS configured_mode, 'incremental' AS actual_mode, {FEED_SINCE}::BIGINT AS since_version,
+         'success' AS status, NULL AS reason, NULL AS error, NULL AS error_type
+  UNION ALL SELECT 'customer', 'full_incremental', 'full', NULL, 'success', NULL, NULL, NULL
+  UNION ALL SELECT 'stock.part', 'incremental', NULL, NULL, 'error', NULL, 'no watermark for an incremental read', 'SyncError'
+  UNION ALL SELECT 'stock.supplier', 'full_incremental', NULL, NULL, 'skipped', 'no changes', NULL, NULL)
+SELECT d.*, CASE WHEN status = 'success' THEN (SELECT v FROM newest) END AS current_version,
+       CASE WHEN status = 'success' THEN (SELECT count(*) FROM landed l WHERE l.t = d.table_name) END AS rows_written,
+       l.operation, l.seq_num, l.key, l.amount, l.label, l.fields
+FROM decided d LEFT JOIN landed l ON l.t = d.table_name"""
+
 # ---- schema history
 
 SCHEMAS = f"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import partition_day
-from tidemark.functions.identity import schema_part, table_part, table_uoid, uoid_of
+from tidemark.functions.identity import qualified_name, schema_part, table_part, table_uoid, uoid_of
 from tidemark.functions.operations import decode_operation
 from tidemark.operators import ledger, manifest, schema_history
 from tidemark.operators.apply import (
@@ -24,12 +24,13 @@ from tidemark.operators.envelope import from_envelope, to_envelope, with_table_p
 from tidemark.operators.sinks import write_landing, write_sync_log
 from tidemark.operators.widening import union_widened
 from tidemark.plans import metrics, runlog
+from tidemark.plans.extract import SourceTable, extract_tables
 from tidemark.plans.sync_run import sync_tables
 from tidemark.session import shared_folder
 from tidemark.sources import catalog
 from tidemark.sources.feed import OPERATION, VERSION, feed_bounds, full_load, incremental_changes, net_changes
 from tidemark.sources.landing import sync_log
-from tidemark.streaming.bronze import bronze_table, start_bronze
+from tidemark.streaming.bronze import BRONZE_SCHEMA, bronze_table, start_bronze
 from tidemark.streaming.silver import SilverTable, apply_stream
 from tidemark.workload import frames
 
@@ -475,6 +476,36 @@ def _tracked_tables(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _typed_tables(spark: SparkSession, d: str) -> list[SourceTable]:
+    """Orders by their feed, customers for the first time, parts without a start, suppliers without a change."""
+    read = lambda name: lambda: frames.table(spark, d, name)
+    return [
+        SourceTable("sales.orders", lambda: frames.current_orders(spark, d), ("o_orderkey",), lambda: frames.order_feed(spark, d)),
+        SourceTable("customer", read("customer"), ("c_custkey",), scd_type=2),
+        SourceTable("stock.part", read("part"), ("p_partkey",), mode="incremental"),
+        SourceTable("stock.supplier", read("supplier"), ("s_suppkey",)),
+    ]
+
+
+@query
+def sync_from_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Typed tables of different schemas extracted as one job: decisions, rows written, and the change rows landed."""
+    names = ["sales.orders", "dbo.customer", "stock.part", "stock.supplier"]
+    newest = frames.order_feed(spark, d).agg(F.max(VERSION)).first()[0]
+    bounds = spark.createDataFrame([(n, 1, newest if n == "sales.orders" else 9) for n in names], "table_name string, min_version bigint, max_version bigint")
+    marks = spark.createDataFrame([("sales.orders", frames.FEED_SINCE), ("stock.supplier", 9)], "table_name string, version bigint")
+    folder = shared_folder(spark, "typed")
+    done = extract_tables(spark, "shop", _typed_tables(spark, d), marks, bounds, lambda rows, mode: write_landing(rows, folder, "2024-02-01"), 1_700_000_000_000)
+    field = lambda *names: F.coalesce(*[F.get_json_object("data", f"$.{name}") for name in names])
+    landed = spark.read.schema(BRONZE_SCHEMA).parquet(folder).select(
+        F.concat_ws(".", "table_id.schema", "table_id.name").alias("_name"), "operation", F.col("cursor.seqNum").cast("bigint").alias("seq_num"),
+        field("o_orderkey", "c_custkey").cast("bigint").alias("key"), F.round(field("o_totalprice", "c_acctbal").cast("double"), 2).alias("amount"),
+        field("o_orderpriority", "c_mktsegment").alias("label"), F.size(F.json_object_keys("data")).alias("fields"),
+    )
+    named = done.results.withColumn("_name", qualified_name(F.col("table_name"))).drop("duration_seconds")
+    return named.join(landed, "_name", "left").drop("_name")
+
+
 @query
 def multi_table_sync(spark: SparkSession, d: str) -> DataFrame:
     feed = _feed_until_cut(spark, d)
