@@ -10,7 +10,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from tidemark.llm.alignment import Aligned, align, alignment_report, gallop, level_tokens, pieces
+from tidemark.llm.alignment import Aligned, Stretches, align, alignment_report, gallop, level_tokens, pieces
 
 SCHEMA = "doc_id long, text string"
 
@@ -103,9 +103,22 @@ def test_bytes_of_tokens():
     tokens = level_tokens(P.path("byte_bpe_50k.json"))
     table = byte_characters()
     vocabulary = Tokenizer.from_file(P.path("byte_bpe_50k.json")).get_vocab()
-    assert all(tokens.names[i] == bytes(table[c] for c in name) for name, i in vocabulary.items())
+    assert all(tokens.listed[i] == bytes(table[c] for c in name) for name, i in vocabulary.items())
     _, of_pieces = pieces(P.path("piece_bpe_32k.model"))
-    assert [of_pieces.names[i] for i in range(3, 259)] == [bytes([i]) for i in range(256)]
+    assert [of_pieces.listed[i] for i in range(3, 259)] == [bytes([i]) for i in range(256)]
+    # What lets stretches between spaces be encoded apart: no piece has a space after anything else.
+    assert not [x for x in of_pieces.listed if b" " in x.lstrip(b" ")]
+
+
+def test_stretches_are_encoded_as_in_their_texts(tokens_of, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.alignment.MEMORY_ENTRIES", 300)
+    both, rnd = Stretches(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")), random.Random(9)
+    odd = ["a", "The", " ", " ", "  ", "\n", "é", "漢字", "12", "'s", ".", "▁", "<s>", "\0", "\x1c", "\x85", "\u3000", "\t", "word", "<|endoftext|>", "ﬁ"]
+    for _ in range(60):
+        texts = ["".join(rnd.choices(odd, k=rnd.randint(0, 30))) for _ in range(20)]
+        for text, a, b in zip(texts, *both.encoded(texts)):
+            wanted = tokens_of(text)
+            assert (np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist()) == tuple([i for i, _ in side] for side in wanted)
 
 
 def test_gallop_equals_search():

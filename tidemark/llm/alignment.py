@@ -13,6 +13,7 @@ each pair and slice; links themselves are not shuffled one by one.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,7 +31,14 @@ from tidemark.session import column
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Text of one slice; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+# Stretches between spaces that are remembered, in each of two generations.
+MEMORY_ENTRIES = 200_000
+# Stretches that are given to a tokenizer as one string.
+JOINED = 256
+# A space beside other white space; where texts with such spaces are cut.
+CROWDED = re.compile(r" (?:(?=\s)|(?<=\s ))")
+PARTS = re.compile(r"(?<=\S)(?= \S)")
 LOW = np.int64((1 << 32) - 1)
 
 
@@ -45,15 +53,11 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Tokens:
-    """Bytes of every id of a vocabulary, end to end, so that many ids are joined at once."""
+    """Bytes of every id of a vocabulary."""
 
     def __init__(self, names: list[bytes]) -> None:
         self.sizes = np.fromiter(map(len, names), np.int64, len(names))
-        self.names = np.empty(len(names), object)
-        self.names[:] = names
-
-    def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(self.names[ids].tolist())
+        self.listed = names
 
 
 @lru_cache(maxsize=1)
@@ -195,24 +199,90 @@ def numerals(mark: bytes) -> np.ndarray:
     return out
 
 
+def parted(text: str) -> list[str]:
+    """A space and the text, cut before every space between two characters that are no white space."""
+    if not text:
+        return []
+    if text[0].isspace() or text[-1] == " " or "\0" in text or CROWDED.search(text):
+        return PARTS.split(" " + text)
+    parts = text.replace(" ", "\0 ").split("\0")
+    parts[0] = " " + parts[0]
+    return parts
+
+
+def cut_at(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Packed ids of stretches that lie end to end, from where their bytes end."""
+    cuts = (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1).tolist()
+    return [ids[low:high].tobytes() for low, high in zip([0, *cuts], cuts)]
+
+
+class Stretches:
+    """Packed ids of both tokenizers for texts, from those of stretches between spaces, while these are remembered.
+
+    Both tokenizers start a token at a single space between two other characters that are no white space: A's words
+    begin there, and no piece of B has a space after anything else. So the tokens of such a stretch are those it has
+    in any text. Two generations of stretches bound memory.
+    """
+
+    def __init__(self, path_a: str, path_b: str) -> None:
+        self.a = lookup(path_a)
+        self.model, self.bytes_b = pieces(path_b)
+        self.bytes_a = level_tokens(path_a)
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.broken: set[str] = set()
+
+    def learn(self, stretches: set[str]) -> None:
+        again = stretches & self.old[0].keys()
+        for known, old in zip(self.known, self.old):
+            known.update((stretch, old[stretch]) for stretch in again)
+        new = list(stretches - again)
+        # Stretches that end in no white space make one string together, cut again where their bytes end.
+        apart = {s for s in new if s[-1].isspace() or s[1:2].isspace()}
+        joined = [s for s in new if s not in apart]
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)] + [[s] for s in apart]
+        for group in groups:
+            whole = "".join(group)
+            ends = np.cumsum([len(stretch.encode()) for stretch in group])
+            ids = np.array(self.model.encode(whole[1:]), "<u4")
+            if b"".join(map(self.bytes_b.listed.__getitem__, ids.tolist())) == whole.encode():
+                self.known[1].update(zip(group, cut_at(ids, self.bytes_b.sizes, ends)))
+            elif len(group) > 1:
+                groups += [[stretch] for stretch in group]
+            else:
+                self.known[1][group[0]] = b""
+                self.broken.add(group[0])
+        groups = [group for group in groups if group[0] not in self.known[0]]
+        for group, encoded in zip(groups, self.a.tokenizer.encode_batch_fast(list(map("".join, groups)), add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.cumsum([len(stretch.encode()) for stretch in group])
+            self.known[0].update(zip(group, cut_at(ids, self.bytes_a.sizes, ends)))
+
+    def encoded(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Packed ids of a space and each text; none for empty texts and those not given back byte by byte."""
+        if len(self.known[0]) > MEMORY_ENTRIES:
+            self.old, self.known = self.known, ({}, {})
+            self.broken &= self.old[0].keys()
+        split = list(map(parted, texts))
+        self.learn(set().union(*split).difference(self.known[0]))
+        if self.broken:
+            split = [parts if self.broken.isdisjoint(parts) else [] for parts in split]
+        a, b = ([b"".join(map(known.__getitem__, parts)) for parts in split] for known in self.known)
+        return a, b
+
+
+@lru_cache(maxsize=1)
+def stretches() -> Stretches:
+    return Stretches(public_tokenizers.path(VOCABULARY_A), public_tokenizers.path(VOCABULARY_B))
+
+
 def aligned(texts: list[str]) -> Aligned:
     """The tokens of texts; none for empty ones and those that a tokenizer does not give back byte by byte."""
-    path_a, path_b = public_tokenizers.path(VOCABULARY_A), public_tokenizers.path(VOCABULARY_B)
-    model, bytes_b = pieces(path_b)
-    bytes_a = level_tokens(path_a)
-    packed = lookup(path_a).packed([" " + text for text in texts])
-    encoded = model.encode(texts, num_threads=1)
-    ids_a, ids_b = [], []
-    for text, a, b in zip(texts, packed, encoded):
-        a, b = np.frombuffer(a, "<u4").astype(np.int64), np.array(b, np.int64)
-        whole = b" " + text.encode()
-        if not text or bytes_b.joined(b) != whole or bytes_a.joined(a) != whole:
-            a = b = np.empty(0, np.int64)
-        ids_a.append(a)
-        ids_b.append(b)
-    n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(texts)) for ids in (ids_a, ids_b))
-    flat_a, flat_b = (np.concatenate([np.empty(0, np.int64), *ids]) for ids in (ids_a, ids_b))
-    return Aligned(flat_a, flat_b, np.cumsum(bytes_a.sizes[flat_a]), np.cumsum(bytes_b.sizes[flat_b]), n_a, n_b)
+    both = stretches()
+    packed = both.encoded(texts)
+    n_a, n_b = (np.fromiter(map(len, side), np.int64, len(texts)) // 4 for side in packed)
+    ids_a, ids_b = (np.frombuffer(b"".join(side), "<u4").astype(np.int64) for side in packed)
+    return Aligned(ids_a, ids_b, np.cumsum(both.bytes_a.sizes[ids_a]), np.cumsum(both.bytes_b.sizes[ids_b]), n_a, n_b)
 
 
 # ---- over all documents -----------------------------------------------------------------------------
