@@ -124,3 +124,24 @@ def test_cut_keys_end_like_whole_ones(spark):
         for options in ({}, {"soft_delete": True}, {"ignore_nulls": False}):
             whole = rows(apply_changes(frame(spark, events), "key", 2, **options))
             assert rows(apply_changes(frame(spark, events), "key", 2, max_group_rows=5, **options)) == whole
+
+
+def test_events_that_tie_are_applied_as_whole_rows(spark):
+    """Of events with one key, sequence and operation the values of one count in every column, in any order of arrival."""
+    tied = [(1, 7, "UPDATE", "a", "p"), (1, 7, "UPDATE", "b", "r"), (1, 7, "UPDATE", "c", "q")]
+    results = set()
+    for order in (tied, tied[::-1], tied[1:] + tied[:1], tied * 2):
+        frame = spark.createDataFrame(order, "id long, _seq_num long, operation string, a string, b string").repartition(3)
+        own = {tuple(r) for r in apply_changes(frame, "id").collect()}
+        latest = {tuple(r)[:3] for r in apply_changes(frame, "id", scd_type=2).collect()}
+        assert own == latest == {(1, *tuple(r)[1:]) for r in apply_changes(frame, "id", ignore_nulls=False).collect()}
+        results |= own
+    assert len(results) == 1 and results <= {(1, "a", "p"), (1, "b", "r"), (1, "c", "q")}
+    maps = spark.createDataFrame([(1, 1, "UPDATE", {"x": 1})], "id long, _seq_num long, operation string, m map<string,int>")
+    assert apply_changes(maps, "id", scd_type=2).count() == 1
+
+
+def test_a_table_without_hot_keys_is_read_in_one_exchange(spark):
+    events = spark.range(500).selectExpr("id % 50 AS id", "id AS _seq_num", "'UPDATE' AS operation", "id AS a")
+    plan = apply_changes(events, "id", scd_type=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

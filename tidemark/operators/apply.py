@@ -6,9 +6,10 @@ last delete. Maxima are partial on the map side, do not depend on arrival order,
 changes nothing, so the same fold serves batches, streams and compaction, and a key with many events
 reaches the reducer as one row per map task.
 
-Type 2 needs the order of events within a key, hence windows. Keys with more than ``max_group_rows``
-events are cut into blocks of the sequence; each block is ordered on its own and receives what earlier
-and later blocks contribute from one summary row per block.
+Type 2 needs the order of events within a key, hence windows. Keys with more than about
+``max_group_rows`` events, which a sample of keys and sequence numbers tells, are cut into blocks of the
+sequence; each block is ordered on its own and receives what earlier and later blocks contribute from one
+summary row per block. Where the sample finds no such key, there is one window and no join.
 """
 
 from __future__ import annotations
@@ -19,16 +20,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.operations import operation_rank
-from tidemark.session import column
+from tidemark.session import column, shared_folder
 
 DELETE_EVENTS = "operation = 'DELETE'"
 START, END = "__start_at", "__end_at"
 DELETED_FLAG = "_is_deleted"
 
-# Into how many blocks of about equal rows a key with many events is cut.
+# Into how many blocks of about equal rows a key with many events is cut at most, and how many events of a block are
+# sampled to find where.
 HOT_BLOCKS = 200
+SAMPLED = 100
+# Events in the low bits of a rank: which of several events with one sequence, time and operation is the later one.
+TIE_BITS = 56
+LOWEST_RANK = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -49,10 +56,17 @@ class ApplyRules:
         return [c for c in events.columns if c.lower() not in left_out]
 
     def position(self, events: DataFrame) -> Column:
-        """Order of an event: sequence, then extraction time, then load < insert < update < delete."""
+        """Order of an event: sequence, extraction time, load < insert < update < delete, then a hash of its values.
+
+        The hash makes it an order of whole events, so that of several that tie in all else the values of one count
+        in every column.
+        """
         parts = [column(self.sequence).alias("seq")]
         parts.append((F.col("_extracted_at") if "_extracted_at" in events.columns else F.lit(0)).cast("bigint").alias("at"))
-        parts.append((operation_rank(F.col("operation")) if "operation" in events.columns else F.lit(0)).alias("rank"))
+        rank = (operation_rank(F.col("operation")) if "operation" in events.columns else F.lit(0)).cast("bigint")
+        values = [column(c) for c in self.values(events)]
+        tie = F.shiftrightunsigned(F.xxhash64(*[hashable(v, events.schema[c].dataType) for c, v in zip(self.values(events), values)]), 64 - TIE_BITS) if values else F.lit(0)
+        parts.append((F.shiftleft(rank, TIE_BITS) + tie).alias("rank"))
         return F.struct(*parts)
 
     @property
@@ -64,6 +78,11 @@ class ApplyRules:
         return F.coalesce(F.expr(self.delete_when), F.lit(False))
 
 
+def hashable(value: Column, kind: T.DataType) -> Column:
+    """The value in a form that can be hashed; maps and variants have none of their own."""
+    return value if isinstance(kind, T.AtomicType) else F.to_json(F.struct(value.alias("v")))
+
+
 def rules(keys: Sequence[str] | str, **options) -> ApplyRules:
     """Rules for one or several key columns."""
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
@@ -147,21 +166,33 @@ def _same_keys(keys: Sequence[str], left: str, right: str) -> Column:
     return on
 
 
-def _hot_keys(events: DataFrame, how: ApplyRules) -> DataFrame:
-    """Keys with more than ``max_group_rows`` events, with sequence numbers that cut them into even blocks.
+def _hot_keys(events: DataFrame, how: ApplyRules) -> DataFrame | None:
+    """Keys with more than about ``max_group_rows`` events and sequence numbers that cut them into even blocks, if any.
 
-    Where the cuts lie has no bearing on the result, so approximate quantiles do.
+    Where the cuts lie, and whether a key is cut at all, has no bearing on the result, so a sample does. Its rows are
+    at most one for each ``max_group_rows`` events; it is written once, so that all who use it see the same cuts.
     """
-    counts = events.groupBy(*how.by).agg(F.count("*").alias("_n")).where(F.col("_n") > how.max_group_rows)
-    own = events.select(*how.by, F.col("_pos.seq").alias("_seq")).alias("e").join(counts.alias("h"), _same_keys(how.keys, "e", "h"), "left_semi")
+    share = min(1.0, SAMPLED / how.max_group_rows)
+    limit = how.max_group_rows * share
+    seen = events.select(*how.by, F.col("_pos.seq").alias("_seq"))
+    seen = seen if share == 1.0 else seen.sample(share, seed=11)
     shares = F.array(*[F.lit(i / HOT_BLOCKS) for i in range(1, HOT_BLOCKS)])
-    return own.groupBy(*how.by).agg(F.percentile_approx("_seq", shares, 4 * HOT_BLOCKS).alias("_cuts"), F.lit(True).alias("_hot"))
+    counted = seen.groupBy(*how.by).agg(F.count("*").alias("_n"), F.percentile_approx("_seq", shares, 4 * HOT_BLOCKS).alias("_cuts"))
+    blocks = F.least(F.lit(HOT_BLOCKS), F.ceil(F.col("_n") / limit)).cast("int")
+    chosen = F.transform(F.sequence(F.lit(1), blocks - 1), lambda i: F.element_at("_cuts", F.floor(i * HOT_BLOCKS / blocks).cast("int")))
+    hot = counted.where((F.col("_n") > limit) & F.col("_cuts").isNotNull()).select(*how.by, F.array_distinct(chosen).alias("_cuts"), F.lit(True).alias("_hot"))
+    path = shared_folder(events.sparkSession, "hot-keys")
+    hot.write.parquet(path)
+    found = events.sparkSession.read.schema(hot.schema).parquet(path)
+    return None if found.isEmpty() else found
 
 
-def _with_blocks(events: DataFrame, hot: DataFrame, how: ApplyRules, join: str) -> DataFrame:
+def _with_blocks(events: DataFrame, hot: DataFrame | None, how: ApplyRules, join: str) -> DataFrame:
     """Adds ``_block``, the number of cuts below an event of a hot key; events without a number come first."""
+    if hot is None:
+        return events.withColumn("_block", F.lit(None).cast("int"))
     joined = events.alias("e").join(hot.alias("h"), _same_keys(how.keys, "e", "h"), join)
-    below = F.coalesce(F.size(F.filter(F.array_distinct("h._cuts"), lambda cut: cut < F.col("e._pos.seq"))), F.lit(0))
+    below = F.coalesce(F.size(F.filter("h._cuts", lambda cut: cut < F.col("e._pos.seq"))), F.lit(0))
     block = F.when(F.col("h._hot"), F.when(F.col("e._pos.seq").isNull(), -1).otherwise(below))
     return joined.select("e.*", block.alias("_block"))
 
@@ -183,7 +214,7 @@ def versions_of_marked(marked: DataFrame, values: Sequence[str], how: ApplyRules
     carries = {c: f"_f{i}" for i, c in enumerate(values)} if how.ignore_nulls else {}
     hot = _hot_keys(marked, how)
     blocks = _with_blocks(marked, hot, how, "left")
-    group = [*how.by, F.col("_block")]
+    group = [*how.by] if hot is None else [*how.by, F.col("_block")]
     ordered = W.partitionBy(*group).orderBy("_pos")
     so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
     kept = F.lit(True) if how.soft_delete else ~F.col("_del")
@@ -191,38 +222,26 @@ def versions_of_marked(marked: DataFrame, values: Sequence[str], how: ApplyRules
     # Within a block: last non-NULL values and last delete so far, and where the next event starts.
     # Shuffling first keeps the window inputs, which repeat the position, out of the shuffle.
     local = blocks.repartition(*group).select(
-        *group, "_pos", "_del",
+        *how.by, "_block", "_pos", "_del",
         *([] if carries else [column(c) for c in values]),
         F.lead(F.col("_pos.seq")).over(ordered).alias("_next"),
         *[F.last(F.when(kept, _filled(c)), ignorenulls=True).over(so_far).alias(f) for c, f in carries.items()],
         *([] if how.soft_delete else [F.last(F.when(F.col("_del"), F.col("_pos")), ignorenulls=True).over(so_far).alias("_d")]),
     )
-
-    # Across the blocks of a hot key: the same from one summary row per block. Without hot keys this side is
-    # empty, and Spark drops it while the query runs.
-    summary = _with_blocks(marked, hot, how, "inner").where(F.col("_block").isNotNull()).groupBy(*group).agg(
-        F.min("_pos.seq").alias("_first"),
-        F.max(F.when(F.col("_del"), F.col("_pos"))).alias("_d"),
-        *[F.max(F.when(kept, _filled(c))).alias(f) for c, f in carries.items()],
-    )
-    by_block = W.partitionBy(*how.by).orderBy("_block")
-    before = by_block.rowsBetween(W.unboundedPreceding, -1)
-    carried = summary.select(
-        *group,
-        F.lead("_first").over(by_block).alias("_next"),
-        F.last("_d", ignorenulls=True).over(before).alias("_d"),
-        *[F.last(f, ignorenulls=True).over(before).alias(f) for f in carries.values()],
-    )
-
-    joined = local.alias("l").join(carried.alias("c"), _same_keys([*how.keys, "_block"], "l", "c"), "left")
-    following = F.coalesce(F.col("l._next"), F.col("c._next"))
+    if hot is None:
+        joined, kinds = local.alias("l"), {f.name: f.dataType for f in local.schema}
+        carry = lambda name: F.lit(None).cast(kinds[name])
+    else:
+        joined = local.alias("l").join(_carried(marked, hot, carries, how).alias("c"), _same_keys([*how.keys, "_block"], "l", "c"), "left")
+        carry = lambda name: F.col(f"c.{name}")
+    following = F.coalesce(F.col("l._next"), carry("_next"))
     start = F.col("l._pos.seq")
-    last_delete = F.lit(None) if how.soft_delete else F.coalesce(F.col("l._d"), F.col("c._d"))
+    last_delete = F.lit(None) if how.soft_delete else F.coalesce(F.col("l._d"), carry("_d"))
 
     def value(name: str) -> Column:
         if not carries:
             return column(name, "l")
-        held = F.coalesce(F.col(f"l.{carries[name]}"), F.col(f"c.{carries[name]}"))
+        held = F.coalesce(F.col(f"l.{carries[name]}"), carry(carries[name]))
         if how.soft_delete:
             return held["value"].alias(name)
         return F.when(last_delete.isNull() | (held["pos"] > last_delete), held["value"]).alias(name)
@@ -240,6 +259,25 @@ def versions_of_marked(marked: DataFrame, values: Sequence[str], how: ApplyRules
     )
 
 
+def _carried(marked: DataFrame, hot: DataFrame, carries: dict[str, str], how: ApplyRules) -> DataFrame:
+    """What the blocks of hot keys get from the blocks before and after, from one summary row per block."""
+    group = [*how.by, F.col("_block")]
+    kept = F.lit(True) if how.soft_delete else ~F.col("_del")
+    summary = _with_blocks(marked, hot, how, "inner").groupBy(*group).agg(
+        F.min("_pos.seq").alias("_first"),
+        F.max(F.when(F.col("_del"), F.col("_pos"))).alias("_d"),
+        *[F.max(F.when(kept, _filled(c))).alias(f) for c, f in carries.items()],
+    )
+    by_block = W.partitionBy(*how.by).orderBy("_block")
+    before = by_block.rowsBetween(W.unboundedPreceding, -1)
+    return summary.select(
+        *group,
+        F.lead("_first").over(by_block).alias("_next"),
+        F.last("_d", ignorenulls=True).over(before).alias("_d"),
+        *[F.last(f, ignorenulls=True).over(before).alias(f) for f in carries.values()],
+    )
+
+
 def current_versions(versions: DataFrame) -> DataFrame:
     """Open versions only."""
     return versions.where(F.col(END).isNull())

@@ -23,6 +23,7 @@ from tidemark.functions.types import widens
 from tidemark.operators.apply import (
     DELETED_FLAG,
     END,
+    LOWEST_RANK,
     START,
     ApplyRules,
     finish_state,
@@ -209,7 +210,7 @@ def _continued(events: DataFrame, known: DataFrame, how: ApplyRules) -> DataFram
     open_rows = finish_state(known.where(met_before).drop("_first_pos", "_late"), how, with_start=True)
     deleted = F.col(DELETED_FLAG) if how.soft_delete else F.lit(False)
     lowest = F.struct(
-        F.col(START).alias("seq"), F.lit(-1).cast("bigint").alias("at"), F.lit(-1).alias("rank")
+        F.col(START).alias("seq"), F.lit(-1).cast("bigint").alias("at"), F.lit(LOWEST_RANK).cast("bigint").alias("rank")
     )
     base = open_rows.select(*how.by, *[column(c) for c in values], lowest.alias("_pos"), deleted.alias("_del"))
     return versions_of_marked(mark(events, how).unionByName(base), values, how)
