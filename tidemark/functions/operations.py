@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Operation codes of a change feed and their names in the envelope.
 OPERATION_NAMES = {"L": "LOAD", "I": "INSERT", "U": "UPDATE", "D": "DELETE"}
 
+# Operation of a reload barrier: what its table held before is gone, whether or not the reload has rows.
+RELOAD = "RELOAD"
+
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 

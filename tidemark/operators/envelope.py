@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.identity import fingerprint, table_uoid
-from tidemark.functions.operations import decode_operation
+from tidemark.functions.identity import fingerprint, table_uoid, uoid_of
+from tidemark.functions.operations import RELOAD, decode_operation
 from tidemark.session import column
 from tidemark.sources.feed import CHANGE_COLUMNS, OPERATION, VERSION
 
@@ -89,10 +90,16 @@ def to_envelope(
     )
 
 
+def reload_barrier(spark: SparkSession, database: str, schema: str, table: str, version: int, extracted_at_ms: int, catalog: str | None = None) -> DataFrame:
+    """One envelope without a payload that goes ahead of a table's full reload, also of an empty one."""
+    row = (None, (catalog or database, schema, table, uoid_of(database, schema, table)), (None, str(version), str(version), None), extracted_at_ms, RELOAD, None)
+    return spark.createDataFrame([row], ENVELOPE_SCHEMA)
+
+
 def from_envelope(
     bronze: DataFrame, payload: T.StructType, uoid: str | None = None, soft_delete: bool = False, tie_break: bool = False
 ) -> DataFrame:
-    """Typed change events of one table.
+    """Typed change events of one table; reload barriers are no events.
 
     ``uoid`` filters on the ``_uoid`` partition where the bronze table has one. ``tie_break`` adds the
     extraction time, which orders events that share a sequence number.
@@ -100,6 +107,7 @@ def from_envelope(
     if uoid is not None:
         key = "_uoid" if "_uoid" in bronze.columns else "table_id.uoid"
         bronze = bronze.where(F.col(key) == uoid)
+    bronze = bronze.where(~F.col("operation").eqNullSafe(RELOAD))
     lead = [F.expr("try_cast(cursor.seqNum as bigint)").alias("_seq_num"), F.col("operation")]
     if tie_break:
         lead.append(F.col("extractionTimestamp").alias("_extracted_at"))
@@ -111,6 +119,33 @@ def from_envelope(
     )
 
 
+CORRUPT = "__corrupt"
+
+
+def parse_envelope(bronze: DataFrame, payload: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """Envelopes of one table parsed once: typed columns, and why an envelope is no event, if so.
+
+    ``_reason`` is ``no payload``, ``malformed payload`` (no JSON, or a value that is not of its column's type) or
+    ``no key``; ``_data`` has the payload of these. Reload barriers have neither.
+    """
+    schema = T.StructType([*payload.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = bronze.select(
+        F.expr("try_cast(cursor.seqNum as bigint)").alias("_seq_num"), "operation", F.col("extractionTimestamp").alias("_extracted_at"),
+        "data", F.from_json("data", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("parsed"),
+    )
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | F.col("parsed").getField(key).isNull()
+    broken = (
+        F.when(F.col("data").isNull(), "no payload")
+        .when(F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull(), "malformed payload")
+        .when(no_key, "no key")
+    )
+    rows = rows.withColumn("_reason", F.when(~F.col("operation").eqNullSafe(RELOAD), broken))
+    columns = [F.col("parsed").getField(f.name).alias(f.name) for f in payload]
+    return rows.select("_seq_num", "operation", "_extracted_at", *columns, "_reason", F.when(F.col("_reason").isNotNull(), F.col("data")).alias("_data"))
+
+
 def deleted_flag() -> Column:
     """True for delete events, false for all others."""
     return F.when(F.col("operation") == "DELETE", True).otherwise(False)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import partition_day
@@ -67,28 +65,18 @@ def write_landing(
     path: str,
     load_date: str,
     reload: bool = False,
-    reloaded: Iterable[str] = (),
     compression: str | None = None,
     level: int | None = None,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Envelopes below one folder per table.
 
-    ``reload`` replaces all that was landed before for the tables in ``envelopes``, and only for these. ``reloaded``
-    has the ids of all tables that were read anew: those without rows lose what was landed before.
+    ``reload`` replaces all that was landed before for the tables in ``envelopes``, and only for these; a table that is
+    empty now is among them by its reload barrier.
     """
     dated = with_table_partition(envelopes).withColumn("load_date", F.lit(load_date).cast("date"))
     writer = _writer(_evened(dated, "_uoid"), compression, level, rows_per_file, "overwrite" if reload else "append")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("_uoid").parquet(path)
-    if reloaded := set(reloaded):
-        clear_tables(envelopes.sparkSession, path, reloaded.difference(r[0] for r in dated.select("_uoid").distinct().collect()))
-
-
-def clear_tables(spark: SparkSession, path: str, uoids: Iterable[str]) -> None:
-    """Deletes what was landed for some tables."""
-    for uoid in uoids:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_uoid={uoid}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_sync_log(rows: DataFrame, path: str) -> None:

@@ -12,11 +12,12 @@ import logging
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.identity import uoid_of
-from tidemark.operators.envelope import to_envelope
+from tidemark.functions.operations import RELOAD
+from tidemark.operators.envelope import reload_barrier, to_envelope
 from tidemark.plans.sync_run import plan_tables
 from tidemark.sources.catalog import describe_columns
 from tidemark.sources.feed import VERSION, full_load, incremental_changes
@@ -76,24 +77,24 @@ def message(error: Exception) -> str:
     return (str(error).strip() or type(error).__name__).splitlines()[0][:1000]
 
 
-def watched(rows: DataFrame) -> tuple[Observation, DataFrame]:
-    """The rows, counted and timed while they pass."""
+def watched(rows: DataFrame, counts: Column) -> tuple[Observation, DataFrame]:
+    """The rows, timed while they pass; those that meet a condition are counted."""
     seen = Observation()
     timed = rows.withColumn("__at", F.expr(CLOCK).cast("bigint"))
-    timed = timed.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("__at").alias("first"), F.max("__at").alias("last"))
+    timed = timed.observe(seen, F.count_if(counts).alias("rows"), F.min("__at").alias("first"), F.max("__at").alias("last"))
     return seen, timed.drop("__at")
 
 
-def write_together(parts: Mapping[str, DataFrame], write: Callable[[DataFrame], None]) -> dict[str, Outcome]:
+def write_together(parts: Mapping[str, DataFrame], write: Callable[[DataFrame], None], counts: Column | None = None) -> dict[str, Outcome]:
     """Writes frames of one schema by one job, and tells what became of each.
 
-    ``write`` has to be all or nothing. If it fails for several frames, each half of them is tried by itself.
+    Rows that meet ``counts`` are counted (all, unless given). ``write`` has to be all or nothing. If it fails for several frames, each half of them is tried by itself.
     """
     if not parts:
         return {}
     seen, together = {}, None
     for name, rows in parts.items():
-        seen[name], part = watched(rows)
+        seen[name], part = watched(rows, F.lit(True) if counts is None else counts)
         together = part if together is None else together.unionByName(part)
     try:
         write(together)
@@ -105,7 +106,7 @@ def write_together(parts: Mapping[str, DataFrame], write: Callable[[DataFrame],
         half = len(names) // 2
         found: dict[str, Outcome] = {}
         for some in (names[:half], names[half:]):
-            found |= write_together({name: parts[name] for name in some}, write)
+            found |= write_together({name: parts[name] for name in some}, write, counts)
         return found
     counts = {name: observation.get for name, observation in seen.items()}
     return {name: Outcome(c["rows"], round(((c["last"] or 0) - (c["first"] or 0)) / 1000, 3)) for name, c in counts.items()}
@@ -117,7 +118,6 @@ class Extraction:
 
     decisions: DataFrame
     results: DataFrame
-    reloaded: list[SourceTable]
 
 
 def control_tables(spark: SparkSession, tables: Iterable[SourceTable]) -> tuple[DataFrame, DataFrame]:
@@ -176,17 +176,19 @@ def extract_tables(
             continue
         try:
             changes = table.read(row.actual_mode, row.since_version, version)
-            reads[row.actual_mode][name] = to_envelope(changes, database, *table.parts, catalog, extracted_at_ms)
+            envelopes = to_envelope(changes, database, *table.parts, catalog, extracted_at_ms)
+            if row.actual_mode == "full":
+                envelopes = envelopes.unionByName(reload_barrier(spark, database, *table.parts, version, extracted_at_ms, catalog))
+            reads[row.actual_mode][name] = envelopes
         except Exception as error:  # noqa: BLE001  the others are still read
             logger.warning("%s cannot be read: %s", name, message(error))
             outcomes[name] = Outcome(error=error)
     for mode, parts in reads.items():
-        outcomes |= write_together(parts, lambda rows, mode=mode: write(rows, mode))
+        outcomes |= write_together(parts, lambda rows, mode=mode: write(rows, mode), ~F.col("operation").eqNullSafe(RELOAD))
     if count_rows is not None:
         outcomes = recounted(outcomes, count_rows(), database, by_name)
     found = spark.createDataFrame([outcome.row(name) for name, outcome in outcomes.items()], OUTCOME)
-    read = [by_name[name] for name, outcome in outcomes.items() if outcome.error is None and decided[name].actual_mode == "full"]
-    return Extraction(decisions, with_outcomes(decisions, found, version), read)
+    return Extraction(decisions, with_outcomes(decisions, found, version))
 
 
 def recounted(outcomes: dict[str, Outcome], landed: DataFrame, database: str, tables: Mapping[str, SourceTable]) -> dict[str, Outcome]:

@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.identity import schema_part, table_part, table_uoid, uoid_of
-from tidemark.functions.operations import decode_operation
+from tidemark.functions.identity import schema_part, table_part, table_uoid
+from tidemark.functions.operations import RELOAD, decode_operation
 from tidemark.functions.types import parse_schema
 from tidemark.operators import ledger, manifest, schema_history
 from tidemark.operators.apply import rules
 from tidemark.operators.envelope import ENVELOPE_SCHEMA
-from tidemark.operators.sinks import clear_tables, write_landing, write_sync_log
+from tidemark.operators.sinks import write_landing, write_sync_log
 from tidemark.plans.extract import SourceTable, column_rows, control_tables, extract_tables
 from tidemark.plans.runlog import log_rows
 from tidemark.plans.sync_run import SyncRun, sync_tables
@@ -142,16 +142,13 @@ class SyncJob:
 
         def landed() -> DataFrame:
             rows = read_parquet(self.spark, T.StructType([*ENVELOPE_SCHEMA.fields]).add("_uoid", "string"), self.landing)
-            rows = self.spark.createDataFrame([], "_uoid string, n bigint") if rows is None else rows.where(F.col("extractionTimestamp") == extracted)
+            rows = self.spark.createDataFrame([], "_uoid string, n bigint") if rows is None else rows.where((F.col("extractionTimestamp") == extracted) & (F.col("operation") != RELOAD))
             return rows.groupBy("_uoid").agg(F.count("*").alias("n"))
 
         done = extract_tables(
             self.spark, source.name, source.tables, self.watermarks(source.name).select("table_name", "version"), source.bounds,
             lambda rows, mode: write_landing(rows, self.landing, day, reload=mode == "full"), extracted, source.catalog, override, landed,
         )
-        empty = done.results.where("rows_written = 0").select("table_name").collect()
-        cleared = {r[0] for r in empty} & {t.name for t in done.reloaded}
-        clear_tables(self.spark, self.landing, [uoid_of(source.name, *t.parts) for t in done.reloaded if t.name in cleared])
         return self._book(done.results, described, schema_fingerprint(described.columns), started, extracted)
 
     def _book(self, outcome: DataFrame, source: SourceDatabase, versions: DataFrame, started: datetime, extracted: int) -> DataFrame:
@@ -166,15 +163,14 @@ class SyncJob:
         return results
 
     def _land(self, plan: SyncRun, source: SourceDatabase, versions: DataFrame, extracted: int, started: datetime) -> None:
-        envelopes = keyed_envelopes(plan.changes, source.name, source.catalog, extracted, versions)
-        day = started.date().isoformat()
-        name = F.col("table_name")
-        uoid = table_uoid(F.lit(source.name), schema_part(name), table_part(name))
-        # One row for each table that is read in full; also those that are empty now replace what was landed.
-        reloaded = [r[0] for r in plan.decisions.where("status = 'ok' AND actual_mode = 'full'").select(uoid).collect()]
+        # A table that is read in full sends a barrier ahead, so that what was there before goes, also if it is empty now.
+        whole = plan.results.where("status = 'success' AND actual_mode = 'full'")
+        nothing = F.lit(None).cast("string")
+        barriers = whole.select("table_name", F.col("current_version").alias(VERSION), F.lit(RELOAD).alias(OPERATION), nothing.alias("key"), nothing.alias("data"), "actual_mode")
+        envelopes = keyed_envelopes(plan.changes.unionByName(barriers), source.name, source.catalog, extracted, versions)
         for mode in ("full", "incremental"):
             own = envelopes.where(F.col("actual_mode") == mode).drop("actual_mode")
-            write_landing(own, self.landing, day, reload=mode == "full", reloaded=reloaded if mode == "full" else ())
+            write_landing(own, self.landing, started.date().isoformat(), reload=mode == "full")
 
     def _results(self, outcome: DataFrame, source: SourceDatabase, versions: DataFrame) -> DataFrame:
         """Result rows as the log and the manifest take them."""

@@ -6,6 +6,9 @@ parts are folded into one.
 Type 2: the type 1 state gives the open versions and tells what later events start from. Keys whose
 events all lie after what is known only add closed versions. Keys with an event from the past are folded
 again from the typed events kept by bucket, and their closed versions replaced.
+
+A reload barrier deletes every key that was there before it. Events from before a barrier that arrive later are
+followed by that delete again. Envelopes that are no events are kept apart with the reason.
 """
 
 from __future__ import annotations
@@ -14,11 +17,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.operations import RELOAD
 from tidemark.functions.types import widens
 from tidemark.operators.apply import (
     DELETED_FLAG,
@@ -32,14 +36,15 @@ from tidemark.operators.apply import (
     merge_states,
     versions_of_marked,
 )
-from tidemark.operators.envelope import from_envelope
+from tidemark.operators.envelope import from_envelope, parse_envelope
 from tidemark.operators.widening import UnsupportedTypeChange
 from tidemark.session import broadcast_if_small, column, read_parquet
 from tidemark.streaming.bronze import bronze_stream
-from tidemark.streaming.buckets import BucketedTable, appended, crowded
+from tidemark.streaming.buckets import BucketedTable, Parts, appended, crowded
 
 BUCKETS = 256
 PARTS_PER_BUCKET = 16
+REJECTED = "seq_num bigint, operation string, data string, reason string"
 
 
 @dataclass
@@ -115,12 +120,21 @@ class SilverTable:
         last = self.state.last_batch()
         if last is not None and batch <= last:
             return
-        events = self.events(bronze).persist()
+        parsed = parse_envelope(bronze, self.payload, self.how.keys).persist()
+        events = None
         try:
+            barrier = F.when(F.col("operation") == RELOAD, F.struct("_seq_num", "_extracted_at"))
+            found = parsed.agg(F.max(barrier).alias("barrier"), F.count_if(F.col("_reason").isNotNull()).alias("rejected")).first()
+            if found["rejected"]:
+                self._reject(parsed, batch)
+            before = self.state.parts(before=batch)
+            events = parsed.where(F.col("_reason").isNull() & ~F.col("operation").eqNullSafe(RELOAD)).drop("_reason", "_data")
+            fence = self._fence(found["barrier"], batch)
+            if fence is not None:
+                events = events.unionByName(self._fenced_off(events, fence, before if found["barrier"] else {})).persist()
             touched = [r[0] for r in events.select(self.state.bucket()).distinct().collect()]
             if not touched:
                 return
-            before = self.state.parts(before=batch)
             fresh = fold_state(events, self.how)
             if self.scd_type == 1:
                 self._commit_state(fresh, before, batch)
@@ -133,7 +147,45 @@ class SilverTable:
             # The state goes last: until it is committed, readers stay with the batch before.
             self._commit_state(fresh, before, batch)
         finally:
-            events.unpersist()
+            parsed.unpersist()
+            if events is not None:
+                events.unpersist()
+
+    def _reject(self, parsed: DataFrame, batch: int) -> None:
+        rows = parsed.where("_reason IS NOT NULL").select(F.col("_seq_num").alias("seq_num"), "operation", F.col("_data").alias("data"), F.col("_reason").alias("reason"))
+        rows.write.mode("overwrite").parquet(f"{self.path}/rejected/batch={batch}")
+
+    def rejected(self) -> DataFrame:
+        """Envelopes that were no events, with the reason."""
+        held = read_parquet(self.spark, REJECTED, f"{self.path}/rejected")
+        return self.spark.createDataFrame([], REJECTED) if held is None else held
+
+    def _fence(self, barrier: Row | None, batch: int) -> tuple[int, int] | None:
+        """The latest barrier up to this batch: version and time of the reload."""
+        path = f"{self.path}/barriers"
+        stored = read_parquet(self.spark, "seq bigint, at bigint, batch bigint", path)
+        held = [] if stored is None else [tuple(r) for r in stored.where(F.col("batch") < batch).select("seq", "at").collect()]
+        if barrier is not None:
+            self.spark.createDataFrame([tuple(barrier)], "seq bigint, at bigint").write.mode("overwrite").parquet(f"{path}/batch={batch}")
+            held.append(tuple(barrier))
+        return max(held, default=None)
+
+    def _fenced_off(self, events: DataFrame, fence: tuple[int, int], stored: Parts) -> DataFrame:
+        """Deletes just before a reload, for keys with events from before it and those that ``stored`` parts hold."""
+        seq, at = fence
+
+        def earlier(seq_: str, at_: str) -> Column:
+            return (F.col(seq_) < seq) | ((F.col(seq_) == seq) & (F.col(at_) < at))
+
+        keys = events.where(earlier("_seq_num", "_extracted_at")).select(*self.how.by)
+        if stored:
+            state = merge_states(self.state.read(stored), self.how)
+            live = F.col("_upsert_pos").isNotNull() & (F.col("_deleted_pos").isNull() | (F.col("_upsert_pos") > F.col("_deleted_pos")))
+            keys = keys.unionByName(state.where(live & earlier("_upsert_pos.seq", "_upsert_pos.at")).select(*self.how.by))
+        controls = {"_seq_num": F.lit(seq), "operation": F.lit("DELETE"), "_extracted_at": F.lit(at - 1)}
+        own = set(self.how.keys)
+        columns = [(controls[f.name] if f.name in controls else column(f.name) if f.name in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema]
+        return keys.distinct().select(*columns)
 
     def _check_stream(self) -> None:
         """Remembers the id of the stream that writes the table; any other one is refused."""

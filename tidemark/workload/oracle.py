@@ -180,6 +180,22 @@ FROM seen WHERE dseq IS NULL OR seq > dseq GROUP BY {keys}"""
 Q["scd1_ignore_nulls"] = f"WITH {LOG}, {scd1()}"
 for same in ("scd1_apply", "scd1_out_of_order", "scd1_streaming"):
     Q[same] = Q["scd1_ignore_nulls"]
+Q["demux_apply"] = f"""
+WITH {LOG}, good AS (SELECT event_type AS table_name, * FROM log WHERE seq % 29 <> 0), {scd1(keys="table_name, user_id", events="good")}"""
+Q["rejected_rows"] = f"""
+WITH {LOG}
+SELECT seq AS seq_num, operation, reason FROM (
+  SELECT *, CASE WHEN seq % 13 = 0 THEN 'malformed payload' WHEN seq % 17 = 0 THEN 'no key' WHEN seq % 19 = 0 THEN 'malformed payload'
+                 WHEN seq % 23 = 0 THEN 'no payload' END AS reason FROM log)
+WHERE reason IS NOT NULL"""
+Q["scd1_streaming_reload"] = f"""
+WITH {LOG}, cut AS (SELECT max(seq) // 2 AS v FROM log),
+upto AS (SELECT * FROM log WHERE seq <= (SELECT v FROM cut)),
+state AS (WITH {scd1(events="upto")}),
+after AS (
+  SELECT (SELECT v FROM cut) AS seq, 'LOAD' AS operation, user_id, value, k FROM state WHERE user_id % 3 = 0
+  UNION ALL SELECT seq, operation, user_id, value, k FROM log WHERE seq > (SELECT v FROM cut)),
+{scd1(events="after")}"""
 Q["scd1_delete_predicate"] = f"WITH {LOG}, " + scd1("operation = 'DELETE' OR k > 90")
 Q["scd1_composite_key"] = f"WITH {LOG}, " + scd1(keys="user_id, event_type")
 Q["scd1_keep_nulls"] = f"""

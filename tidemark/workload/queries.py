@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tidemark.operators.apply import (
     versions_as_of,
 )
 from tidemark.operators.diff import snapshot_changes
-from tidemark.operators.envelope import from_envelope, to_envelope, with_table_partition
+from tidemark.operators.envelope import from_envelope, reload_barrier, to_envelope, with_table_partition
 from tidemark.operators.sinks import write_landing, write_sync_log
 from tidemark.operators.widening import union_widened
 from tidemark.plans import metrics, runlog
@@ -31,6 +32,7 @@ from tidemark.sources import catalog
 from tidemark.sources.feed import OPERATION, VERSION, feed_bounds, full_load, incremental_changes, net_changes
 from tidemark.sources.landing import sync_log
 from tidemark.streaming.bronze import BRONZE_SCHEMA, bronze_table, start_bronze
+from tidemark.streaming.demux import DemuxedLake, DemuxTable
 from tidemark.streaming.silver import SilverTable, apply_stream
 from tidemark.workload import frames
 
@@ -210,19 +212,61 @@ def soft_delete_flag(spark: SparkSession, d: str) -> DataFrame:
     return from_envelope(_users_envelope(spark, d), frames.USERS_PAYLOAD, soft_delete=True)
 
 
+def _feed_envelopes(spark: SparkSession, d: str) -> DataFrame:
+    """Each event type as a table of its own, all of them in one frame."""
+    rows = frames.change_log(spark, d).select(VERSION, OPERATION, "user_id", "event_type", "value", "k")
+    return to_envelope(rows, F.lit("app"), F.lit("dbo"), F.col("event_type"), extracted_at_ms=1_700_000_000_000)
+
+
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 @query
 def demux_counts(spark: SparkSession, d: str) -> DataFrame:
-    """All event types in one bronze; each table is read back through its own partition."""
-    feed = frames.keyed_feed(spark, d)
-    changes = feed.select("table_name", VERSION, OPERATION, F.col("key").cast("bigint").alias("user_id"), "data")
-    payload = changes.select(VERSION, OPERATION, "user_id", "table_name")
-    bronze = with_table_partition(
-        to_envelope(payload, F.lit("app"), schema_part(F.col("table_name")), table_part(F.col("table_name")), extracted_at_ms=0)
+    """All event types written into one bronze; each table is read back through its own partition."""
+    folder = shared_folder(spark, "demux")
+    write_landing(_feed_envelopes(spark, d), folder, "2024-02-01")
+    bronze, counts = bronze_table(spark, folder), None
+    for kind in EVENT_TYPES:
+        events = from_envelope(bronze, T.StructType().add("user_id", "long"), uoid_of("app", "dbo", kind))
+        own = events.agg(F.count("*").alias("events"), F.count_if(F.col("operation") == "DELETE").alias("deletes"), F.sum("user_id").alias("user_sum"))
+        own = own.where("events > 0").select(F.lit(uoid_of("app", "dbo", kind)).alias("_uoid"), F.lit(kind).alias("table_name"), "*")
+        counts = own if counts is None else counts.unionByName(own)
+    return counts
+
+
+@query
+def demux_apply(spark: SparkSession, d: str) -> DataFrame:
+    """Five tables folded by one stream over one bronze, landed in three goes with repeated and malformed events."""
+    folder, payload = shared_folder(spark, "demux"), T.StructType().add("user_id", "long").add("value", "double").add("k", "integer")
+    seq = F.col("cursor.seqNum").cast("bigint")
+    broken = F.when(seq % 29 == 0, F.substring("data", 1, 20)).otherwise(F.col("data"))
+    envelopes = _feed_envelopes(spark, d).withColumn("data", broken)
+    lake = DemuxedLake(spark, f"{folder}/silver", [DemuxTable(uoid_of("app", "dbo", kind), ("user_id",), payload) for kind in EVENT_TYPES], parts=2)
+    for go in (2, 0, 1):  # the latest events do not come last
+        write_landing(envelopes.where((seq % 3 == go) | (seq % 5 == go)), f"{folder}/landing", "2024-02-01")
+        start_bronze(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/bronze_checkpoint").awaitTermination()
+        lake.apply_stream(f"{folder}/bronze", f"{folder}/silver_checkpoint").awaitTermination()
+    read = [lake.read(uoid_of("app", "dbo", kind)).select(F.lit(kind).alias("table_name"), "*") for kind in EVENT_TYPES]
+    return reduce(DataFrame.unionByName, read)
+
+
+@query
+def rejected_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Envelopes that are no events, kept apart by a stream in three goes: cut short, of wrong types, without a key or payload."""
+    seq, data = F.col("cursor.seqNum").cast("bigint"), F.col("data")
+    broken = (
+        F.when(seq % 13 == 0, F.expr("substring(data, 1, length(data) - 3)"))
+        .when(seq % 17 == 0, F.regexp_replace("data", '"user_id":[0-9]+', '"user_id":null'))
+        .when(seq % 19 == 0, F.regexp_replace("data", '"user_id":[0-9]+', '"user_id":"none"'))
+        .when(seq % 23 != 0, data)
     )
-    parsed = bronze.select("_uoid", F.col("table_id.name").alias("table_name"), F.from_json("data", "user_id bigint").alias("p"), "operation")
-    return parsed.groupBy("_uoid", "table_name").agg(
-        F.count("*").alias("events"), F.count_if(F.col("operation") == "DELETE").alias("deletes"), F.sum("p.user_id").alias("user_sum")
-    )
+    envelopes = _users_envelope(spark, d).withColumn("data", broken)
+    folder, silver = shared_folder(spark, "rejected"), None
+    for go in range(3):
+        write_landing(envelopes.where(seq % 3 == go), f"{folder}/landing", "2024-02-01")
+        silver = _stream_users(spark, folder)
+    return silver.rejected().select("seq_num", "operation", "reason")
 
 
 # ---- apply -----------------------------------------------------------------------------------------
@@ -327,11 +371,25 @@ def bronze_stream(spark: SparkSession, d: str) -> DataFrame:
     return bronze_table(spark, bronze).groupBy("_uoid", "operation").agg(F.count("*").alias("events"), F.max("_seq_num").alias("last_seq"))
 
 
-def _streamed(spark: SparkSession, d: str, scd_type: int) -> DataFrame:
-    folder, bronze = _landed(spark, d)
+def _stream_users(spark: SparkSession, folder: str, scd_type: int = 1) -> SilverTable:
+    """The silver table of users after all that has been landed below a folder."""
+    start_bronze(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/bronze_checkpoint").awaitTermination()
     payload = T.StructType([f for f in frames.USERS_PAYLOAD if f.name != "event_type"])
     silver = SilverTable(spark, f"{folder}/silver", payload, rules("user_id"), scd_type, buckets=8)
-    apply_stream(spark, bronze, uoid_of("app", "web", "users"), silver, f"{folder}/silver_checkpoint").awaitTermination()
+    apply_stream(spark, f"{folder}/bronze", uoid_of("app", "web", "users"), silver, f"{folder}/silver_checkpoint").awaitTermination()
+    return silver
+
+
+def _streamed(spark: SparkSession, d: str, scd_type: int) -> DataFrame:
+    """Users landed in three goes: most events, late ones from among them and repeated ones, and the last ones."""
+    folder, envelopes = shared_folder(spark, "users"), _users_envelope(spark, d)
+    seq = F.col("cursor.seqNum").cast("bigint")
+    last = frames.change_log(spark, d).agg(F.max(VERSION)).first()[0]
+    late = seq % 97 == 0
+    goes = ((seq <= last * 2 // 3) & ~late, late | (seq % 101 == 0), (seq > last * 2 // 3) & ~late)
+    for go in goes:
+        write_landing(envelopes.where(go), f"{folder}/landing", "2024-02-01")
+        silver = _stream_users(spark, folder, scd_type)
     return silver.read()
 
 
@@ -345,6 +403,26 @@ def scd2_streaming(spark: SparkSession, d: str) -> DataFrame:
     return _streamed(spark, d, 2)
 
 
+@query
+def scd1_streaming_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Events, then a full reload with a third of the users, then later events and some from before the reload again."""
+    folder, log = shared_folder(spark, "reloaded"), frames.change_log(spark, d)
+    version = log.agg(F.max(VERSION)).first()[0] // 2
+    at = 1_700_000_000_000
+
+    def land(envelopes: DataFrame, reload: bool = False) -> SilverTable:
+        write_landing(envelopes, f"{folder}/landing", "2024-02-01", reload=reload)
+        return _stream_users(spark, folder)
+
+    as_users = lambda changes, ms: to_envelope(changes, "app", "web", "users", "lake", ms)
+    land(as_users(log.where(F.col(VERSION) <= version), at))
+    before = apply_changes(_users(spark, d).where(F.col("_seq_num") <= version), "user_id").where("user_id % 3 = 0")
+    barrier = reload_barrier(spark, "app", "web", "users", version, at + 1000, "lake")
+    land(as_users(full_load(before, version), at + 1000).unionByName(barrier), reload=True)
+    repeated = (F.col(VERSION) < version) & (F.col(VERSION) % 7 == 0)
+    return land(as_users(log.where((F.col(VERSION) > version) | repeated), at + 2000)).read()
+
+
 @query
 def silver_change_feed(spark: SparkSession, d: str) -> DataFrame:
     """Changes of the users table between the watermark date and now."""
@@ -497,7 +575,7 @@ def sync_from_tables(spark: SparkSession, d: str) -> DataFrame:
     folder = shared_folder(spark, "typed")
     done = extract_tables(spark, "shop", _typed_tables(spark, d), marks, bounds, lambda rows, mode: write_landing(rows, folder, "2024-02-01"), 1_700_000_000_000)
     field = lambda *names: F.coalesce(*[F.get_json_object("data", f"$.{name}") for name in names])
-    landed = spark.read.schema(BRONZE_SCHEMA).parquet(folder).select(
+    landed = spark.read.schema(BRONZE_SCHEMA).parquet(folder).where("operation <> 'RELOAD'").select(
         F.concat_ws(".", "table_id.schema", "table_id.name").alias("_name"), "operation", F.col("cursor.seqNum").cast("bigint").alias("seq_num"),
         field("o_orderkey", "c_custkey").cast("bigint").alias("key"), F.round(field("o_totalprice", "c_acctbal").cast("double"), 2).alias("amount"),
         field("o_orderpriority", "c_mktsegment").alias("label"), F.size(F.json_object_keys("data")).alias("fields"),
