@@ -212,7 +212,12 @@ def metrics_summary(unified: DataFrame) -> DataFrame:
     Rows are first added up per group and duration, on the map side too. What is left of a group, one row
     per distinct duration, is ordered to find its middle, so no group is ever held in memory.
     """
-    seconds, status = F.col("sync_duration_seconds"), F.col("table_status")
+    return finish_summary(summary_parts(unified))
+
+
+def summary_parts(unified: DataFrame) -> DataFrame:
+    """Sums, counts and maxima per group and duration; parts of disjoint rows make up one summary."""
+    status = F.col("table_status")
     background = F.col("bg_op_type").isNotNull()
     sums = {
         "rows_written": F.col("rows_written").cast("double"),
@@ -222,7 +227,7 @@ def metrics_summary(unified: DataFrame) -> DataFrame:
         "bg_duration": F.when(background, F.col("bg_op_duration_ms")),
     }
     keyed = unified.withColumn("sync_date", F.date_trunc("day", F.coalesce("run_started_at", "gateway_timestamp")))
-    by_duration = keyed.groupBy(*SUMMARY_KEYS, "sync_duration_seconds").agg(
+    return keyed.groupBy(*SUMMARY_KEYS, "sync_duration_seconds").agg(
         F.count("*").alias("n"),
         F.count_if(status == "success").alias("ok"),
         F.sum("rows_written").alias("rows_total"),
@@ -232,6 +237,11 @@ def metrics_summary(unified: DataFrame) -> DataFrame:
         *[F.sum(e).alias(f"{c}_sum") for c, e in sums.items()],
         *[F.count(e).alias(f"{c}_n") for c, e in sums.items()],
     )
+
+
+def finish_summary(by_duration: DataFrame) -> DataFrame:
+    """The summary from its parts."""
+    seconds = F.col("sync_duration_seconds")
     group = W.partitionBy(*SUMMARY_KEYS)
     timed = F.when(seconds.isNotNull(), F.col("n")).otherwise(0)
     ranked = by_duration.withColumns(

@@ -617,4 +617,6 @@ SELECT strftime(coalesce(s, ts), '%Y-%m-%d') AS sync_date, table_fqn, uc_catalog
        count(*) FILTER (bg_op_type IS NOT NULL) AS bg_op_count, round(avg(bg_op_duration_ms) + 1e-9, 4) AS avg_bg_op_duration_ms
 FROM unified GROUP BY ALL"""
 
+Q["metrics_summary_refreshed"] = Q["metrics_summary"]
+
 ORACLE_SQL = Q
