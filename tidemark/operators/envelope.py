@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.identity import fingerprint, table_uoid, uoid_of
 from tidemark.functions.operations import RELOAD, decode_operation
+from tidemark.functions.types import parse_schema
 from tidemark.session import column
 from tidemark.sources.feed import CHANGE_COLUMNS, OPERATION, VERSION
 
@@ -119,19 +120,68 @@ def from_envelope(
     )
 
 
+def schema_registry(columns: DataFrame) -> dict[int, T.StructType]:
+    """The columns of each schema version of a table, from rows as the schema history keeps them.
+
+    ``columns`` has ``schema_version``, ``ordinal``, ``name``, ``type``, ``precision`` and ``scale``. A table has as many
+    versions as it has had changes of its schema, and each as many columns as its source allows.
+    """
+    listed: dict[int, list] = {}
+    for row in columns.select("schema_version", "ordinal", "name", "type", "precision", "scale").collect():
+        listed.setdefault(row["schema_version"], []).append(row.asDict())
+    return {version: parse_schema(sorted(own, key=lambda c: c["ordinal"])) for version, own in listed.items()}
+
+
+def conformed(value: Column, schema: T.StructType, target: T.StructType) -> Column:
+    """A parsed payload of one schema as one of another: columns by name, cast to the target's types, absent ones NULL."""
+    known = {f.name.lower(): f.name for f in schema}
+
+    def as_target(field: T.StructField) -> Column:
+        name = known.get(field.name.lower())
+        own = F.lit(None) if name is None else value.getField(name)
+        return own.try_cast(field.dataType) if isinstance(field.dataType, T.AtomicType) else own.cast(field.dataType)
+
+    return F.struct(*[as_target(f).alias(f.name) for f in target])
+
+
+def decode_generations(bronze: DataFrame, registry: Mapping[int, T.StructType], target: T.StructType, tie_break: bool = False) -> DataFrame:
+    """Typed events of one table whose schema has changed: each payload is parsed by the schema it was written under.
+
+    ``registry`` has the schema of each ``schemaVersion``; what it does not list is parsed by ``target``. Every payload is
+    parsed once, and its values are cast to the target's types. Reload barriers are no events.
+    """
+    version, choice = F.col("schemaVersion"), None
+    for number, schema in registry.items():
+        own = conformed(F.from_json("data", schema), schema, target)
+        choice = F.when(version == number, own) if choice is None else choice.when(version == number, own)
+    plain = conformed(F.from_json("data", target), target, target)
+    parsed = plain if choice is None else choice.otherwise(plain)
+    rows = bronze.where(~F.col("operation").eqNullSafe(RELOAD)).select(
+        F.expr("try_cast(cursor.seqNum as bigint)").alias("_seq_num"), "operation", F.col("extractionTimestamp").alias("_extracted_at"), parsed.alias("parsed"),
+    )
+    return rows.select("_seq_num", "operation", *(["_extracted_at"] if tie_break else []), "parsed.*")
+
+
 CORRUPT = "__corrupt"
 
 
-def parse_envelope(bronze: DataFrame, payload: T.StructType, keys: Sequence[str]) -> DataFrame:
+def parse_envelope(bronze: DataFrame, payload: T.StructType, keys: Sequence[str], registry: Mapping[int, T.StructType] | None = None) -> DataFrame:
     """Envelopes of one table parsed once: typed columns, and why an envelope is no event, if so.
 
+    Envelopes of a schema version in ``registry`` are parsed by that schema and cast to ``payload``.
+
     ``_reason`` is ``no payload``, ``malformed payload`` (no JSON, or a value that is not of its column's type) or
     ``no key``; ``_data`` has the payload of these. Reload barriers have neither.
     """
-    schema = T.StructType([*payload.fields, T.StructField(CORRUPT, T.StringType())])
+    target = T.StructType([*payload.fields, T.StructField(CORRUPT, T.StringType())])
+    how = {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("data", target, how)
+    for version, schema in (registry or {}).items():
+        own = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        parsed = F.when(F.col("schemaVersion") == version, conformed(F.from_json("data", own, how), own, target)).otherwise(parsed)
     rows = bronze.select(
         F.expr("try_cast(cursor.seqNum as bigint)").alias("_seq_num"), "operation", F.col("extractionTimestamp").alias("_extracted_at"),
-        "data", F.from_json("data", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("parsed"),
+        "data", parsed.alias("parsed"),
     )
     no_key = F.lit(False)
     for key in keys:

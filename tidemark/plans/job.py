@@ -24,6 +24,7 @@ from tidemark.session import read_parquet
 from tidemark.sources.catalog import schema_fingerprint
 from tidemark.sources.feed import OPERATION, VERSION
 from tidemark.streaming.bronze import start_bronze
+from tidemark.streaming.generations import Generations, checkpoint_suffix
 from tidemark.streaming.silver import BUCKETS, SilverTable, apply_all
 
 logger = logging.getLogger(__name__)
@@ -264,11 +265,11 @@ def keyed_envelopes(
     )
 
 
-def silver_table(spark: SparkSession, root: str, entry, buckets: int = BUCKETS) -> SilverTable:
-    """The silver table of one row of an apply plan."""
+def silver_table(spark: SparkSession, root: str, entry, buckets: int = BUCKETS) -> Generations:
+    """The silver table of one row of an apply plan, with all its generations."""
     columns = [{k: v for k, v in c.asDict().items() if v is not None} for c in entry["columns"]]
     how = rules(entry["primary_key"], soft_delete=entry["soft_delete"])
-    return SilverTable(spark, f"{root.rstrip('/')}/{entry['target']}", parse_schema(columns), how, entry["scd_type"], buckets)
+    return Generations(spark, f"{root.rstrip('/')}/{entry['target']}", parse_schema(columns), how, entry["scd_type"], buckets)
 
 
 class ApplyFailed(RuntimeError):
@@ -279,24 +280,30 @@ class ApplyFailed(RuntimeError):
         self.tables, self.errors = tables, errors
 
 
-def run_apply(spark: SparkSession, landing: str, root: str, plan: DataFrame, buckets: int = BUCKETS) -> dict[str, SilverTable]:
+def run_apply(spark: SparkSession, landing: str, root: str, plan: DataFrame, buckets: int = BUCKETS, recompute: bool = False) -> dict[str, SilverTable]:
     """Landing to bronze to every silver table of a plan.
 
-    The plan has one row per table. A table without a key gets no stream and stays empty. A table that fails, such as
-    one with a refused type change, does not stop the others; the run then ends with ``ApplyFailed``.
+    The plan has one row per table. A table without a key gets no stream and stays empty. A table that fails does not
+    stop the others; the run then ends with ``ApplyFailed``. A type change that stored rows cannot follow is such a
+    failure, unless ``recompute`` asks for the table to be folded again from bronze.
     """
     root = root.rstrip("/")
     start_bronze(spark, landing, f"{root}/bronze", f"{root}/checkpoints/bronze").awaitTermination()
     entries = [e for e in plan.collect() if e["primary_key"]]
     tables: dict[str, SilverTable] = {}
+    numbers: dict[str, int] = {}
     errors: dict[str, Exception] = {}
-    for entry in entries:
+    known = {entry["uoid"]: silver_table(spark, f"{root}/silver", entry, buckets) for entry in entries}
+    for uoid, generations in known.items():
         try:
-            tables[entry["uoid"]] = silver_table(spark, f"{root}/silver", entry, buckets)
+            numbers[uoid], tables[uoid] = generations.prepare() if recompute else (generations.in_force(), generations.current())
         except Exception as error:  # noqa: BLE001  the others are still applied
-            errors[entry["uoid"]] = error
-    errors |= apply_all(spark, f"{root}/bronze", list(tables.items()), f"{root}/checkpoints")
+            errors[uoid] = error
+    suffixes = {uoid: checkpoint_suffix(number) for uoid, number in numbers.items()}
+    errors |= apply_all(spark, f"{root}/bronze", list(tables.items()), f"{root}/checkpoints", suffixes=suffixes)
     target = {entry["uoid"]: entry["target"] for entry in entries}
+    for uoid in tables.keys() - errors.keys():
+        known[uoid].put_in_force(numbers[uoid])
     applied = {target[uoid]: silver for uoid, silver in tables.items() if uoid not in errors}
     if errors:
         raise ApplyFailed(applied, {target[uoid]: error for uoid, error in errors.items()})

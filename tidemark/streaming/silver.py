@@ -13,7 +13,7 @@ followed by that delete again. Envelopes that are no events are kept apart with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
@@ -49,7 +49,10 @@ REJECTED = "seq_num bigint, operation string, data string, reason string"
 
 @dataclass
 class SilverTable:
-    """One silver table: where it is kept and how events are applied to it."""
+    """One silver table: where it is kept and how events are applied to it.
+
+    ``registry`` has the columns of earlier schema versions, so that payloads are parsed by the types they were written in.
+    """
 
     spark: SparkSession
     path: str
@@ -58,6 +61,7 @@ class SilverTable:
     scd_type: int = 1
     buckets: int = BUCKETS
     parts_per_bucket: int = PARTS_PER_BUCKET
+    registry: Mapping[int, T.StructType] | None = None
 
     def __post_init__(self) -> None:
         events = self._empty_events()
@@ -120,7 +124,7 @@ class SilverTable:
         last = self.state.last_batch()
         if last is not None and batch <= last:
             return
-        parsed = parse_envelope(bronze, self.payload, self.how.keys).persist()
+        parsed = parse_envelope(bronze, self.payload, self.how.keys, self.registry).persist()
         events = None
         try:
             barrier = F.when(F.col("operation") == RELOAD, F.struct("_seq_num", "_extracted_at"))
@@ -283,16 +287,19 @@ def apply_stream(
 
 
 def apply_all(
-    spark: SparkSession, bronze: str, tables: Sequence[tuple[str, SilverTable]], checkpoints: str, at_once: int = 16
+    spark: SparkSession, bronze: str, tables: Sequence[tuple[str, SilverTable]], checkpoints: str, at_once: int = 16, suffixes: Mapping[str, str] | None = None
 ) -> dict[str, Exception]:
     """One stream per table, ``at_once`` of them at a time; each reads only its own part of bronze.
 
+    Checkpoints are named after table ids, and ``suffixes`` of these where there are any.
+
     A table whose stream fails does not stop the others; the errors come back by table id.
     """
     failed: dict[str, Exception] = {}
+    suffixes = suffixes or {}
     for start in range(0, len(tables), at_once):
         group = tables[start : start + at_once]
-        running = [(uoid, apply_stream(spark, bronze, uoid, silver, f"{checkpoints}/{uoid}")) for uoid, silver in group]
+        running = [(uoid, apply_stream(spark, bronze, uoid, silver, f"{checkpoints}/{uoid}{suffixes.get(uoid, '')}")) for uoid, silver in group]
         for uoid, query in running:
             try:
                 query.awaitTermination()

@@ -196,6 +196,17 @@ after AS (
   SELECT (SELECT v FROM cut) AS seq, 'LOAD' AS operation, user_id, value, k FROM state WHERE user_id % 3 = 0
   UNION ALL SELECT seq, operation, user_id, value, k FROM log WHERE seq > (SELECT v FROM cut)),
 {scd1(events="after")}"""
+Q["recompute_after_type_change"] = f"""
+WITH {LOG}, cut AS (SELECT max(seq) // 2 AS v FROM log),
+retyped AS (
+  SELECT * REPLACE (CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) || CASE WHEN seq > (SELECT v FROM cut) THEN ' EUR' ELSE '' END AS value) FROM log),
+{scd1(events="retyped")}"""
+Q["envelope_decode_generations"] = f"""
+SELECT event_id + 1 AS _seq_num, 'UPDATE' AS operation, user_id,
+       CASE WHEN (event_id + 1) % 3 = 0 THEN strftime(ts, '%Y-%m-%d 00:00:00') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS at,
+       CASE WHEN (event_id + 1) % 3 = 0 THEN CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) ELSE value END AS value,
+       CASE WHEN (event_id + 1) % 3 <> 0 THEN {K} END AS k
+FROM events"""
 Q["scd1_delete_predicate"] = f"WITH {LOG}, " + scd1("operation = 'DELETE' OR k > 90")
 Q["scd1_composite_key"] = f"WITH {LOG}, " + scd1(keys="user_id, event_type")
 Q["scd1_keep_nulls"] = f"""

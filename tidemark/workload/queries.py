@@ -21,7 +21,7 @@ from tidemark.operators.apply import (
     versions_as_of,
 )
 from tidemark.operators.diff import snapshot_changes
-from tidemark.operators.envelope import from_envelope, reload_barrier, to_envelope, with_table_partition
+from tidemark.operators.envelope import decode_generations, from_envelope, reload_barrier, schema_registry, schema_version, to_envelope, with_table_partition
 from tidemark.operators.sinks import write_landing, write_sync_log
 from tidemark.operators.widening import union_widened
 from tidemark.plans import metrics, runlog
@@ -34,6 +34,7 @@ from tidemark.sources.feed import OPERATION, VERSION, feed_bounds, full_load, in
 from tidemark.sources.landing import sync_log
 from tidemark.streaming.bronze import BRONZE_SCHEMA, bronze_table, start_bronze
 from tidemark.streaming.demux import DemuxedLake, DemuxTable
+from tidemark.streaming.generations import Generations
 from tidemark.streaming.silver import SilverTable, apply_stream
 from tidemark.workload import frames
 
@@ -213,6 +214,22 @@ def soft_delete_flag(spark: SparkSession, d: str) -> DataFrame:
     return from_envelope(_users_envelope(spark, d), frames.USERS_PAYLOAD, soft_delete=True)
 
 
+@query
+def envelope_decode_generations(spark: SparkSession, d: str) -> DataFrame:
+    """One bronze written under two schemas, a date that became a time and an added column, read by the schema of each."""
+    events = frames.parsed_events(spark, d).select((F.col("event_id") + 1).alias(VERSION), F.lit("U").alias(OPERATION), "user_id", "ts", "value", "k")
+    old = events.where(F.col(VERSION) % 3 == 0).select(VERSION, OPERATION, "user_id", F.col("ts").cast("date").alias("at"), F.col("value").cast("decimal(10,2)").alias("value"))
+    new = events.where(F.col(VERSION) % 3 != 0).select(VERSION, OPERATION, "user_id", F.col("ts").cast("timestamp_ntz").alias("at"), "value", "k")
+    bronze = to_envelope(old, "app", "web", "users", extracted_at_ms=0).unionByName(to_envelope(new, "app", "web", "users", extracted_at_ms=0))
+    columns = [(i, c["ordinal"], c["name"], c["type"], c.get("precision"), c.get("scale")) for i, df in enumerate((old, new)) for c in catalog.describe_columns(df.schema)]
+    versions = [df.limit(1).select(schema_version(df)).first() for df in (old, new)]
+    known = [(versions[i][0], *rest) for i, *rest in columns if versions[i] is not None]
+    history = spark.createDataFrame(known, "schema_version long, ordinal int, name string, type string, precision int, scale int")
+    target = T.StructType().add("user_id", "long").add("at", "timestamp_ntz").add("value", "double").add("k", "integer")
+    decoded = decode_generations(bronze, schema_registry(history), target)
+    return decoded.withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _feed_envelopes(spark: SparkSession, d: str) -> DataFrame:
     """Each event type as a table of its own, all of them in one frame."""
     rows = frames.change_log(spark, d).select(VERSION, OPERATION, "user_id", "event_type", "value", "k")
@@ -404,6 +421,25 @@ def scd2_streaming(spark: SparkSession, d: str) -> DataFrame:
     return _streamed(spark, d, 2)
 
 
+@query
+def recompute_after_type_change(spark: SparkSession, d: str) -> DataFrame:
+    """A decimal column that becomes text halfway: the table is folded again from bronze and replaced."""
+    folder, log = shared_folder(spark, "retyped"), frames.change_log(spark, d).drop("event_type")
+    half = log.agg(F.max(VERSION)).first()[0] // 2
+    amount = F.col("value").cast("decimal(10,2)")
+    goes = [(log.where(F.col(VERSION) <= half).withColumn("value", amount), "decimal(10,2)"),
+            (log.where(F.col(VERSION) > half).withColumn("value", F.concat(amount.cast("string"), F.lit(" EUR"))), "string")]
+    registry = {}
+    for changes, kind in goes:
+        write_landing(to_envelope(changes, "app", "web", "users", extracted_at_ms=1_700_000_000_000), f"{folder}/landing", "2024-02-01")
+        start_bronze(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/bronze_checkpoint").awaitTermination()
+        payload = T.StructType().add("user_id", "long").add("value", kind).add("k", "integer")
+        registry[changes.limit(1).select(schema_version(changes)).first()[0]] = payload
+        table = Generations(spark, f"{folder}/silver", payload, rules("user_id"), buckets=8, registry=registry)
+        table.apply(f"{folder}/bronze", uoid_of("app", "web", "users"), f"{folder}/silver_checkpoint")
+    return table.read()
+
+
 @query
 def scd1_streaming_reload(spark: SparkSession, d: str) -> DataFrame:
     """Events, then a full reload with a third of the users, then later events and some from before the reload again."""
