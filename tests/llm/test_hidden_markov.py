@@ -143,3 +143,34 @@ def test_edge_cases(spark):
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 9)) for r in got) == sorted((str(i), n, k, round(b, 9)) for i, _, n, k, _, b in brute_base([(i, t) for i, t, _ in rows]))
     assert all(math.isfinite(r.score) for r in got)
     assert scoring_report(docs.limit(0)).count() == 0
+
+
+def test_equal_texts_count_as_often_as_they_are_there():
+    rnd = np.random.default_rng(5)
+    shares = rnd.random(6)
+    model = Model.first(shares / shares.sum(), 3)
+    texts = [rnd.integers(0, 6, n).astype("<u2").tobytes() for n in (1, 4, 9, 150)]
+    times = np.array([3, 1, 5, 2])
+    size = 2 * 3 + 9 + model.emits.size
+    one, many = np.zeros(size), np.zeros(size)
+    total = expected(model, texts, one, times)
+    assert np.isclose(total, expected(model, [t for t, n in zip(texts, times) for _ in range(n)], many)) and np.allclose(one, many)
+
+
+def test_sequences_are_dealt_by_length_and_kept_whole(spark):
+    rnd = np.random.default_rng(6)
+    texts = [rnd.integers(0, 9, n).astype("<u2").tobytes() for n in [1, 2, 3, 50, 60, 700] * 20] + [b"\1\0\2\0"] * 300
+    rows = spark.createDataFrame([(bytearray(t), i % 10 == 0) for i, t in enumerate(texts)], "symbols binary, held_out boolean").repartition(7)
+    got = hidden_markov.training_sequences(rows).collect()
+    wanted = Counter(t for i, t in enumerate(texts) if i % 10)
+    found = Counter()
+    for r in got:
+        found[bytes(r.symbols)] += r.times
+    assert found == wanted and len(got) < len(texts) / 2
+    assert hidden_markov.training_sequences(rows.limit(0)).count() == 0
+
+
+def test_words_beyond_the_bound_are_taken_by_hash(spark):
+    docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(400)) + " often often",)], "text string")
+    words, _ = hidden_markov.learn_words(docs, 100)
+    assert b"often" in words.head and 60 <= len(words.head) <= 140

@@ -35,6 +35,7 @@ COUNTER_WORDS, MEMORY_WORDS, SLICE_BYTES = 200_000, 400_000, 4 << 20
 BLOCK, SALTS = 8_192, 16
 # Steps in which counts grow e-fold; a corpus has a few thousand of them at most.
 STEPS_OF_E = 64
+HASH_PARTS = 1 << 20
 
 
 def ending(word: bytes) -> int:
@@ -100,13 +101,17 @@ def learn_words(training: DataFrame, head_words: int) -> tuple[Vocabulary, DataF
     # The most frequent words by steps of their count's logarithm, as many steps as stay within head_words. Sorting for
     # them would send that many words from every partition to the driver.
     step = F.floor(F.log("n") * STEPS_OF_E)
-    fitting, total = None, 0
+    # Of the step that does not fit as a whole, words are taken by hash.
+    chosen, total = F.lit(False), 0
     for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # at most one for each step
-        total += row["count"]
-        if total > head_words:
+        chosen = step > row["step"]
+        if total + row["count"] > head_words:
+            share = (head_words - total) * HASH_PARTS // row["count"]
+            chosen |= (step == row["step"]) & (F.pmod(F.xxhash64("word"), F.lit(HASH_PARTS)) < share)
             break
-        fitting = row["step"]
-    head = counts.where(step >= fitting if fitting is not None else F.lit(False))
+        total += row["count"]
+        chosen |= step == row["step"]
+    head = counts.where(chosen)
     top = sorted(head.collect(), key=lambda r: (-r.n, bytes(r.word)))  # bounded by head_words
     rest = counts.join(F.broadcast(head.select("word")), "word", "left_anti").groupBy(ending_of(F.col("word")).alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     sums = np.zeros((2, ENDINGS))
@@ -177,10 +182,10 @@ def flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), "<u2"), np.cumsum(sizes) - sizes, sizes
 
 
-def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> float:
+def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.ndarray | None = None) -> float:
     """Adds the expected counts of the texts, forward and backward side by side, and returns their log-likelihood.
 
-    Whole texts are read. Forward probabilities are kept before each stretch only, and those within a stretch are found
+    A text counts as often as ``times`` says (once, unless given). Whole texts are read. Forward probabilities are kept before each stretch only, and those within a stretch are found
     again on the way back.
     """
     states = model.moves.shape[0]
@@ -199,6 +204,7 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> float:
     for low in range(0, len(order), SIDE_BY_SIDE):
         own = order[low : low + SIDE_BY_SIDE]
         begin, longest = begins[own], int(sizes[own[0]])
+        often = np.ones(len(own)) if times is None else times[own].astype(float)
         live = (len(own) - np.searchsorted(sizes[own][::-1], np.arange(longest), side="right")).tolist()  # longer than t
 
         def forward(first: int, now: np.ndarray | None) -> Iterator[tuple[np.ndarray, ...]]:
@@ -225,13 +231,14 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray) -> float:
                 if back.shape[1] < n:
                     back = np.concatenate([back, np.ones((states, n - back.shape[1]))], axis=1)
                 weights[i] = ahead[i] * back
+                weights[i] *= often[:n]
                 if first + i:
                     weighted = given[i] * back
                     weighted /= scale[i]
-                    pairs += (ahead[i - 1] if i else before[-1])[:, :n] @ weighted.T
+                    pairs += (ahead[i - 1] if i else before[-1])[:, :n] @ (weighted * often[:n]).T
                     back = model.moves @ weighted
             before.pop()
-            total += float(np.log(np.concatenate(scale)).sum())
+            total += float(np.log(np.concatenate(scale)) @ np.concatenate([often[: len(s)] for s in seen]))
             told.append((np.concatenate(seen), np.concatenate(weights, axis=1)))
             if sum(len(w) for w, _ in told) >= TOLD_TOKENS:
                 tell()
@@ -261,24 +268,56 @@ def likelihood(model: Model, texts: list[bytes]) -> np.ndarray:
 
 
 def expectation(model: Model):
-    """The expected counts of a partition's texts and their log-likelihood, in packed blocks."""
+    """The expected counts of a partition's sequences and their log-likelihood, in packed blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held, size, any_text = np.zeros(2 * STATES + STATES**2 + model.emits.size + 1), [], 0, False
+        counts, held, times, size, any_text = np.zeros(2 * STATES + STATES**2 + model.emits.size + 1), [], [], 0, False
         for part in slices(batches, "symbols", SLICE_BYTES):
             held += part.column("symbols").to_pylist()
+            times.append(part.column("times").to_numpy())
             size += part.column("symbols").nbytes
             any_text = True
             if size >= TRAIN_BYTES:
-                counts[-1] += expected(model, held, counts[:-1])
-                held, size = [], 0
+                counts[-1] += expected(model, held, counts[:-1], np.concatenate(times))
+                held, times, size = [], [], 0
         if any_text:
-            counts[-1] += expected(model, held, counts[:-1])
+            counts[-1] += expected(model, held, counts[:-1], np.concatenate([np.empty(0, np.int64), *times]))
             yield blocks({i: counts[low : low + BLOCK] for i, low in enumerate(range(0, len(counts), BLOCK))}, int(counts.sum() * 1000) % SALTS)
 
     return run
 
 
+def collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal sequences of a slice as one, with how often they are there."""
+    for part in slices(batches, "symbols", SLICE_BYTES):
+        times: dict[bytes, int] = {}
+        for sequence, n in zip(part.column("symbols").to_pylist(), part.column("times").to_pylist()):
+            times[sequence] = times.get(sequence, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(times), pa.binary()), pa.array(list(times.values()), pa.int64())], ["symbols", "times"])
+
+
+def training_sequences(rows: DataFrame) -> DataFrame:
+    """``symbols`` and ``times``: equal sequences of the training rows once, dealt by length.
+
+    Texts that are read side by side take as many steps as the longest of them, so a partition gets texts of like
+    length, and each length as many partitions as its share of all symbols.
+    """
+    spark = rows.sparkSession
+    sequences = rows.where("not held_out").select("symbols", F.lit(1).cast("long").alias("times"))
+    length = F.floor(F.log2(F.octet_length("symbols").cast("double"))).cast("int")
+    by_length = {r.length: r.size for r in sequences.groupBy(length.alias("length")).agg(F.sum(F.octet_length("symbols").cast("long")).alias("size")).collect()}  # 31 at most
+    total = sum(by_length.values())
+    wanted = max(spark.sparkContext.defaultParallelism, -(-total // TRAIN_BYTES))
+    parts = {n: max(1, -(-size * wanted // total)) for n, size in sorted(by_length.items())}
+    first, place, end = {}, F.lit(0), 0
+    for n, count in parts.items():
+        first[n], end = end, end + count
+        place = F.when(length == n, first[n] + F.pmod(F.xxhash64("symbols"), F.lit(count))).otherwise(place)
+    kind = "symbols binary, times long"
+    dealt = sequences.mapInArrow(collapsed, kind).repartitionById(max(1, end), place.cast("int"))
+    return stored(dealt.sortWithinPartitions(F.octet_length("symbols"), F.xxhash64("symbols")).mapInArrow(collapsed, kind), "sequences")
+
+
 def blocks(sums: dict[int, np.ndarray], salt: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([salt] * len(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["block", "salt", "counts"])
 
@@ -296,7 +335,7 @@ def train(rows: DataFrame, words: Vocabulary) -> Model:
     """Baum-Welch over all training texts, until a round gains next to nothing."""
     shares = words.shares()
     model, last = Model.first(shares, STATES), None
-    training = rows.where("not held_out").select("symbols")
+    training = training_sequences(rows)
     kind = "block int, salt int, counts binary"
     while True:
         sums = training.mapInArrow(expectation(model), kind).repartition("block", "salt").mapInArrow(added, kind).repartition("block").mapInArrow(added, kind)
