@@ -144,3 +144,21 @@ def test_another_checkpoint_or_bucket_count_is_refused(spark, folder):
     assert rows(silver.read()) == before
     with pytest.raises(ValueError, match="kept in 2 buckets"):
         SilverTable(spark, f"{folder}/silver", PAYLOAD, rules("key"), 1, buckets=64)
+
+
+@pytest.mark.parametrize("soft", [False, True])
+def test_changes_between_batches(spark, folder, soft):
+    rng = random.Random(8)
+    events = brute_force.random_events(rng, n=45)
+    silver = SilverTable(spark, folder, PAYLOAD, rules("key", soft_delete=soft), 1, buckets=3, parts_per_bucket=1)
+    states = []
+    for number, part in enumerate(batches(rng, events, 3)):
+        silver.apply_batch(envelopes(spark, part), number)
+        states.append({r.key: tuple(r) for r in silver.read().collect()})
+    for first, last in ((0, 1), (1, 2), (0, 2), (2, 2)):
+        old, new = states[first], states[last]
+        wanted = [("insert", *new[k]) for k in new.keys() - old.keys()] + [("delete", *old[k]) for k in old.keys() - new.keys()]
+        wanted += [row for k in old.keys() & new.keys() if old[k] != new[k] for row in (("update_preimage", *old[k]), ("update_postimage", *new[k]))]
+        assert rows(silver.changes_between(first, last)) == sorted(wanted, key=repr)
+    with pytest.raises(ValueError):
+        silver.changes_between(2, 1)

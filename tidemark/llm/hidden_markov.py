@@ -127,19 +127,22 @@ def encoded(head: dict[bytes, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, memory = len(head), dict(head)
         for part in slices(batches, "text", SLICE_BYTES):
-            symbols, others = [], []
+            symbols, others, times, ends = [], [], [], [0]
             for text in as_bytes(part, "text"):
                 words = text.lower().split()
                 for word in set(words).difference(memory):
                     memory[word] = end + 1 + ending(word)
                 row = list(map(memory.__getitem__, words))
                 symbols.append(np.array([*row, end], "<u2").tobytes())
-                others.append(list(Counter(w for w, s in zip(words, row) if s > end).items()))
+                own = Counter([w for w, s in zip(words, row) if s > end])
+                others += own.keys()
+                times += own.values()
+                ends.append(len(others))
                 if len(memory) > MEMORY_WORDS:
                     memory = dict(head)
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-            others = [[{"word": w, "n": n} for w, n in row] for row in others]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(symbols, pa.binary()), pa.array(others, kind)], ["doc_id", "held_out", "symbols", "others"])
+            pairs = pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(symbols, pa.binary()), listed], ["doc_id", "held_out", "symbols", "others"])
 
     return run
 

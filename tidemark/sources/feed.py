@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import column, if_small
+from tidemark.session import column, if_small, shared_folder
 
 VERSION = "SYS_CHANGE_VERSION"
 CREATION_VERSION = "SYS_CHANGE_CREATION_VERSION"
@@ -32,15 +32,21 @@ def incremental_changes(
     """Changes after ``since`` with the current row of each key.
 
     ``feed`` has the change columns and the keys, at most one row per key (see ``net_changes``).
-    Keys of deleted rows come from the feed; their other columns are NULL. The changes are counted first,
-    unless told otherwise: with few of them, only the table rows they touch are shuffled.
+    Keys of deleted rows come from the feed; their other columns are NULL. The changes are written to the
+    shared folder and counted there first, unless told otherwise, so the feed is read once: with few of
+    them, only the table rows they touch are shuffled.
     """
     if not keys:
         raise ValueError("an incremental read needs a primary key")
     lowered = {k.lower() for k in keys}
     on = [column(k, "ct") == column(k, "t") for k in keys]
     recent = feed.where(F.col(VERSION) > since).select(*CHANGE_COLUMNS, *[column(k) for k in keys])
-    touched = if_small(recent.select(*[column(k) for k in keys])) if count_first else None
+    touched = None
+    if count_first:
+        path = shared_folder(feed.sparkSession, "recent-changes")
+        recent.write.parquet(path)
+        recent = feed.sparkSession.read.schema(recent.schema).parquet(path)
+        touched = if_small(recent.select(*[column(k) for k in keys]))
     if touched is not None:
         table = table.alias("t").join(F.broadcast(touched).alias("ct"), on, "left_semi")
     columns = [

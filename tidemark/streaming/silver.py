@@ -36,6 +36,7 @@ from tidemark.operators.apply import (
     merge_states,
     versions_of_marked,
 )
+from tidemark.operators.diff import snapshot_changes
 from tidemark.operators.envelope import from_envelope, parse_envelope
 from tidemark.operators.widening import UnsupportedTypeChange
 from tidemark.session import broadcast_if_small, column, read_parquet
@@ -111,6 +112,26 @@ class SilverTable:
         closed = self.closed.read({} if last is None else self.closed.parts(before=last + 1))
         return closed.unionByName(open_versions)
 
+    def changes_between(self, first: int, last: int) -> DataFrame:
+        """Inserts, deletes and images of updates that lead from the table after one batch to that after a later one.
+
+        Commits are the versions. Only keys that the batches between have touched are folded, from the parts of their
+        buckets that were in force after each of the two; the table is not read as a whole. Of a type 2 table these are
+        the changes of its open versions.
+        """
+        if first > last:
+            raise ValueError(f"batch {first} comes after batch {last}")
+        before, after = self.state.parts(before=first + 1), self.state.parts(before=last + 1)
+        added = {bucket: [p for p in parts if p not in before.get(bucket, [])] for bucket, parts in after.items()}
+        added = {bucket: parts for bucket, parts in added.items() if parts}
+        touched = self.state.read(added).select(*self.how.by).distinct()
+
+        def then(parts: Parts) -> DataFrame:
+            state = self.state.read(parts, added).join(touched, list(self.how.keys), "left_semi")
+            return finish_state(merge_states(state, self.how), self.how)
+
+        return snapshot_changes(then(before), then(after), self.how.keys)
+
     # ---- one batch ----
 
     def apply_batch(self, bronze: DataFrame, batch: int) -> None:

@@ -255,9 +255,7 @@ WITH {LOG}, {scd2()}, moment AS (SELECT min(event_id) AS m FROM events WHERE eve
 SELECT user_id, value, k, __start_at, __end_at FROM versions, moment
 WHERE NOT del AND __start_at <= m AND (__end_at IS NULL OR __end_at > m)"""
 Q["bronze_stream"] = f"WITH {LOG} SELECT {USERS_ID} AS _uoid, operation, count(*) AS events, max(seq) AS last_seq FROM log GROUP BY operation"
-Q["silver_change_feed"] = f"""
-WITH {LOG},
-early AS (SELECT * FROM log WHERE seq IN (SELECT event_id + 1 FROM events WHERE ts < TIMESTAMP '{WATERMARK_CUT}')),
+ROW_CHANGES = f"""
 o AS (WITH {scd1(events="early")}),
 n AS (WITH {scd1()}),
 j AS (SELECT o.user_id AS ou, o.value AS ov, o.k AS ok, n.user_id AS nu, n.value AS nv, n.k AS nk
@@ -267,6 +265,11 @@ SELECT 'insert' AS _change_type, nu AS user_id, nv AS value, nk AS k FROM j WHER
 UNION ALL SELECT 'delete', ou, ov, ok FROM j WHERE nu IS NULL
 UNION ALL SELECT 'update_preimage', ou, ov, ok FROM u
 UNION ALL SELECT 'update_postimage', nu, nv, nk FROM u"""
+Q["silver_change_feed"] = f"""
+WITH {LOG},
+early AS (SELECT * FROM log WHERE seq IN (SELECT event_id + 1 FROM events WHERE ts < TIMESTAMP '{WATERMARK_CUT}')), {ROW_CHANGES}"""
+Q["silver_changes_between"] = f"""
+WITH {LOG}, early AS (SELECT * FROM log WHERE seq <= (SELECT max(seq) * 9 // 10 FROM log)), {ROW_CHANGES}"""
 Q["type_widening"] = """
 SELECT p_partkey, p_size::BIGINT AS size, p_retailprice::DECIMAL(14,4) AS price,
        CASE WHEN p_size <= 25 THEN p_type END AS old_type, CASE WHEN p_size > 25 THEN p_brand END AS p_brand

@@ -460,6 +460,21 @@ def scd1_streaming_reload(spark: SparkSession, d: str) -> DataFrame:
     return land(as_users(log.where((F.col(VERSION) > version) | repeated), at + 2000)).read()
 
 
+@query
+def silver_changes_between(spark: SparkSession, d: str) -> DataFrame:
+    """Row changes of a streamed table between its first and its last batch, from the keys touched in between."""
+    folder, log = shared_folder(spark, "versions"), frames.change_log(spark, d)
+    last = log.agg(F.max(VERSION)).first()[0]
+    version = F.col(VERSION)
+    batches = []
+    for go in (version <= last * 9 // 10, (version > last * 9 // 10) & (version % 2 == 0), (version > last * 9 // 10) & (version % 2 == 1)):
+        envelopes = to_envelope(log.where(go), "app", "web", "users", "lake", 1_700_000_000_000)
+        write_landing(envelopes, f"{folder}/landing", "2024-02-01")
+        silver = _stream_users(spark, folder)
+        batches.append(silver.state.last_batch())
+    return silver.changes_between(batches[0], batches[-1])
+
+
 @query
 def silver_change_feed(spark: SparkSession, d: str) -> DataFrame:
     """Changes of the users table between the watermark date and now."""
