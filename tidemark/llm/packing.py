@@ -9,6 +9,7 @@ sequences.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from array import array
@@ -28,8 +29,8 @@ from tidemark.session import column
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY, END_ID = 1024, 2
-# Pieces of a partition, on average, and rounds of exchange at most.
-PARTITION_PIECES, ROUNDS = 4_096, 6
+# Pieces of a partition, on average.
+PARTITION_PIECES = 4_096
 MEMORY_ENTRIES = 250_000
 # Stretches that are given to the tokenizer as one string.
 JOINED = 256
@@ -191,7 +192,7 @@ def pack_partition(number: int):
         given = free > 0
         if certified:
             given &= np.arange(len(free)) == free.argmax()
-        base = (number << 52) + (int(pieces["part"].iloc[0]) << 24)
+        base = (number << 48) + (int(pieces["part"].iloc[0]) << 20)
         return pd.DataFrame({"key": pieces["key"], "length": lengths, "sequence_id": -1 - base - bins, "offset": offsets, "released": given[bins]})
 
     return run
@@ -203,13 +204,17 @@ def packed(pieces: DataFrame, number: int, count: int) -> DataFrame:
     return stored(dealt.groupBy("part").applyInPandas(pack_partition(number), PACKED), "packed")
 
 
-def pack(pieces: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``key``, ``sequence_id`` and ``offset`` for rows of unique ``key`` and ``length`` (1 to the capacity)."""
+def pack(pieces: DataFrame) -> DataFrame:
+    """``key``, ``sequence_id`` and ``offset`` for rows of unique ``key`` and ``length`` (1 to the capacity).
+
+    The exchange goes on until it saves nothing any more or nothing is left to exchange; each round has fewer
+    sequences than the one before.
+    """
     count = pieces.count()
     if not count:
         return pieces.sparkSession.createDataFrame([], "key long, sequence_id long, offset long")
     settled, now = None, packed(pieces, 0, count)
-    for number in range(1, rounds):
+    for number in itertools.count(1):
         open_ones = now.where("released")
         before, count = open_ones.agg(F.countDistinct("sequence_id"), F.count("*")).first()
         if before < 2:
