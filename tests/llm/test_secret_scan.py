@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from tidemark.llm.secret_scan import RULES, mask_secrets, scan_secrets, scanner, secret_report
 
@@ -37,6 +38,17 @@ def test_spans_equal_those_of_the_patterns():
     assert scanner(RULES).scan([]) == []
 
 
+def test_long_texts_of_failing_starts_take_linear_time():
+    texts = ["eyJ" * 100_000, "0a" * 500_000, "token=" * 50_000, "AKIA" * 100_000 + " ", "-----BEGIN " * 30_000, "eyJa." * 60_000, "g" * 300_000]
+    scanner(RULES)
+    begin = time.perf_counter()
+    got = scanner(RULES).scan([t.encode() for t in texts])
+    assert time.perf_counter() - begin < 10
+    assert got[0] == got[4] == got[6] == [] and got[1] == [("hex", 0, 1_000_000)] and got[3] == [("access", 0, 400_000)]
+    short = ["eyJ" * 300, "0a" * 700, "token=" * 200, "-----BEGIN " * 90, "eyJa." * 100, "eyJa.eyJ" * 50 + ".x"]
+    assert scanner(RULES).scan([t.encode() for t in short]) == [brute(t) for t in short]
+
+
 def test_frames(spark):
     rows = [(1, "password: hunter22", "a"), (1, "password: hunter22", "a"), (2, None, None), (None, "", "b"), (3, "é token=abc123 " + "0" * 24, "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, secrets string")

@@ -3,8 +3,9 @@
 The rules' patterns are compiled together: syntax tree, nondeterministic automaton, subset construction, minimisation,
 and a transition array over all 256 bytes. One pass over the bytes finds where any rule matches. Many stretches of
 text are run side by side: bytes that lead from every state to the start ("resets", such as line feeds) cannot lie
-inside a match, so texts are cut behind them. The few stretches with a match are then read by the automaton of each
-rule for the exact spans.
+inside a match, so texts are cut behind them. The few stretches with a match are read backwards by one automaton of all
+patterns reversed, which tells for every byte the rules that have a match starting there. Spans are read from these starts
+only, so no start fails and the time is linear in the text.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from tidemark.session import column
 # Bytes a stretch has at least, if its text is that long.
 STRETCH_BYTES = 256
 SLICE_BYTES = 4 << 20
+# With fewer stretches left a step for all of them costs more than to read them one after the other.
+SIDE_BY_SIDE = 64
 
 
 @dataclass(frozen=True)
@@ -179,23 +182,39 @@ class Nondeterministic:
         return frozenset(found)
 
 
+def reversed_tree(tree: tuple) -> tuple:
+    """The tree of the same strings read backwards."""
+    kind, inner, *rest = tree
+    if kind == "bytes":
+        return tree
+    if kind == "repeat":
+        return (kind, reversed_tree(inner), *rest)
+    parts = [reversed_tree(part) for part in inner]
+    return (kind, parts[::-1] if kind == "all" else parts)
+
+
 @dataclass(frozen=True)
 class Automaton:
-    """``table[state, byte]`` is the next state; state 0 is the start; accepting states come last."""
+    """``table[state, byte]`` is the next state; state 0 is the start; accepting states come last.
+
+    Bit n of ``matched[state]`` is set where pattern n matches.
+    """
 
     table: np.ndarray
     accepting: int
+    matched: list[int]
 
 
-def compiled(patterns: list[str], search: bool) -> Automaton:
+def compiled(patterns: list[str], search: bool, backwards: bool = False) -> Automaton:
     """One automaton for all patterns; with ``search`` they may start at any byte."""
     loose = Nondeterministic()
     begin = loose.state()
-    ends = set()
-    for pattern in patterns:
+    ends: dict[int, int] = {}
+    for number, pattern in enumerate(patterns):
         entry = loose.state()
         loose.free[begin].append(entry)
-        ends.add(loose.add(Parser(pattern).choice(), entry))
+        tree = Parser(pattern).choice()
+        ends[loose.add(reversed_tree(tree) if backwards else tree, entry)] = 1 << number
     # Bytes that no pattern tells apart share a column while states are built.
     sets = sorted({s for edges in loose.edges for s, _ in edges}, key=sorted)
     columns: dict[tuple, int] = {}
@@ -213,7 +232,8 @@ def compiled(patterns: list[str], search: bool) -> Automaton:
                 order.append(target)
             row.append(numbers[target])
         rows.append(row)
-    table, group = np.array(rows), np.array([int(bool(ends & subset)) for subset in order])
+    masks = [sum(ends[state] for state in subset if state in ends) for subset in order]
+    table, group = np.array(rows), np.unique(np.array(masks), return_inverse=True)[1].ravel()
     # States stay together while their successors do.
     while True:
         _, finer = np.unique(np.column_stack([group, group[table]]), axis=0, return_inverse=True)
@@ -221,18 +241,19 @@ def compiled(patterns: list[str], search: bool) -> Automaton:
         if finer.max() == group.max():
             break
         group = finer
-    accepts = np.zeros(group.max() + 1, bool)
-    accepts[group] = [bool(ends & subset) for subset in order]
+    matched = np.zeros(group.max() + 1, np.int64)
+    matched[group] = masks
+    accepts = matched > 0
     rank = np.lexsort((np.arange(len(accepts)) != group[0], accepts))
     place = np.empty(len(rank), np.int64)
     place[rank] = np.arange(len(rank))
     small = np.empty((len(rank), len(samples)), np.int32)
     small[place[group]] = place[group[table]]
-    return Automaton(small[:, of_byte], int((~accepts).sum()))
+    return Automaton(small[:, of_byte], int((~accepts).sum()), matched[rank].tolist())
 
 
 class Scanner:
-    """The combined automaton and those of the single rules."""
+    """The combined automata, forwards to find stretches and backwards to find starts, and those of the single rules."""
 
     def __init__(self, rules: tuple[Rule, ...]) -> None:
         self.rules = rules
@@ -240,13 +261,15 @@ class Scanner:
         self.flat = np.ascontiguousarray(self.all.table.ravel())
         self.resets = (self.all.table == 0).all(axis=0)
         assert self.resets[ord("\n")], "a line feed must not lie inside a match"
+        self.rows = self.all.table.tolist()
+        back = compiled([rule.pattern for rule in rules], search=True, backwards=True)
+        self.back, self.back_accepting, self.begun = back.table.tolist(), back.accepting, back.matched
         self.single = []
         for rule in rules:
             one = compiled([rule.pattern], search=False)
             # The state that nothing leads out of and that accepts nothing.
             dead = next((s for s in range(one.accepting) if (one.table[s] == s).all()), -1)
-            starts = bytes(np.flatnonzero(one.table[0] != dead).astype(np.uint8))
-            self.single.append((one.table.tolist(), one.accepting, dead, re.compile(b"[" + re.escape(starts) + b"]")))
+            self.single.append((one.table.tolist(), one.accepting, dead))
 
     def stretches(self, buffer: np.ndarray) -> np.ndarray:
         """Starts of stretches, each behind a reset."""
@@ -255,38 +278,67 @@ class Scanner:
         return np.unique(np.concatenate([[0], behind[picked[picked < len(behind)]]]))
 
     def hits(self, buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of the stretches in which some rule matches: one step for the next byte of all of them."""
+        """Starts and ends of the stretches in which some rule matches: one step for the next byte of all of them.
+
+        The last few, which are the longest, are read one after the other.
+        """
         starts = self.stretches(buffer)
         starts = starts[starts < len(buffer)]
         ends = np.append(starts[1:], len(buffer))
         order = np.argsort(starts - ends, kind="stable")  # the longest first, so that those at work stay in front
         at, size = starts[order], (ends - starts)[order]
         state, hit = np.zeros(len(at), np.int32), np.zeros(len(at), bool)
-        live = len(at) - np.searchsorted(size[::-1], np.arange(size[0] if len(size) else 0), side="right")
+        # Steps with that many stretches or more still at work.
+        steps = int(size[SIDE_BY_SIDE - 1]) if len(size) >= SIDE_BY_SIDE else 0
+        live = len(at) - np.searchsorted(size[::-1], np.arange(steps), side="right")
         for step, n in enumerate(live.tolist()):
             now = self.flat[(state[:n] << 8) + buffer[at[:n] + step]]
             state[:n] = now
             hit[:n] |= now >= self.all.accepting
+        for i in range(min(len(at), SIDE_BY_SIDE)):
+            if not hit[i]:
+                hit[i] = self.found(int(state[i]), buffer[at[i] + steps : at[i] + size[i]])
         chosen = np.sort(order[hit])
         return starts[chosen], ends[chosen]
 
-    def spans(self, data: bytes, rule: int) -> Iterator[tuple[int, int]]:
-        table, accepting, dead, first = self.single[rule]
+    def found(self, state: int, rest: np.ndarray) -> bool:
+        rows, accepting = self.rows, self.all.accepting
+        for byte in rest.tobytes():
+            state = rows[state][byte]
+            if state >= accepting:
+                return True
+        return False
+
+    def starts(self, data: bytes) -> list[list[int]]:
+        """By rule: where its matches may start, in order; some match starts at each of these places."""
+        rows, accepting, begun, state = self.back, self.back_accepting, self.begun, 0
+        told: list[list[int]] = [[] for _ in self.rules]
+        for i in range(len(data) - 1, -1, -1):
+            state = rows[state][data[i]]
+            if state >= accepting:
+                mask = begun[state]
+                while mask:
+                    low = mask & -mask
+                    told[low.bit_length() - 1].append(i)
+                    mask ^= low
+        return [places[::-1] for places in told]
+
+    def spans(self, data: bytes, rule: int, starts: list[int]) -> Iterator[tuple[int, int]]:
+        """Longest matches of a rule from the leftmost starts on, without overlaps."""
+        table, accepting, dead = self.single[rule]
         keeps, at = self.rules[rule].keeps, 0
-        while found := first.search(data, at):
-            start, state, end = found.start(), 0, -1
+        for start in starts:
+            if start < at:
+                continue
+            state, at = 0, start
             for i in range(start, len(data)):
                 state = table[state][data[i]]
                 if state == dead:
                     break
                 if state >= accepting:
-                    end = i + 1
-            if end > start:
-                if keeps(data[start:end]):
-                    yield start, end
-                at = end
-            else:
-                at = start + 1
+                    at = i + 1
+            if keeps(data[start:at]):
+                yield start, at
 
     def scan(self, texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
         """Kind, start and end of each secret in each text, in code points; by start, then by rule."""
@@ -295,8 +347,8 @@ class Scanner:
         for start, end in zip(*self.hits(buffer)):
             piece = buffer[start:end].tobytes()
             first = int(np.searchsorted(ends, start, side="left"))
-            for number in range(len(self.rules)):
-                for low, high in self.spans(piece, number):
+            for number, places in enumerate(self.starts(piece)):
+                for low, high in self.spans(piece, number, places):
                     text = int(np.searchsorted(ends, start + low, side="left"))
                     found[text].append((int(start) + low, number, int(start) + high))
             assert first < len(texts) or not piece.strip()
