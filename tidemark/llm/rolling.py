@@ -50,7 +50,7 @@ class Rolling:
 
     def __init__(self, buffer: np.ndarray, which: int = 0) -> None:
         size = len(buffer)
-        power, self.inverse = powers(max(21, int(size).bit_length()), which)
+        power, self.inverse = powers(max(20, int(size).bit_length()), which)
         self.prefix = np.zeros(size + 1, np.uint64)
         np.cumsum(byte_values(which)[buffer] * power[:size], out=self.prefix[1:])
 

@@ -222,7 +222,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
 def with_hash(at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", 1 << 20):
             names = [xxhash.xxh3_128_digest(x or b"") for x in batch.column(at).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.binary())], [*batch.schema.names, "__hash"])
 

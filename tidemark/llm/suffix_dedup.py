@@ -31,7 +31,7 @@ from tidemark.session import column
 
 # Fixed value: length of a repeated string. Parameters: bytes that suffixes are sorted by, text of a batch.
 WINDOW, CORE = 200, 88
-BATCH_BYTES, SLICE_BYTES = 24 << 20, 1 << 20
+BATCH_BYTES, SLICE_BYTES = 24 << 20, 1 << 19
 # Flags of a suffix: its whole stretch is repeated; its windows are to be counted.
 WHOLE, COUNTED = 1, 2
 # What a window sent to be counted is: one of which nothing is known yet; one for many that its slice has found
@@ -219,12 +219,15 @@ def batch_arrays(parts: int):
         held: list[np.ndarray] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            array, settled = sorted_array(np.concatenate(held))
-            settled["settled"] = 2
-            out = [*dealt(array, range_of(array["key"], parts), parts), *dealt(settled, part_of(settled["doc"], settled["text"], parts), parts)]
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows = np.concatenate(held)
             held.clear()
-            return as_rows("arrays", out, ("part", "suffixes"))
+            array, settled = sorted_array(rows)
+            del rows
+            settled["settled"] = 2
+            yield as_rows("arrays", list(dealt(array, range_of(array["key"], parts), parts)), ("part", "suffixes"))
+            del array
+            yield as_rows("arrays", list(dealt(settled, part_of(settled["doc"], settled["text"], parts), parts)), ("part", "suffixes"))
 
         for part in slices(batches, "text", SLICE_BYTES):
             texts = as_bytes(part, "text")
@@ -237,10 +240,10 @@ def batch_arrays(parts: int):
                 held.append(rows)
             size += sum(map(len, texts))
             if size >= BATCH_BYTES and held:
-                yield flush()
+                yield from flush()
                 size = 0
         if held:
-            yield flush()
+            yield from flush()
 
     return run
 

@@ -26,7 +26,7 @@ PREFIXES = (4, 5)
 LEAST_CHI_SQUARE = 15.0
 EPOCHS, BATCH_ROWS, RATE, FADE = 25, 64, 0.25, 5e-5
 THRESHOLD = 0.7
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
