@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from tidemark.llm import packing
 from tidemark.llm.packing import best_fit, cut, lookup, lower_bound, pack, pack_documents, packing_report
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,17 @@ def test_ids_equal_those_of_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in lookup(PATH).packed(texts)] == [x[:-1] for x in brute_ids(texts)]
 
 
+def test_each_stretch_is_looked_at_once(monkeypatch):
+    seen = []
+    judge = packing.beside_white_space
+    monkeypatch.setattr(packing, "beside_white_space", lambda stretch: seen.append(stretch) or judge(stretch))
+    texts = [f"One two{'' if i % 3 else '  three'} four {i % 7} five\0"[: 90 if i % 5 == 0 else -1] for i in range(500)]
+    found = packing.Lookup(PATH).packed(texts)
+    assert len(seen) == len(set(seen)) < 30
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x[:-1] for x in brute_ids(texts)]
+    assert lookup(PATH).packed([]) == []
+
+
 def test_best_fit_and_bounds():
     rnd = np.random.default_rng(1)
     for _ in range(60):

@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ CAPACITY, END_ID = 1024, 2
 # Pieces of a partition, on average.
 PARTITION_PIECES = 4_096
 MEMORY_ENTRIES = 250_000
-# Stretches that are given to the tokenizer as one string.
-JOINED = 256
+# Stretches that are given to the tokenizer as one string, and texts whose ids are put together at a time.
+JOINED, TOGETHER = 256, 256
 
 
 class Lookup:
@@ -56,7 +57,7 @@ class Lookup:
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, stretches: set[str]) -> None:
+    def learn(self, stretches: list[str]) -> None:
         new = []
         for stretch in stretches:
             ids = self.old.get(stretch)
@@ -71,29 +72,46 @@ class Lookup:
             ids = np.array(encoded.ids, "<u4")
             ends = np.cumsum([len(stretch.encode()) for stretch in group])
             cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()
+            packed = ids.tobytes()
             for stretch, low, high in zip(group, [0, *cuts], cuts):
-                self.known[stretch] = ids[low:high].tobytes()
+                self.known[stretch] = packed[4 * low : 4 * high]
         alone = [stretch for stretch in new if stretch[0] != " "]
         for stretch, encoded in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             self.known[stretch] = array("I", encoded.ids).tobytes()
 
     def packed(self, texts: list[str]) -> list[bytes]:
+        """All stretches of the texts are numbered first, so that Python meets each different one once."""
+        if not texts:
+            return []
         if len(self.known) > MEMORY_ENTRIES:
             self.old, self.known = self.known, {}
-        split: list[list[str] | None] = []
-        missing: set[str] = set()
-        for text in texts:
-            parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [""]
-            new = set(parts).difference(self.known)
-            if any(map(beside_white_space, new)):
-                split.append(None)
-            else:
-                split.append(parts)
-                missing |= new
-        self.learn(missing)
-        whole = [text for text, parts in zip(texts, split) if parts is None]
-        encoded = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
-        return [array("I", next(encoded).ids).tobytes() if parts is None else b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        marked = pc.replace_substring(pa.array(["" if "\0" in text else text for text in texts], pa.large_string()), " ", "\0 ")
+        split = pc.split_pattern(marked, "\0")
+        begins = split.offsets.to_numpy()[:-1]  # every text has a stretch, an empty one an empty stretch
+        coded = split.flatten().dictionary_encode()
+        stretches, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        counts = np.diff(begins, append=len(codes))
+        del marked, split, coded
+        new = np.fromiter((stretch not in self.known for stretch in stretches), bool, len(stretches))
+        apart = np.fromiter((n and beside_white_space(stretch) for n, stretch in zip(new.tolist(), stretches)), bool, len(stretches))
+        whole = np.logical_or.reduceat(apart[codes], begins)
+        needed = np.zeros(len(stretches), bool)
+        needed[codes[np.repeat(~whole, counts)]] = True
+        self.learn([stretches[i] for i in np.flatnonzero(needed & new).tolist()])
+        ids_of = [self.known[stretch] if wanted else b"" for stretch, wanted in zip(stretches, needed.tolist())]
+        sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+        table, first = np.frombuffer(b"".join(ids_of), "<u4"), np.cumsum(sizes) - sizes
+        encoded = iter(self.tokenizer.encode_batch_fast([texts[i] for i in np.flatnonzero(whole).tolist()], add_special_tokens=False))
+        out: list[bytes] = []
+        for low in range(0, len(texts), TOGETHER):
+            high = min(low + TOGETHER, len(texts))
+            own = codes[begins[low] : begins[high] if high < len(texts) else len(codes)]
+            length = sizes[own]
+            ends = np.cumsum(length)
+            ids = table[np.repeat(first[own] - (ends - length), length) + np.arange(ends[-1])].tobytes()
+            edges = [0, *(4 * ends[begins[low + 1 : high] - begins[low] - 1]).tolist(), len(ids)]
+            out += [array("I", next(encoded).ids).tobytes() if alone else ids[a:b] for alone, a, b in zip(whole[low:high].tolist(), edges, edges[1:])]
+        return out
 
 
 def beside_white_space(part: str) -> bool:
