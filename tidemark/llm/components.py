@@ -9,11 +9,23 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_folder
 
 
+# Lets Spark delete the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame written to the folder all executors share, and read again."""
+    """The frame written to the folder all executors share, and read again.
+
+    Nothing reads the shuffle files of that write any more, so they go with it.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(FILE_CLEANUP, "false")
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
