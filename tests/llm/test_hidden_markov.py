@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from tidemark.llm import hidden_markov
 from tidemark.llm.hidden_markov import STRETCH, Model, expected, learn_words, likelihood, parted, scoring_report, train
@@ -91,6 +92,46 @@ def test_expected_counts_of_texts_longer_than_a_stretch():
     assert math.isclose(told, likelihood(model, packed).sum() * math.log(10), rel_tol=1e-12)
 
 
+def test_counts_do_not_depend_on_what_is_held(monkeypatch):
+    rng = np.random.default_rng(8)
+    model = small_model(rng)
+    texts = [rng.integers(0, 5, n).astype("<u2").tobytes() for n in rng.integers(1, 400, 60)]
+    times = rng.integers(1, 4, 60)
+    found = []
+    for held, told, side in ((1 << 15, 1 << 15, 2048), (50, 7, 16), (1, 1, 3)):
+        monkeypatch.setattr(hidden_markov, "HELD", held)
+        monkeypatch.setattr(hidden_markov, "TOLD", told)
+        monkeypatch.setattr(hidden_markov, "SIDE_BY_SIDE", side)
+        counts = np.zeros(6 + 9 + 15)
+        found.append((expected(model, texts, counts, times), counts))
+    for total, counts in found:
+        assert math.isclose(total, found[0][0], rel_tol=1e-12) and np.allclose(counts, found[0][1], rtol=1e-9)
+    assert math.isclose(found[0][0], likelihood(model, texts) @ times * math.log(10), rel_tol=1e-12)
+    assert math.isclose(found[0][1][15:].sum(), sum(len(t) // 2 * n for t, n in zip(texts, times)))
+
+
+def test_words_of_a_slice_are_looked_up_once():
+    class Head(dict):
+        looked = 0
+
+        def __contains__(self, word):
+            self.looked += 1
+            return super().__contains__(word)
+
+    texts = ["Red\x0bblue é\x85\n", None, "", " ", "\xa0 red RED\t Blue end"] * 40
+    whole = pa.RecordBatch.from_pydict({"doc_id": list(range(200)), "held_out": [False] * 200, "text": texts})
+    head = Head({b"red": 0, b"blue": 1})
+    (got,) = hidden_markov.encoded(head)(iter([whole.slice(3)]))
+    assert head.looked == len({w for t in texts for w in (t or "").encode().lower().split()})
+    for text, row in zip(texts[3:], got.to_pylist()):
+        words = (text or "").encode().lower().split()
+        symbols = [head[w] if w in head.keys() else 3 + zlib.crc32(w[-3:]) % hidden_markov.ENDINGS for w in words]
+        assert row["symbols"] == np.array([*symbols, 2], "<u2").tobytes()
+        assert {o["word"]: o["n"] for o in row["others"]} == Counter(w for w in words if w not in head.keys())
+    (counts,) = hidden_markov.count_words(iter([whole.slice(3)]))
+    assert dict(zip(counts["word"].to_pylist(), counts["n"].to_pylist())) == Counter(w for t in texts[3:] for w in (t or "").encode().lower().split())
+
+
 def test_every_round_reads_all_training_texts(spark, monkeypatch):
     """The model equals that of rounds in one process over all texts, more than any sample had, up to the tolerance."""
     texts = [f"{'red green blue'.split()[i % 3]} w{i} w{i % 7} and w{i + 1}" for i in range(900)]

@@ -9,16 +9,16 @@ Rounds go on until one gains next to nothing. Scores are exact: the scaled forwa
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import as_bytes, slices
+from tidemark.llm.batches import slices
 from tidemark.llm.components import stored
 from tidemark.session import column
 
@@ -28,10 +28,12 @@ ADDED, ENDING = 0.1, 3
 HEAD_WORDS, ENDINGS, STATES, ADDED_EMISSIONS = 32_768, 4_096, 8, 20
 # Training ends when a round raises the objective by no more than this share of it.
 TOLERANCE = 1e-4
-# Symbols between kept forward probabilities, texts read side by side, bytes of texts read at a time and symbols whose
-# counts are added at a time.
-STRETCH, SIDE_BY_SIDE, TRAIN_BYTES, TOLD_TOKENS = 64, 2_048, 16 << 20, 1 << 17
-COUNTER_WORDS, MEMORY_WORDS, SLICE_BYTES = 200_000, 400_000, 4 << 20
+# Symbols whose forward probabilities are held at a time and whose counts are added at a time, places from one scaling
+# to the next, texts read side by side and bytes of texts read at a time.
+HELD, TOLD, SCALED, SIDE_BY_SIDE, TRAIN_BYTES = 1 << 15, 1 << 16, 8, 2_048, 16 << 20
+# Length of the texts that tests read in parts.
+STRETCH = 64
+COUNTER_WORDS, SLICE_BYTES = 200_000, 4 << 20
 BLOCK, SALTS = 8_192, 16
 # Steps in which counts grow e-fold; a corpus has a few thousand of them at most.
 STEPS_OF_E = 64
@@ -47,19 +49,34 @@ def ending_of(word: Column) -> Column:
     return F.crc32(F.substr(word, F.greatest(F.octet_length(word) - ENDING + 1, F.lit(1)), F.lit(ENDING))) % ENDINGS
 
 
+def numbered(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of a slice, the number of each of its words among them, and how many words each text has."""
+    # Arrow's functions on strings misread part of a longer array; a copy starts at its own beginning.
+    text = pc.fill_null(part.column("text"), "").take(pa.array(np.arange(part.num_rows)))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    words = split.flatten()
+    kept = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at an end leaves an empty one
+    before = np.concatenate([[0], np.cumsum(kept)])
+    coded = words.filter(pa.array(kept)).cast(pa.binary()).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.diff(before[split.offsets.to_numpy()])
+
+
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words with their counts, added up as far as memory allows."""
 
-    def told(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    def told(counts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sums = pa.Table.from_batches(counts).group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+        return pa.RecordBatch.from_arrays([sums["word"].chunk(0), sums["n_sum"].chunk(0)], ["word", "n"])
 
-    counts: Counter = Counter()
+    counts: list[pa.RecordBatch] = []
     for part in slices(batches, "text", SLICE_BYTES):
-        for text in as_bytes(part, "text"):
-            counts.update(text.lower().split())
-        if len(counts) > COUNTER_WORDS:
-            yield told(counts)
-            counts.clear()
+        words, codes, _ = numbered(part)
+        if len(words):
+            counts.append(pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], ["word", "n"]))
+        if sum(map(len, counts)) > COUNTER_WORDS:
+            counts = [told(counts)]
+            if len(counts[0]) > COUNTER_WORDS:
+                yield counts.pop()
     if counts:
         yield told(counts)
 
@@ -125,24 +142,20 @@ def encoded(head: dict[bytes, int]):
     """Symbols of each text (16 bits each, an end behind) and its words that are no symbols of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end, memory = len(head), dict(head)
+        end = len(head)
         for part in slices(batches, "text", SLICE_BYTES):
-            symbols, others, times, ends = [], [], [], [0]
-            for text in as_bytes(part, "text"):
-                words = text.lower().split()
-                for word in set(words).difference(memory):
-                    memory[word] = end + 1 + ending(word)
-                row = list(map(memory.__getitem__, words))
-                symbols.append(np.array([*row, end], "<u2").tobytes())
-                own = Counter([w for w, s in zip(words, row) if s > end])
-                others += own.keys()
-                times += own.values()
-                ends.append(len(others))
-                if len(memory) > MEMORY_WORDS:
-                    memory = dict(head)
-            pairs = pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
-            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(symbols, pa.binary()), listed], ["doc_id", "held_out", "symbols", "others"])
+            words, codes, sizes = numbered(part)
+            texts = np.arange(len(sizes))
+            symbol_of = np.fromiter((head[w] if w in head else end + 1 + ending(w) for w in words.to_pylist()), "<u2", len(words))
+            symbols, text = np.full(len(codes) + len(sizes), end, "<u2"), np.repeat(texts, sizes)
+            symbols[np.arange(len(codes)) + text] = symbol_of[codes]
+            edges = np.concatenate([[0], 2 * np.cumsum(sizes + 1)]).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(symbols)])
+            rare = (symbol_of > end)[codes]
+            pairs, times = np.unique(text[rare] * len(words) + codes[rare], return_counts=True)
+            own = pa.StructArray.from_arrays([words.take(pa.array(pairs % max(1, len(words)))), pa.array(times)], ["word", "n"])
+            listed = pa.ListArray.from_arrays(pa.array(np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(words)), pa.int32()), own)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), packed, listed], ["doc_id", "held_out", "symbols", "others"])
 
     return run
 
@@ -188,66 +201,88 @@ def flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.ndarray | None = None) -> float:
     """Adds the expected counts of the texts, forward and backward side by side, and returns their log-likelihood.
 
-    A text counts as often as ``times`` says (once, unless given). Whole texts are read. Forward probabilities are kept before each stretch only, and those within a stretch are found
-    again on the way back.
+    A text counts as often as ``times`` says (once, unless given). Whole texts are read. Forward probabilities are scaled
+    at every ``SCALED``-th place only. They are kept before each stretch of about ``HELD`` symbols of all texts side by
+    side, and those within a stretch are found again on the way back, unless it is the last or only one.
     """
     states = model.moves.shape[0]
     start, moves, emits = parted(counts, states)
     symbols, begins, sizes = flat(texts)
     order = np.argsort(-sizes, kind="stable")
     emits_of, moves_to = np.ascontiguousarray(model.emits.T), np.ascontiguousarray(model.moves.T)  # states come first
-    pairs, sums, total, told = np.zeros_like(moves), np.zeros_like(emits_of), 0.0, []
+    pairs, sums, total = np.zeros_like(moves), np.zeros_like(emits_of), 0.0
+    room = min(HELD + SIDE_BY_SIDE, len(symbols))
+    ahead, given, seen = np.empty(states * room), np.empty(states * room), np.empty(room, np.intp)  # a block for each place
+    weights = np.empty((states, min(TOLD + SIDE_BY_SIDE, len(symbols))))
 
-    def tell() -> None:
-        which, weights = (np.concatenate(x, axis=-1) for x in zip(*told))
-        for k in range(states):
-            sums[k] += np.bincount(which, weights[k], len(emits))
-        told.clear()
+    def block(values: np.ndarray, first: int, n: int) -> np.ndarray:
+        return values[states * first : states * (first + n)].reshape(states, n)
 
     for low in range(0, len(order), SIDE_BY_SIDE):
         own = order[low : low + SIDE_BY_SIDE]
         begin, longest = begins[own], int(sizes[own[0]])
         often = np.ones(len(own)) if times is None else times[own].astype(float)
-        live = (len(own) - np.searchsorted(sizes[own][::-1], np.arange(longest), side="right")).tolist()  # longer than t
-
-        def forward(first: int, now: np.ndarray | None) -> Iterator[tuple[np.ndarray, ...]]:
-            """Symbols, emissions, forward probabilities and their scales at each place of a stretch."""
-            for t in range(first, min(first + STRETCH, longest)):
-                seen = symbols[begin[: live[t]] + t].astype(np.intp)
-                given = np.take(emits_of, seen, axis=1)
-                now = (model.start[0][:, None] if t == 0 else moves_to @ now[:, : live[t]]) * given
-                scale = now.sum(axis=0)
-                now /= scale
-                yield seen, given, now, scale
-
-        firsts, before = range(0, longest, STRETCH), [None]
-        for first in firsts[:-1]:
-            for _, _, now, _ in forward(first, before[-1]):
-                pass
-            before.append(now)
-        back = np.ones((states, 0))
-        for first in reversed(firsts):
-            seen, given, ahead, scale = zip(*forward(first, before[-1]))
-            weights = [None] * len(seen)
-            for i in range(len(seen) - 1, -1, -1):
-                n = len(seen[i])
-                if back.shape[1] < n:
-                    back = np.concatenate([back, np.ones((states, n - back.shape[1]))], axis=1)
-                weights[i] = ahead[i] * back
-                weights[i] *= often[:n]
-                if first + i:
-                    weighted = given[i] * back
-                    weighted /= scale[i]
-                    pairs += (ahead[i - 1] if i else before[-1])[:, :n] @ (weighted * often[:n]).T
+        live = len(own) - np.searchsorted(sizes[own][::-1], np.arange(longest + 1), side="right")  # longer than t
+        until = np.cumsum(live)
+        firsts = [0, *(np.flatnonzero(np.diff((until[:longest] - 1) // HELD)) + 1).tolist()]
+        live = live.tolist()
+
+        def forward(first: int, last: int, now: np.ndarray | None) -> tuple[list[int], dict[int, np.ndarray]]:
+            """Fills in a stretch; where its places begin, and their scales."""
+            at, scales = [0], {}
+            for t in range(first, last):
+                i, n = at[-1], live[t]
+                at.append(i + n)
+                own_seen = seen[i : i + n]
+                own_seen[:] = symbols[begin[:n] + t]
+                here, likely = block(ahead, i, n), block(given, i, n)
+                np.take(emits_of, own_seen, axis=1, out=likely, mode="clip")
+                if t:
+                    np.matmul(moves_to, now[:, :n], out=here)
+                    here *= likely
+                else:
+                    np.multiply(model.start[0][:, None], likely, out=here)
+                if t % SCALED == SCALED - 1:
+                    scales[t] = here.sum(axis=0)
+                    here /= scales[t]
+                now = here
+            return at, scales
+
+        before: list[np.ndarray | None] = [None]
+        for first, last in zip(firsts, firsts[1:]):
+            at, _ = forward(first, last, before[-1])
+            before.append(block(ahead, at[-2], at[-1] - at[-2]).copy())
+        back = np.empty((states, 0))
+        for first, last in zip(reversed(firsts), [longest, *reversed(firsts[1:])]):
+            at, scales = forward(first, last, before[-1])
+            top = at[-1]  # of the symbols whose weights are not added yet
+            for t in range(last - 1, first - 1, -1):
+                i, n = at[t - first], at[t - first + 1] - at[t - first]
+                here = block(ahead, i, n)
+                if back.shape[1] < n:  # texts that end here
+                    ended = slice(back.shape[1], n)
+                    scale = here[:, ended].sum(axis=0)
+                    total += float(np.log(scale) @ often[ended])
+                    back = np.concatenate([back, np.repeat((often[ended] / scale)[None], states, axis=0)], axis=1)
+                if t in scales:
+                    total += float(np.log(scales[t]) @ often[:n])
+                low_end = weights.shape[1] - (top - i)
+                np.multiply(here, back, out=weights[:, low_end : low_end + n])
+                if t:
+                    weighted = block(given, i, n)
+                    weighted *= back
+                    if t in scales:
+                        weighted /= scales[t]
+                    earlier = block(ahead, at[t - first - 1], i - at[t - first - 1]) if t > first else before[-1]
+                    pairs += earlier[:, :n] @ weighted.T
                     back = model.moves @ weighted
+                else:
+                    start[0] += weights[:, low_end : low_end + n].sum(axis=1)
+                if top - i >= TOLD or t == first:
+                    for k in range(states):
+                        sums[k] += np.bincount(seen[i:top], weights[k, low_end:], len(emits))
+                    top = i
             before.pop()
-            total += float(np.log(np.concatenate(scale)) @ np.concatenate([often[: len(s)] for s in seen]))
-            told.append((np.concatenate(seen), np.concatenate(weights, axis=1)))
-            if sum(len(w) for w, _ in told) >= TOLD_TOKENS:
-                tell()
-        start[0] += weights[0].sum(axis=1)
-    if told:
-        tell()
     emits += sums.T
     moves += pairs * model.moves
     return total
