@@ -30,7 +30,7 @@ HEAD_WORDS, ENDINGS, STATES, ADDED_EMISSIONS = 32_768, 4_096, 8, 20
 TOLERANCE = 1e-4
 # Symbols whose forward probabilities are held at a time and whose counts are added at a time, places from one scaling
 # to the next, texts read side by side and bytes of texts read at a time.
-HELD, TOLD, SCALED, SIDE_BY_SIDE, TRAIN_BYTES = 1 << 15, 1 << 16, 8, 2_048, 16 << 20
+HELD, TOLD, SCALED, SIDE_BY_SIDE, TRAIN_BYTES = 1 << 14, 1 << 15, 8, 2_048, 16 << 20
 # Length of the texts that tests read in parts.
 STRETCH = 64
 COUNTER_WORDS, SLICE_BYTES = 200_000, 4 << 20
@@ -236,7 +236,7 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.nda
                 own_seen = seen[i : i + n]
                 own_seen[:] = symbols[begin[:n] + t]
                 here, likely = block(ahead, i, n), block(given, i, n)
-                np.take(emits_of, own_seen, axis=1, out=likely, mode="clip")
+                emits_of.take(own_seen, axis=1, out=likely, mode="clip")
                 if t:
                     np.matmul(moves_to, now[:, :n], out=here)
                     here *= likely
@@ -293,13 +293,18 @@ def likelihood(model: Model, texts: list[bytes]) -> np.ndarray:
     symbols, begins, sizes = flat(texts)
     order = np.argsort(-sizes, kind="stable")
     begin, out = begins[order], np.zeros(len(texts))
-    live = len(order) - np.searchsorted(sizes[order][::-1], np.arange(sizes.max(initial=0)), side="right")
-    now = np.repeat(model.start[:1], len(order), axis=0)
-    for t, n in enumerate(live.tolist()):
-        now = (now[:n] if t == 0 else now[:n] @ model.moves) * model.emits[symbols[begin[:n] + t]]
-        total = now.sum(axis=1)
-        out[:n] += np.log10(total)
-        now /= total[:, None]
+    live = (len(order) - np.searchsorted(sizes[order][::-1], np.arange(sizes.max(initial=0) + 1), side="right")).tolist()
+    emits_of, moves_to = np.ascontiguousarray(model.emits.T), np.ascontiguousarray(model.moves.T)  # states come first
+    now = np.repeat(model.start[0][:, None], len(order), axis=1)
+    for t, (n, rest) in enumerate(zip(live, live[1:])):
+        now = (now if t == 0 else moves_to @ now) * emits_of.take(symbols[begin[:n] + t], axis=1, mode="clip")
+        if t % SCALED == SCALED - 1:
+            total = now.sum(axis=0)
+            out[:n] += np.log10(total)
+            now /= total
+        if rest < n:  # texts that end here
+            out[rest:n] += np.log10(now[:, rest:].sum(axis=0))
+            now = np.ascontiguousarray(now[:, :rest])
     result = np.empty(len(texts))
     result[order] = out
     return result
