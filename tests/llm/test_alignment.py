@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
+from tidemark.llm import alignment
 from tidemark.llm.alignment import Aligned, Stretches, align, alignment_report, gallop, level_tokens, pieces
 
 SCHEMA = "doc_id long, text string"
@@ -180,3 +182,40 @@ def test_whole_table(spark, tokens_of):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in frame.collect()]
     check(alignment_report(frame).collect(), brute(rows, tokens_of))
+
+
+def test_workers_let_go_of_what_they_remember():
+    alignment.aligned(["some words of a text"])
+    assert alignment.stretches.cache_info().currsize == 1
+    assert list(alignment.judged(iter([]))) == []
+    kept = (alignment.stretches, alignment.numerals, alignment.pieces, alignment.level_tokens, alignment.lookup)
+    assert not any(f.cache_info().currsize for f in kept)
+
+
+def test_memory_of_remembered_stretches_and_of_a_slice():
+    both, rnd = Stretches(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")), random.Random(3)
+    words = ["".join(rnd.choices("abcdefgh", k=7)) for _ in range(20_000)]
+    both.encoded(words[:10])
+    tracemalloc.start()
+    both.encoded([" ".join(words)])
+    each = tracemalloc.get_traced_memory()[0] / len(words)
+    tracemalloc.stop()
+    assert each < 160  # the string, its ids of both tokenizers as one value, and a place in one table
+
+
+def test_a_slice_is_aligned_part_by_part(spark, tokens_of, monkeypatch):
+    sizes, run = [], alignment.aligned
+    monkeypatch.setattr(alignment, "PART_BYTES", 200)
+    monkeypatch.setattr(alignment, "aligned", lambda texts: sizes.append(sum(map(len, texts))) or run(texts))
+    rows = [(i, f"text number {i} and the same end " * (i % 3)) for i in range(60)]
+    check(align(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect(), brute(rows, tokens_of))
+
+    class Frame:
+        schema = {"id": type("Field", (), {"dataType": type("Kind", (), {"simpleString": lambda: "bigint"})})}
+        select = lambda self, *a: self
+        mapInArrow = lambda self, f, kind: f  # noqa: E731,N815
+
+    slice_ = alignment.pa.RecordBatch.from_pydict({"id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    sizes.clear()
+    (row,) = alignment.aligned_slices(Frame())(iter([slice_]))
+    assert len(sizes) > 5 and max(sizes) < 300 and len(row["digests"][0]) == 60

@@ -30,8 +30,8 @@ from tidemark.llm.packing import lookup
 from tidemark.session import column
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-# Text of one slice; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+# Text of one slice, and of the part of it that is aligned at a time; a longer text is a slice of its own.
+SLICE_BYTES, PART_BYTES = 1 << 20, 1 << 18
 # Stretches between spaces that are remembered, in each of two generations.
 MEMORY_ENTRIES = 200_000
 # Stretches that are given to a tokenizer as one string.
@@ -40,6 +40,8 @@ JOINED = 256
 CROWDED = re.compile(r" (?:(?=\s)|(?<=\s ))")
 PARTS = re.compile(r"(?<=\S)(?= \S)")
 LOW = np.int64((1 << 32) - 1)
+# Marks an id of B among packed ids of both.
+OF_B = np.uint32(1 << 31)
 
 
 # ---- tokens -----------------------------------------------------------------------------------------
@@ -210,10 +212,18 @@ def parted(text: str) -> list[str]:
     return parts
 
 
-def cut_at(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> list[bytes]:
+def cut_at(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray, mark: np.uint32 = np.uint32(0)) -> list[bytes]:
     """Packed ids of stretches that lie end to end, from where their bytes end."""
     cuts = (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1).tolist()
-    return [ids[low:high].tobytes() for low, high in zip([0, *cuts], cuts)]
+    marked = ids | mark
+    return [marked[low:high].tobytes() for low, high in zip([0, *cuts], cuts)]
+
+
+def apart(packed: bytes) -> tuple[bytes, bytes]:
+    """Packed ids of A and of B, from those of both."""
+    ids = np.frombuffer(packed, "<u4")
+    of_b = ids >= OF_B
+    return ids[~of_b].tobytes(), (ids[of_b] - OF_B).tobytes()
 
 
 class Stretches:
@@ -221,22 +231,21 @@ class Stretches:
 
     Both tokenizers start a token at a single space between two other characters that are no white space: A's words
     begin there, and no piece of B has a space after anything else. So the tokens of such a stretch are those it has
-    in any text. Two generations of stretches bound memory.
+    in any text. Two generations of stretches bound memory; a stretch is there once, with its ids of both.
     """
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a = lookup(path_a)
         self.model, self.bytes_b = pieces(path_b)
         self.bytes_a = level_tokens(path_a)
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.broken: set[str] = set()
 
     def learn(self, stretches: set[str]) -> None:
-        again = stretches & self.old[0].keys()
-        for known, old in zip(self.known, self.old):
-            known.update((stretch, old[stretch]) for stretch in again)
-        new = list(stretches - again)
+        again = stretches & self.old.keys()
+        self.known.update((stretch, self.old[stretch]) for stretch in again)
+        new, of_b = list(stretches - again), {}
         # Stretches that end in no white space make one string together, cut again where their bytes end.
         apart = {s for s in new if s[-1].isspace() or s[1:2].isspace()}
         joined = [s for s in new if s not in apart]
@@ -246,29 +255,28 @@ class Stretches:
             ends = np.cumsum([len(stretch.encode()) for stretch in group])
             ids = np.array(self.model.encode(whole[1:]), "<u4")
             if b"".join(map(self.bytes_b.listed.__getitem__, ids.tolist())) == whole.encode():
-                self.known[1].update(zip(group, cut_at(ids, self.bytes_b.sizes, ends)))
+                of_b.update(zip(group, cut_at(ids, self.bytes_b.sizes, ends, OF_B)))
             elif len(group) > 1:
                 groups += [[stretch] for stretch in group]
             else:
-                self.known[1][group[0]] = b""
+                of_b[group[0]] = b""
                 self.broken.add(group[0])
-        groups = [group for group in groups if group[0] not in self.known[0]]
         for group, encoded in zip(groups, self.a.tokenizer.encode_batch_fast(list(map("".join, groups)), add_special_tokens=False)):
             ids = np.array(encoded.ids, "<u4")
             ends = np.cumsum([len(stretch.encode()) for stretch in group])
-            self.known[0].update(zip(group, cut_at(ids, self.bytes_a.sizes, ends)))
+            self.known.update((stretch, of_a + of_b[stretch]) for stretch, of_a in zip(group, cut_at(ids, self.bytes_a.sizes, ends)))
 
     def encoded(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Packed ids of a space and each text; none for empty texts and those not given back byte by byte."""
-        if len(self.known[0]) > MEMORY_ENTRIES:
-            self.old, self.known = self.known, ({}, {})
-            self.broken &= self.old[0].keys()
+        if len(self.known) > MEMORY_ENTRIES:
+            self.old, self.known = self.known, {}
+            self.broken &= self.old.keys()
         split = list(map(parted, texts))
-        self.learn(set().union(*split).difference(self.known[0]))
+        self.learn(set().union(*split).difference(self.known))
         if self.broken:
             split = [parts if self.broken.isdisjoint(parts) else [] for parts in split]
-        a, b = ([b"".join(map(known.__getitem__, parts)) for parts in split] for known in self.known)
-        return a, b
+        both = [apart(b"".join(map(self.known.__getitem__, parts))) for parts in split]
+        return [a for a, _ in both], [b for _, b in both]
 
 
 @lru_cache(maxsize=1)
@@ -276,6 +284,12 @@ def stretches() -> Stretches:
     return Stretches(public_tokenizers.path(VOCABULARY_A), public_tokenizers.path(VOCABULARY_B))
 
 
+def forget() -> None:
+    """Lets go of the tokenizers and all that is remembered for them, in a worker that goes on to other work."""
+    for kept in (stretches, numerals, pieces, level_tokens, lookup):
+        kept.cache_clear()
+
+
 def aligned(texts: list[str]) -> Aligned:
     """The tokens of texts; none for empty ones and those that a tokenizer does not give back byte by byte."""
     both = stretches()
@@ -296,15 +310,23 @@ def aligned_slices(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
-            found = aligned(as_text(part, "text"))
-            pairs, place = np.unique(found.pairs, return_inverse=True)
-            documents = np.bincount(np.unique((place << 32) | found.link_text) >> 32, minlength=len(pairs))
+            sums: dict[str, list[int]] = {name: [] for name in OF_TEXTS}
+            digests, linked, link_texts, texts = [], [], [], 0
+            for few in slices([part], "text", PART_BYTES):
+                found = aligned(as_text(few, "text"))
+                for name in OF_TEXTS:
+                    sums[name] += getattr(found, name).tolist()
+                digests += [hashlib.sha256(groups).hexdigest() if groups else "" for groups in found.group_texts()]
+                linked.append(found.pairs)
+                link_texts.append(found.link_text + texts)
+                texts += few.num_rows
+            pairs, place = np.unique(np.concatenate(linked), return_inverse=True)
+            documents = np.bincount(np.unique((place << 32) | np.concatenate(link_texts)) >> 32, minlength=len(pairs))
             # Frequent pairs first, so that places are small numbers, which compress well.
             order = np.argsort(-np.bincount(place, minlength=len(pairs)), kind="stable")
             rank = np.empty(len(pairs), np.uint32)
             rank[order] = np.arange(len(pairs))
-            digests = [hashlib.sha256(groups).hexdigest() if groups else "" for groups in found.group_texts()]
-            counts = [pa.array([getattr(found, name).tolist()], pa.list_(pa.int64())) for name in OF_TEXTS]
+            counts = [pa.array([sums[name]], pa.list_(pa.int64())) for name in OF_TEXTS]
             ids = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("id"))
             columns = [pa.array([uuid.uuid4().hex]), ids, *counts, pa.array([digests], pa.list_(pa.string()))]
             columns += [pa.array([x[order]], pa.list_(pa.int64())) for x in (pairs, documents)]
@@ -330,6 +352,7 @@ def with_best(counts: DataFrame) -> DataFrame:
 
 def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of texts, with the counts of their links added up."""
+    forget()  # all slices are stored, and Spark's workers stay
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
