@@ -110,6 +110,26 @@ def test_counts_do_not_depend_on_what_is_held(monkeypatch):
     assert math.isclose(found[0][1][15:].sum(), sum(len(t) // 2 * n for t, n in zip(texts, times)))
 
 
+def test_forward_probabilities_are_held_for_the_way_back(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = small_model(rng)
+    texts = [rng.integers(0, 5, 300).astype("<u2").tobytes() for _ in range(200)]  # more symbols than a small cache holds
+    steps, matmul = [], np.matmul
+    monkeypatch.setattr(np, "matmul", lambda *a, **k: steps.append(1) or matmul(*a, **k))
+    counts = np.zeros(6 + 9 + 15)
+    expected(model, texts, counts)
+    assert len(steps) == 299 and math.isclose(counts[15:].sum(), 60_000)
+
+
+def test_texts_side_by_side_are_fewer_the_longer_they_are(monkeypatch):
+    monkeypatch.setattr(hidden_markov, "HELD", 100)
+    monkeypatch.setattr(hidden_markov, "SIDE_BY_SIDE", 20)
+    monkeypatch.setattr(hidden_markov, "NARROWEST", 4)
+    sizes = np.array([1000, 900, 50, 40, 10, *[3] * 50])
+    groups = [list(range(len(sizes))[s]) for s in hidden_markov.side_by_side(sizes)]
+    assert [len(g) for g in groups] == [4, 10, 20, 20, 1] and sum(groups, []) == list(range(len(sizes)))
+
+
 def test_words_of_a_slice_are_looked_up_once():
     class Head(dict):
         looked = 0

@@ -29,8 +29,8 @@ HEAD_WORDS, ENDINGS, STATES, ADDED_EMISSIONS = 32_768, 4_096, 8, 20
 # Training ends when a round raises the objective by no more than this share of it.
 TOLERANCE = 1e-4
 # Symbols whose forward probabilities are held at a time and whose counts are added at a time, places from one scaling
-# to the next, texts read side by side and bytes of texts read at a time.
-HELD, TOLD, SCALED, SIDE_BY_SIDE, TRAIN_BYTES = 1 << 14, 1 << 15, 8, 2_048, 16 << 20
+# to the next, texts read side by side (at most, and at least if there are so many) and bytes of texts read at a time.
+HELD, TOLD, SCALED, SIDE_BY_SIDE, NARROWEST, TRAIN_BYTES = 1 << 20, 1 << 16, 8, 2_048, 512, 16 << 20
 # Length of the texts that tests read in parts.
 STRETCH = 64
 COUNTER_WORDS, SLICE_BYTES = 200_000, 4 << 20
@@ -198,12 +198,22 @@ def flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), "<u2"), np.cumsum(sizes) - sizes, sizes
 
 
+def side_by_side(sizes: np.ndarray) -> Iterator[slice]:
+    """Texts, by falling length, that are read side by side: few enough to hold all their symbols, many enough for a step."""
+    low = 0
+    while low < len(sizes):
+        high = low + min(SIDE_BY_SIDE, max(NARROWEST, HELD // int(sizes[low])))
+        yield slice(low, high)
+        low = high
+
+
 def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.ndarray | None = None) -> float:
     """Adds the expected counts of the texts, forward and backward side by side, and returns their log-likelihood.
 
     A text counts as often as ``times`` says (once, unless given). Whole texts are read. Forward probabilities are scaled
-    at every ``SCALED``-th place only. They are kept before each stretch of about ``HELD`` symbols of all texts side by
-    side, and those within a stretch are found again on the way back, unless it is the last or only one.
+    at every ``SCALED``-th place only. They are held for all places if these have about ``HELD`` symbols or fewer. Else
+    they are kept before each stretch of about that many symbols, and those within a stretch are found again on the way
+    back, unless it is the last.
     """
     states = model.moves.shape[0]
     start, moves, emits = parted(counts, states)
@@ -211,15 +221,20 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.nda
     order = np.argsort(-sizes, kind="stable")
     emits_of, moves_to = np.ascontiguousarray(model.emits.T), np.ascontiguousarray(model.moves.T)  # states come first
     pairs, sums, total = np.zeros_like(moves), np.zeros_like(emits_of), 0.0
-    room = min(HELD + SIDE_BY_SIDE, len(symbols))
-    ahead, given, seen = np.empty(states * room), np.empty(states * room), np.empty(room, np.intp)  # a block for each place
+    room, width = min(HELD + SIDE_BY_SIDE, len(symbols)), min(SIDE_BY_SIDE, len(order))
+    ahead, seen = np.empty(states * room), np.empty(room, np.intp)  # a block for each place
+    given = np.empty(states * width)
     weights = np.empty((states, min(TOLD + SIDE_BY_SIDE, len(symbols))))
 
     def block(values: np.ndarray, first: int, n: int) -> np.ndarray:
         return values[states * first : states * (first + n)].reshape(states, n)
 
-    for low in range(0, len(order), SIDE_BY_SIDE):
-        own = order[low : low + SIDE_BY_SIDE]
+    def likely(at: int, n: int) -> np.ndarray:
+        """Probabilities of the symbols of a place."""
+        return emits_of.take(seen[at : at + n], axis=1, out=block(given, 0, n), mode="clip")
+
+    for texts_of in side_by_side(sizes[order]):
+        own = order[texts_of]
         begin, longest = begins[own], int(sizes[own[0]])
         often = np.ones(len(own)) if times is None else times[own].astype(float)
         live = len(own) - np.searchsorted(sizes[own][::-1], np.arange(longest + 1), side="right")  # longer than t
@@ -233,15 +248,13 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.nda
             for t in range(first, last):
                 i, n = at[-1], live[t]
                 at.append(i + n)
-                own_seen = seen[i : i + n]
-                own_seen[:] = symbols[begin[:n] + t]
-                here, likely = block(ahead, i, n), block(given, i, n)
-                emits_of.take(own_seen, axis=1, out=likely, mode="clip")
+                seen[i : i + n] = symbols[begin[:n] + t]
+                here = block(ahead, i, n)
                 if t:
                     np.matmul(moves_to, now[:, :n], out=here)
-                    here *= likely
+                    here *= likely(i, n)
                 else:
-                    np.multiply(model.start[0][:, None], likely, out=here)
+                    np.multiply(model.start[0][:, None], likely(i, n), out=here)
                 if t % SCALED == SCALED - 1:
                     scales[t] = here.sum(axis=0)
                     here /= scales[t]
@@ -269,7 +282,7 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.nda
                 low_end = weights.shape[1] - (top - i)
                 np.multiply(here, back, out=weights[:, low_end : low_end + n])
                 if t:
-                    weighted = block(given, i, n)
+                    weighted = likely(i, n)
                     weighted *= back
                     if t in scales:
                         weighted /= scales[t]
@@ -426,7 +439,8 @@ def score_documents(docs: DataFrame, held_out: Column, id_column: str = "doc_id"
         "ending long, of_all double, of_ending double",
     )
     others = texts.select("number", F.explode("others").alias("other")).select("number", "other.word", F.col("other.n").alias("times"))
-    counted = others.join(counts, "word", "left").withColumn("ending", ending_of(F.col("word"))).join(F.broadcast(totals), "ending")  # a row for each ending
+    # By hash, as sorting the words of all texts would take more time than looking them up.
+    counted = others.join(counts.hint("shuffle_hash"), "word", "left").withColumn("ending", ending_of(F.col("word"))).join(F.broadcast(totals), "ending")  # a row for each ending
     own = F.log10(F.coalesce("n", F.lit(0)) + ADDED)
     sums = counted.groupBy("number").agg(
         F.sum(F.col("times") * (own - F.col("of_all"))).alias("base_rest"),
