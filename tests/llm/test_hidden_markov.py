@@ -121,6 +121,24 @@ def test_forward_probabilities_are_held_for_the_way_back(monkeypatch):
     assert len(steps) == 299 and math.isclose(counts[15:].sum(), 60_000)
 
 
+def test_probabilities_of_a_symbol_are_read_as_one_row(monkeypatch):
+    axes, contiguous = [], np.ascontiguousarray
+
+    class Table(np.ndarray):
+        def take(self, indices, axis=None, **more):
+            axes.append((axis, self.flags.c_contiguous))
+            return super().take(indices, axis=axis, **more)
+
+    rng = np.random.default_rng(7)
+    model = small_model(rng)
+    texts = [rng.integers(0, 5, n).astype("<u2").tobytes() for n in (1, 30, 9)]
+    monkeypatch.setattr(np, "ascontiguousarray", lambda values: contiguous(values).view(Table))
+    counts = np.zeros(6 + 9 + 15)
+    told = expected(model, texts, counts)
+    assert math.isclose(told, likelihood(model, texts).sum() * math.log(10), rel_tol=1e-12) and math.isclose(counts[15:].sum(), 40)
+    assert set(axes) == {(0, True)} and len(axes) == 30 + 29 + 30  # each place, on the way there and back, and for scores
+
+
 def test_texts_side_by_side_are_fewer_the_longer_they_are(monkeypatch):
     monkeypatch.setattr(hidden_markov, "HELD", 100)
     monkeypatch.setattr(hidden_markov, "SIDE_BY_SIDE", 20)

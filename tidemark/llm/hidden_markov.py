@@ -219,19 +219,12 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.nda
     start, moves, emits = parted(counts, states)
     symbols, begins, sizes = flat(texts)
     order = np.argsort(-sizes, kind="stable")
-    emits_of, moves_to = np.ascontiguousarray(model.emits.T), np.ascontiguousarray(model.moves.T)  # states come first
-    pairs, sums, total = np.zeros_like(moves), np.zeros_like(emits_of), 0.0
+    emits_of, moves_to, moves_from = map(np.ascontiguousarray, (model.emits, model.moves, model.moves.T))  # a row for each symbol
+    pairs, sums, ones, total = np.zeros_like(moves), np.zeros((states, len(emits))), np.ones(states), 0.0
     room, width = min(HELD + SIDE_BY_SIDE, len(symbols)), min(SIDE_BY_SIDE, len(order))
-    ahead, seen = np.empty(states * room), np.empty(room, np.intp)  # a block for each place
-    given = np.empty(states * width)
-    weights = np.empty((states, min(TOLD + SIDE_BY_SIDE, len(symbols))))
-
-    def block(values: np.ndarray, first: int, n: int) -> np.ndarray:
-        return values[states * first : states * (first + n)].reshape(states, n)
-
-    def likely(at: int, n: int) -> np.ndarray:
-        """Probabilities of the symbols of a place."""
-        return emits_of.take(seen[at : at + n], axis=1, out=block(given, 0, n), mode="clip")
+    ahead, seen = np.empty((room, states)), np.empty(room, np.intp)  # place by place
+    given, told, back = (np.empty((width, states)) for _ in range(3))
+    weights = np.empty((states, min(TOLD + SIDE_BY_SIDE, len(symbols))))  # states first, as counts are added state by state
 
     for texts_of in side_by_side(sizes[order]):
         own = order[texts_of]
@@ -248,49 +241,52 @@ def expected(model: Model, texts: list[bytes], counts: np.ndarray, times: np.nda
             for t in range(first, last):
                 i, n = at[-1], live[t]
                 at.append(i + n)
+                here, likely = ahead[i : i + n], given[:n]
                 seen[i : i + n] = symbols[begin[:n] + t]
-                here = block(ahead, i, n)
+                emits_of.take(seen[i : i + n], axis=0, out=likely, mode="clip")
                 if t:
-                    np.matmul(moves_to, now[:, :n], out=here)
-                    here *= likely(i, n)
+                    np.matmul(now[:n], moves_to, out=here)
+                    here *= likely
                 else:
-                    np.multiply(model.start[0][:, None], likely(i, n), out=here)
+                    np.multiply(model.start[0], likely, out=here)
                 if t % SCALED == SCALED - 1:
-                    scales[t] = here.sum(axis=0)
-                    here /= scales[t]
+                    scales[t] = here @ ones
+                    here /= scales[t][:, None]
                 now = here
             return at, scales
 
         before: list[np.ndarray | None] = [None]
         for first, last in zip(firsts, firsts[1:]):
             at, _ = forward(first, last, before[-1])
-            before.append(block(ahead, at[-2], at[-1] - at[-2]).copy())
-        back = np.empty((states, 0))
+            before.append(ahead[at[-2] : at[-1]].copy())
+        begun = 0  # texts that the way back has come to
         for first, last in zip(reversed(firsts), [longest, *reversed(firsts[1:])]):
             at, scales = forward(first, last, before[-1])
             top = at[-1]  # of the symbols whose weights are not added yet
             for t in range(last - 1, first - 1, -1):
                 i, n = at[t - first], at[t - first + 1] - at[t - first]
-                here = block(ahead, i, n)
-                if back.shape[1] < n:  # texts that end here
-                    ended = slice(back.shape[1], n)
-                    scale = here[:, ended].sum(axis=0)
-                    total += float(np.log(scale) @ often[ended])
-                    back = np.concatenate([back, np.repeat((often[ended] / scale)[None], states, axis=0)], axis=1)
+                here = ahead[i : i + n]
+                if begun < n:  # texts that end here
+                    scale = here[begun:] @ ones
+                    total += float(np.log(scale) @ often[begun:n])
+                    back[begun:n] = (often[begun:n] / scale)[:, None]
+                    begun = n
                 if t in scales:
                     total += float(np.log(scales[t]) @ often[:n])
                 low_end = weights.shape[1] - (top - i)
-                np.multiply(here, back, out=weights[:, low_end : low_end + n])
+                np.multiply(here, back[:n], out=told[:n])
+                weights[:, low_end : low_end + n] = told[:n].T
                 if t:
-                    weighted = likely(i, n)
-                    weighted *= back
+                    weighted = given[:n]
+                    emits_of.take(seen[i : i + n], axis=0, out=weighted, mode="clip")
+                    weighted *= back[:n]
                     if t in scales:
-                        weighted /= scales[t]
-                    earlier = block(ahead, at[t - first - 1], i - at[t - first - 1]) if t > first else before[-1]
-                    pairs += earlier[:, :n] @ weighted.T
-                    back = model.moves @ weighted
+                        weighted /= scales[t][:, None]
+                    earlier = ahead[at[t - first - 1] : i] if t > first else before[-1]
+                    pairs += earlier[:n].T @ weighted
+                    np.dot(weighted, moves_from, out=back[:n])
                 else:
-                    start[0] += weights[:, low_end : low_end + n].sum(axis=1)
+                    start[0] += told[:n].sum(axis=0)
                 if top - i >= TOLD or t == first:
                     for k in range(states):
                         sums[k] += np.bincount(seen[i:top], weights[k, low_end:], len(emits))
@@ -307,17 +303,19 @@ def likelihood(model: Model, texts: list[bytes]) -> np.ndarray:
     order = np.argsort(-sizes, kind="stable")
     begin, out = begins[order], np.zeros(len(texts))
     live = (len(order) - np.searchsorted(sizes[order][::-1], np.arange(sizes.max(initial=0) + 1), side="right")).tolist()
-    emits_of, moves_to = np.ascontiguousarray(model.emits.T), np.ascontiguousarray(model.moves.T)  # states come first
-    now = np.repeat(model.start[0][:, None], len(order), axis=1)
+    emits_of, moves_to = np.ascontiguousarray(model.emits), np.ascontiguousarray(model.moves)  # a row for each symbol
+    ones = np.ones(len(moves_to))
+    now = np.repeat(model.start[:1], len(order), axis=0)
     for t, (n, rest) in enumerate(zip(live, live[1:])):
-        now = (now if t == 0 else moves_to @ now) * emits_of.take(symbols[begin[:n] + t], axis=1, mode="clip")
+        now = now if t == 0 else now @ moves_to
+        now *= emits_of.take(symbols[begin[:n] + t], axis=0, mode="clip")
         if t % SCALED == SCALED - 1:
-            total = now.sum(axis=0)
+            total = now @ ones
             out[:n] += np.log10(total)
-            now /= total
+            now /= total[:, None]
         if rest < n:  # texts that end here
-            out[rest:n] += np.log10(now[:, rest:].sum(axis=0))
-            now = np.ascontiguousarray(now[:, :rest])
+            out[rest:n] += np.log10(now[rest:] @ ones)
+            now = now[:rest]
     result = np.empty(len(texts))
     result[order] = out
     return result
