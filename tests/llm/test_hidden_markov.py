@@ -170,6 +170,26 @@ def test_words_of_a_slice_are_looked_up_once():
     assert dict(zip(counts["word"].to_pylist(), counts["n"].to_pylist())) == Counter(w for t in texts[3:] for w in (t or "").encode().lower().split())
 
 
+def test_words_of_a_slice_are_not_read_as_scalars(monkeypatch):
+    class Words:
+        def __init__(self, words):
+            self.words = words
+
+        def __len__(self):
+            return len(self.words)
+
+        def __getattr__(self, name):
+            assert name != "to_pylist"
+            return getattr(self.words, name)
+
+    whole = hidden_markov.numbered
+    monkeypatch.setattr(hidden_markov, "numbered", lambda part: (Words((found := whole(part))[0]), *found[1:]))
+    part = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "held_out": [False] * 3, "text": ["red é a blue", None, "red"]})
+    (got,) = hidden_markov.encoded({b"red": 0, b"blue": 1})(iter([part]))
+    last = [3 + zlib.crc32(w) % hidden_markov.ENDINGS for w in ("é".encode(), b"a")]
+    assert [np.frombuffer(s, "<u2").tolist() for s in got["symbols"].to_pylist()] == [[0, *last, 1, 2], [2], [0, 2]]
+
+
 def test_every_round_reads_all_training_texts(spark, monkeypatch):
     """The model equals that of rounds in one process over all texts, more than any sample had, up to the tolerance."""
     texts = [f"{'red green blue'.split()[i % 3]} w{i} w{i % 7} and w{i + 1}" for i in range(900)]

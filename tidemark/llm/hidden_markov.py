@@ -146,7 +146,9 @@ def encoded(head: dict[bytes, int]):
         for part in slices(batches, "text", SLICE_BYTES):
             words, codes, sizes = numbered(part)
             texts = np.arange(len(sizes))
-            symbol_of = np.fromiter((head[w] if w in head else end + 1 + ending(w) for w in words.to_pylist()), "<u2", len(words))
+            # As an array of objects: a list would make a scalar of Arrow of each word first.
+            listed = words.to_numpy(zero_copy_only=False)
+            symbol_of = np.fromiter((head[w] if w in head else end + 1 + ending(w) for w in listed), "<u2", len(words))
             symbols, text = np.full(len(codes) + len(sizes), end, "<u2"), np.repeat(texts, sizes)
             symbols[np.arange(len(codes)) + text] = symbol_of[codes]
             edges = np.concatenate([[0], 2 * np.cumsum(sizes + 1)]).astype(np.int32)
