@@ -13,8 +13,8 @@ from tidemark.session import shared_folder
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame written to the folder all executors share, and read again.
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
+    """The frame written to the folder all executors share, with ``options`` of the writer, and read again.
 
     Nothing reads the shuffle files of that write any more, so they go with it.
     """
@@ -23,7 +23,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     before = spark.conf.get(FILE_CLEANUP, "false")
     spark.conf.set(FILE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(FILE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
